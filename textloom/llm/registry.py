@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import sql
 from textloom.llm.common import table
 from textloom.llm.exact_dedup import exact_dedup
+from textloom.llm.token_store import write_token_store
+from textloom.llm.wordpiece_count import pieces_of_byte_bpe, wordpiece_counts
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_token_store(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).digest()
+
+
+def op2_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece_counts(table(spark, sf_dir, "documents"), *pieces_of_byte_bpe(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +27,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_exact_dedup,)}
+    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
