@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textloom.llm import sql
 from textloom.llm.common import table
 from textloom.llm.exact_dedup import exact_dedup
+from textloom.llm.mixing import mix_sources
+from textloom.llm.secret_scan import find_secrets
+from textloom.llm.sentencepiece_viterbi import PieceModel, read_pieces, sentencepiece_digest
 from textloom.llm.token_store import write_token_store
 from textloom.llm.wordpiece_count import pieces_of_byte_bpe, wordpiece_counts
 
@@ -22,13 +26,26 @@ def op2_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece_counts(table(spark, sf_dir, "documents"), *pieces_of_byte_bpe(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_digest(table(spark, sf_dir, "documents"), PieceModel(read_pieces(public_tokenizers.path("piece_bpe_32k.model"))))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy", "copies", "order_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op6_secret_scan, op8_exact_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": sql.EXACT_DEDUP}
+    return {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING}

@@ -9,3 +9,22 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, text_sha256
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
+
+MIXING = """
+WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+rates AS (
+  SELECT source, sqrt(n::DOUBLE) / sum(sqrt(n::DOUBLE)) OVER () * (SELECT count(*) FROM documents)::DOUBLE / n AS rate FROM counts
+),
+steps AS (
+  SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
+  FROM (SELECT source, rate, unnest(range(0, (ceil(rate + 10 * sqrt(rate)) + 21)::BIGINT)) AS k FROM rates)
+),
+drawn AS (
+  SELECT d.doc_id, any_value(d.source) AS source, any_value(d.text) AS text, count(s.k) AS copies
+  FROM (SELECT *, ('0x' || substr(md5('42|count|' || doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents) d
+  JOIN steps s ON s.source = d.source AND s.cdf <= d.u
+  GROUP BY d.doc_id
+)
+SELECT doc_id, source, copy, copies, md5('42|order|' || doc_id || '|' || copy) AS order_key, sha256(coalesce(text, '')) AS text_sha256
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)
+"""

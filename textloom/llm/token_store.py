@@ -33,25 +33,51 @@ TAIL, TAIL_BYTES = "<QQ", 16
 END_ID = 2
 #: The dictionary is trained on about this many documents of at most this many bytes each.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1500, 20_000, 64_000
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
+WORD_GROUP = 20_000
+#: 1: ASCII letters and digits; 2: ASCII punctuation but the apostrophe; 0: the rest.
+KIND = np.zeros(256, np.uint8)
+KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+KIND[[b for b in range(33, 127) if not KIND[b] and b != 39]] = 2
 
 
 class WordwiseEncoder:
-    """Encodes texts with a tokenizer whose pre-tokenizer never joins what ASCII white space parts.
+    """Encodes texts with a tokenizer that lower-cases and whose pre-tokenizer parts words at white space and punctuation.
 
-    Each distinct white-space-free run of a batch is encoded once; ids of a text are those of its runs.
+    A batch falls apart into runs that such a tokenizer treats alone, and each distinct run is encoded
+    once. Runs end at ASCII white space, and between an ASCII letter or digit and ASCII punctuation other
+    than an apostrophe (which may open a contraction). A-Z are lower-cased before, unless what follows is
+    no ASCII, since an accent may join them first. A batch with a special token's string is parted at white
+    space only, in its own case.
     """
 
     def __init__(self, tokenizer_path: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def runs(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes to encode, and the starts and ends of the runs."""
+        inside = ~SPACE[raw]
+        after = np.append(raw[1:], 0)
+        after[off[1:][off[1:] > 0] - 1] = 0
+        lowered = np.where((raw >= 65) & (raw <= 90) & (after < 128), raw + 32, raw).astype(np.uint8)
+        if any(s in (joined := lowered.tobytes()) for s in self.special):
+            return raw, *word_bounds(raw, off, inside)
+        del joined
+        kind = KIND[lowered]
+        apart = np.zeros(len(raw) + 1, bool)
+        apart[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        return lowered, *word_bounds(lowered, off, inside, breaks=apart)
 
     def __call__(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of each text in them."""
         raw, off = flat(texts)
-        starts, ends = word_bounds(raw, off, ~SPACE[raw])
-        codes, words = distinct(raw, starts, ends)
+        data, starts, ends = self.runs(raw, off)
+        codes, words = distinct(data, starts, ends)
         words = words.cast(pa.large_string()).to_pylist()
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids = []
+        for k in range(0, len(words), WORD_GROUP):  # the library's own results are large: a group at a time
+            ids += [x.ids for x in self.tokenizer.encode_batch_fast(words[k : k + WORD_GROUP], add_special_tokens=False)]
         ids.append([] if end_id is None else [end_id])
         bounds = np.zeros(len(ids) + 1, np.int64)
         np.cumsum([len(x) for x in ids], out=bounds[1:])

@@ -41,13 +41,18 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def word_bounds(raw: np.ndarray, off: np.ndarray, inside: np.ndarray, alone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of bytes in ``inside``; a byte of ``alone`` is a run by itself. No run crosses texts."""
+def word_bounds(raw: np.ndarray, off: np.ndarray, inside: np.ndarray, alone: np.ndarray | None = None, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes in ``inside``. No run crosses texts.
+
+    A byte of ``alone`` is a run by itself; ``breaks`` has one place more than bytes and parts runs before a byte.
+    """
     begins = np.zeros(len(raw) + 1, bool)
     begins[off] = True
     if alone is not None:
         begins[:-1] |= alone
         begins[1:] |= alone
+    if breaks is not None:
+        begins |= breaks
     before = np.zeros(len(raw) + 1, bool)
     before[1:] = inside
     before[:-1] &= ~begins[:-1]
