@@ -33,8 +33,7 @@ def repetition_steps(counts: DataFrame, targets: DataFrame, total: int) -> DataF
     """source, rate, steps: the cumulative Poisson probabilities of 0, 1, 2, ... up to where the rest is negligible."""
     whole = targets.agg(F.sum("weight").alias("whole"))
     rates = (
-        counts.join(targets, counts["source"].eqNullSafe(targets["source"]))
-        .select(counts["source"], "n", "weight")
+        counts.join(targets.select(F.col("source").alias("target"), "weight"), F.col("source").eqNullSafe(F.col("target")))
         .join(F.broadcast(whole))  # one row
         .select("source", F.coalesce(F.col("weight") / F.nullif("whole", F.lit(0.0)) * F.lit(float(total)) / F.col("n"), F.lit(0.0)).alias("rate"))
     )

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import sql
+from textloom.llm.ann_search import nearest
 from textloom.llm.common import table
 from textloom.llm.exact_dedup import exact_dedup
 from textloom.llm.mixing import mix_sources
+from textloom.llm.quality import quality_scores
 from textloom.llm.secret_scan import find_secrets
 from textloom.llm.sentencepiece_viterbi import PieceModel, read_pieces, sentencepiece_digest
 from textloom.llm.token_store import write_token_store
@@ -34,17 +36,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "copy", "copies", "order_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op6_secret_scan, op8_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

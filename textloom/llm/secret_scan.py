@@ -168,9 +168,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = found.join(F.broadcast(by_class))  # one row
     random = F.filter("tokens", lambda t: t["p"] >= F.greatest(F.lit(LEAST_THRESHOLD), F.coalesce(F.try_element_at("limits", t["length_class"]), F.lit(1.0))))
 
+    def numbered(kind: str) -> Column:
+        return F.transform(random if kind == "random" else kind, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
+
     def ordered(*kinds: str) -> Column:
-        lists = [F.transform(random if kind == "random" else kind, lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"))) for i, kind in enumerate(KINDS) if kind in kinds]
-        named = F.array(*map(F.lit, KINDS))
+        lists, named = [numbered(kind) for kind in kinds], F.array(*map(F.lit, KINDS))
         return F.array_join(F.transform(F.array_sort(F.concat(*lists)), lambda s: F.concat_ws(":", F.get(named, s["kind"]), s["start"], s["end"])), ",")
 
     return rows.select(
