@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.common import staged
+from textloom.llm.common import map_batches, staged
 
 TABLES, PROBES, BUCKET_SIZE, AXES_TRIED = 24, 32, 8, 16
 SEED = 20
@@ -99,7 +99,7 @@ def _hashed(vectors: DataFrame, maker: dict[int, CrossPolytope], probes: int | N
                         [pa.array(np.repeat(ids[at], codes.shape[1])), pa.array(np.full(n, dimension, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(codes.ravel())], names=["vec_id", "dimension", "table", "bucket"]
                     )
 
-    return vectors.mapInArrow(hash_rows, "vec_id long, dimension int, table int, bucket long")
+    return map_batches(vectors, hash_rows, "vec_id long, dimension int, table int, bucket long")
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -122,7 +122,7 @@ def _distance(pairs: DataFrame) -> DataFrame:
             score = np.sqrt(np.add.reduceat(gap * gap, np.concatenate([[0], np.cumsum(size)[:-1]]))) if len(size) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    return pairs.select("query_id", "vec_id", "q", "v").mapInArrow(measure, "query_id long, vec_id long, score double")
+    return map_batches(pairs.select("query_id", "vec_id", "q", "v"), measure, "query_id long, vec_id long, score double")
 
 
 def nearest(

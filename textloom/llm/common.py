@@ -36,3 +36,13 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+#: Bytes of one Arrow batch between the JVM and Python; by rows alone, batches of long texts would be large.
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow with batches bounded in bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+    return df.mapInArrow(function, schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import staged, text_or_empty
+from textloom.llm.common import map_batches, staged, text_or_empty
 from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped, word_bounds
 
 BUCKET_BITS = 17
@@ -151,7 +151,7 @@ class QualityModel:
                     names=["doc_id", "label", "at", "n"],
                 )
 
-        rows = texts.mapInArrow(features, "doc_id long, label int, at binary, n binary").collect()
+        rows = map_batches(texts, features, "doc_id long, label int, at binary, n binary").collect()
         rows.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["at"])))
         samples = [(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["n"], "<i4"), r["label"]) for r in rows]
         return cls(*train(samples))
@@ -166,7 +166,7 @@ class QualityModel:
                 margins = Features(batch.column(text_col)).margins(added, bias)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(margins, -50, 50))))], names=[*batch.schema.names, score_col])
 
-        return docs.mapInArrow(score, schema)
+        return map_batches(docs, score, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,6 +12,7 @@ from textloom.llm import sql
 from textloom.llm.ann_search import nearest
 from textloom.llm.common import table
 from textloom.llm.exact_dedup import exact_dedup
+from textloom.llm.jaccard_join import jaccard_components
 from textloom.llm.mixing import mix_sources
 from textloom.llm.quality import quality_scores
 from textloom.llm.secret_scan import find_secrets
@@ -32,6 +33,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_digest(table(spark, sf_dir, "documents"), PieceModel(read_pieces(public_tokenizers.path("piece_bpe_32k.model"))))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import text_or_empty
+from textloom.llm.common import map_batches, text_or_empty
 from textloom.llm.wordbatch import binary_parts, distinct, flat, ragged_take, regrouped
 
 META = b"\xe2\x96\x81"  # how a model file spells a space
@@ -239,7 +239,7 @@ def sentencepiece_encode(docs: DataFrame, model: PieceModel, text_col: str = "te
             ids, off = model.encode(batch.column(text_col))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(off.astype(np.int32), pa.array(ids.astype(np.int32)))], names=[*batch.schema.names, ids_col])
 
-    return docs.mapInArrow(encode, schema)
+    return map_batches(docs, encode, schema)
 
 
 def sentencepiece_decode(rows: DataFrame, model: PieceModel, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
@@ -254,7 +254,7 @@ def sentencepiece_decode(rows: DataFrame, model: PieceModel, ids_col: str = "pie
             texts = model.decode(ids, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.decode("utf-8", "replace") for x in texts], pa.string(), mask=arrays.is_null().to_numpy(zero_copy_only=False))], names=[*batch.schema.names, text_col])
 
-    return rows.mapInArrow(decode, schema)
+    return map_batches(rows, decode, schema)
 
 
 def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -275,4 +275,4 @@ def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(crc, pa.int64()), pa.array(np.diff(off)), pa.array(same)], names=["doc_id", "n_pieces", "ids_crc32", "n_bytes", "round_trip"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(digest, "doc_id long, n_pieces long, ids_crc32 long, n_bytes long, round_trip boolean")
+    return map_batches(rows, digest, "doc_id long, n_pieces long, ids_crc32 long, n_bytes long, round_trip boolean")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import text_or_empty
+from textloom.llm.common import map_batches, text_or_empty
 from textloom.llm.wordbatch import SPACE, binary_parts, distinct, flat, regrouped, word_bounds
 
 NONE = -1
@@ -134,4 +134,4 @@ def wordpiece_counts(docs: DataFrame, first: set[bytes], later: set[bytes], id_c
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, sums)], names=["doc_id", "n_words", "n_tokens", "n_unknown"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(count, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return map_batches(rows, count, "doc_id long, n_words long, n_tokens long, n_unknown long")
