@@ -17,14 +17,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from textloom.llm.common import staged, text_or_empty, work_dir
+from textloom.llm.common import map_batches, staged, text_or_empty, work_dir
 from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped, word_bounds
 
 MAGIC = b"TLIDS001"
@@ -33,8 +34,9 @@ TAIL, TAIL_BYTES = "<QQ", 16
 END_ID = 2
 #: The dictionary is trained on about this many documents of at most this many bytes each.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1500, 20_000, 64_000
-BATCH_BYTES = 6 << 20
-WORD_GROUP = 20_000
+BATCH_BYTES = 8 << 20
+WORD_GROUP = 2_000
+PLAIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
 #: 1: ASCII letters and digits; 2: ASCII punctuation but the apostrophe; 0: the rest.
 KIND = np.zeros(256, np.uint8)
 KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
@@ -54,6 +56,11 @@ class WordwiseEncoder:
     def __init__(self, tokenizer_path: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.bare = Tokenizer(self.tokenizer.model)  # the same model, without normalizer and pre-tokenizer
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or "</w>"
+        self.word_end = np.array([(self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(self.tokenizer.get_vocab_size())])
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
     def runs(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes to encode, and the starts and ends of the runs."""
@@ -69,19 +76,50 @@ class WordwiseEncoder:
         apart[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
         return lowered, *word_bounds(lowered, off, inside, breaks=apart)
 
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct runs end to end, and their offsets.
+
+        Runs of Latin-1 letters are their own normal form once lower-cased, so they go straight to the
+        library's model as one pre-tokenized sequence; an id whose token ends a word parts them.
+        """
+        plain = pc.match_substring_regex(words, PLAIN).to_numpy(zero_copy_only=False)
+        ids: list[np.ndarray] = []
+        lengths = np.zeros(len(words), np.int64)
+        for mask, encode in ((plain, self._encode_plain), (~plain, self._encode_any)):
+            at = np.flatnonzero(mask)
+            own = words.take(pa.array(at)).to_pylist()
+            for k in range(0, len(own), WORD_GROUP):  # the library's own results are large: a group at a time
+                got, n = encode(own[k : k + WORD_GROUP])
+                ids.append(got)
+                lengths[at[k : k + WORD_GROUP]] = n
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        stored = np.zeros(len(order) + 1, np.int64)
+        np.cumsum(lengths[order], out=stored[1:])
+        return ragged_take(np.concatenate(ids) if ids else np.zeros(0, "<u4"), stored, place)
+
+    def _encode_any(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        n = [len(x) for x in ids]
+        return np.fromiter(chain.from_iterable(ids), "<u4", sum(n)), n
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        spelled = "\n".join(words).lower().translate(self.spelling).split("\n")
+        ids = np.array(self.bare.encode_batch_fast([spelled], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):
+            return self._encode_any(words)
+        return ids, np.diff(ends, prepend=0)
+
     def __call__(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of each text in them."""
         raw, off = flat(texts)
         data, starts, ends = self.runs(raw, off)
         codes, words = distinct(data, starts, ends)
-        words = words.cast(pa.large_string()).to_pylist()
-        ids = []
-        for k in range(0, len(words), WORD_GROUP):  # the library's own results are large: a group at a time
-            ids += [x.ids for x in self.tokenizer.encode_batch_fast(words[k : k + WORD_GROUP], add_special_tokens=False)]
-        ids.append([] if end_id is None else [end_id])
-        bounds = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum([len(x) for x in ids], out=bounds[1:])
-        values = np.fromiter(chain.from_iterable(ids), "<u4", int(bounds[-1]))
+        values, bounds = self.encode_words(words.cast(pa.large_string()))
+        if end_id is not None:
+            values, bounds = np.append(values, np.uint32(end_id)), np.append(bounds, bounds[-1] + 1)
         last = np.searchsorted(starts, off[1:], "left")  # runs before each text's end
         order = np.insert(codes, last, len(words)) if end_id is not None else codes
         out, word_off = ragged_take(values, bounds, order)
@@ -223,5 +261,5 @@ def write_token_store(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     dictionary = train_dictionary(rows, tokenizer_path, "text", "doc_id")
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = staged(ranged.mapInArrow(shard_writer(folder, tokenizer_path, dictionary, batch_bytes), MANIFEST_SQL), "token-manifest")
+    manifest = staged(map_batches(ranged, shard_writer(folder, tokenizer_path, dictionary, batch_bytes), MANIFEST_SQL), "token-manifest")
     return TokenStore(spark, folder, dictionary, manifest.collect())
