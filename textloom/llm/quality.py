@@ -22,7 +22,7 @@ BUCKET_BITS = 17
 GRAMS = (3, 4)
 WIDTH, EPOCHS, RATE = 12, 8, 0.5
 #: At most so many labelled documents are trained on, chosen by a hash of their ids.
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 3000
 BATCH_BYTES = 6 << 20
 SEED = 9
 MIX = np.uint64(0x9E3779B97F4A7C15)
