@@ -17,6 +17,7 @@ from textloom.llm.mixing import mix_sources
 from textloom.llm.quality import quality_scores
 from textloom.llm.secret_scan import find_secrets
 from textloom.llm.sentencepiece_viterbi import PieceModel, read_pieces, sentencepiece_digest
+from textloom.llm.suffix_dedup import remove_repeats
 from textloom.llm.token_store import write_token_store
 from textloom.llm.wordpiece_count import pieces_of_byte_bpe, wordpiece_counts
 
@@ -33,6 +34,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_digest(table(spark, sf_dir, "documents"), PieceModel(read_pieces(public_tokenizers.path("piece_bpe_32k.model"))))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
