@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +65,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return own | {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING}

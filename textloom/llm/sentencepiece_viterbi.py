@@ -257,8 +257,8 @@ def sentencepiece_decode(rows: DataFrame, model: PieceModel, ids_col: str = "pie
     return map_batches(rows, decode, schema)
 
 
-def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """One row per input row: doc_id, n_pieces, ids_crc32, n_bytes, round_trip.
+def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, with_ids: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_pieces, ids_crc32, n_bytes, round_trip, and piece_ids if asked for.
 
     ids_crc32 is of the ids as little-endian unsigned 32-bit integers; round_trip says whether decoding
     them gives the text. Null and empty texts have no piece (and round_trip). Nothing is shuffled.
@@ -272,7 +272,10 @@ def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_
             same = [source[a:b] == x for a, b, x in zip(at[:-1], at[1:], model.decode(ids, bounds), strict=True)]
             ends = bounds.tolist()
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(crc, pa.int64()), pa.array(np.diff(off)), pa.array(same)], names=["doc_id", "n_pieces", "ids_crc32", "n_bytes", "round_trip"])
+            columns = {"doc_id": batch.column("doc_id"), "n_pieces": pa.array(np.diff(bounds)), "ids_crc32": pa.array(crc, pa.int64()), "n_bytes": pa.array(np.diff(off)), "round_trip": pa.array(same)}
+            if with_ids:
+                columns["piece_ids"] = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return map_batches(rows, digest, "doc_id long, n_pieces long, ids_crc32 long, n_bytes long, round_trip boolean")
+    return map_batches(rows, digest, "doc_id long, n_pieces long, ids_crc32 long, n_bytes long, round_trip boolean" + ", piece_ids array<int>" * with_ids)
