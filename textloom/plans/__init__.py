@@ -1,0 +1 @@
+"""Named queries, their SQL oracles, and whole pipelines."""

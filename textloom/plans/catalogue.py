@@ -1,6 +1,4 @@
-"""Named queries over the driver's tables, each with its SQL oracle where SQL can express it."""
+"""All queries. Importing the thematic modules registers them."""
 
-from __future__ import annotations
-
-QUERIES: dict = {}
-ORACLES: dict = {}
+from textloom.plans import artifact_queries, chat_queries, dedup_queries, sampling_queries, stats_queries, text_queries  # noqa: F401
+from textloom.plans.registry import ORACLES, QUERIES  # noqa: F401
