@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as str.strip() and a Unicode \\s see it; Java's own \\s is ASCII only.
-SPACE = r"[\s\x1c-\x1f\x85   -     　]"
+SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Characters per token of the length heuristic (fixed value).
 CHARS_PER_TOKEN = 3.8
 

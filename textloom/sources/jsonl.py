@@ -19,7 +19,7 @@ def read_lines(spark: SparkSession, path: str, recursive: bool = False, glob: st
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), strip(F.regexp_replace("value", "^﻿", "")).alias("line"))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), strip(F.regexp_replace("value", "^\ufeff", "")).alias("line"))
     return lines.where("line != ''")
 
 
