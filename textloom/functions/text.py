@@ -11,6 +11,11 @@ SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 CHARS_PER_TOKEN = 3.8
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once: filters would compute a repeated expression at each place."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 

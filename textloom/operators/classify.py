@@ -6,43 +6,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions import rules
-from textloom.functions.text import or_empty, strip
+from textloom.functions.text import let, or_empty, strip
 
 
-def any_of(text: Column, patterns: list[str]) -> Column:
-    """One scan for all patterns of a tier."""
-    return text.rlike("(?U)" + "|".join(f"(?:{p})" for p in patterns))
+def any_of(text: Column, patterns: list[str], flags: str = "(?U)") -> Column:
+    """One scan for all patterns of a tier; they all open with a word boundary, which is tested first."""
+    return text.rlike(flags + r"\b(?:" + "|".join(p.removeprefix(r"\b") for p in patterns) + ")")
 
 
 def hits(text: Column, patterns: list[str]) -> Column:
-    """How many of the patterns occur."""
-    return sum((text.rlike(f"(?iU){p}").cast("int") for p in patterns[1:]), text.rlike(f"(?iU){patterns[0]}").cast("int"))
+    """How many of the patterns occur; counted one by one only where any does."""
+    each = sum((text.rlike(f"(?U){p}").cast("int") for p in patterns[1:]), text.rlike(f"(?U){patterns[0]}").cast("int"))
+    return F.when(any_of(text, patterns), each).otherwise(0)
 
 
 def difficulty_v3(user: Column, assistant: Column) -> Column:
-    whole = F.lower(F.concat(or_empty(user), F.lit("\n"), or_empty(assistant)))
-    return F.when(any_of(whole, rules.V3_EXPERT), "expert").when(any_of(whole, rules.V3_ADVANCED), "advanced").when(any_of(whole, rules.V3_BEGINNER), "beginner").otherwise("intermediate")
+    def grade(whole: Column) -> Column:
+        return F.when(any_of(whole, rules.V3_EXPERT), "expert").when(any_of(whole, rules.V3_ADVANCED), "advanced").when(any_of(whole, rules.V3_BEGINNER), "beginner").otherwise("intermediate")
+
+    return let(F.lower(F.concat(or_empty(user), F.lit("\n"), or_empty(assistant))), grade)
 
 
 def difficulty_v2(user: Column, assistant: Column) -> Column:
     """Beginner questions are told by the user text alone, and only with a short answer."""
-    whole = F.lower(F.concat(or_empty(user), F.lit("\n"), or_empty(assistant)))
     easy = any_of(F.lower(or_empty(user)), rules.V2_BEGINNER) & (F.char_length(or_empty(assistant)) < rules.V2_BEGINNER_ANSWER)
-    return F.when(any_of(whole, rules.V2_EXPERT), "expert").when(any_of(whole, rules.V2_ADVANCED), "advanced").when(easy, "beginner").otherwise("intermediate")
+
+    def grade(whole: Column) -> Column:
+        return F.when(any_of(whole, rules.V2_EXPERT), "expert").when(any_of(whole, rules.V2_ADVANCED), "advanced").when(easy, "beginner").otherwise("intermediate")
+
+    return let(F.lower(F.concat(or_empty(user), F.lit("\n"), or_empty(assistant))), grade)
 
 
 def difficulty_counted(instruction: Column, input_: Column, output: Column) -> Column:
-    parts = [F.lower(or_empty(c)) for c in (instruction, input_, output)]
-    whole, n = F.concat_ws("\n", *parts), F.char_length(parts[2])
-    advanced = hits(whole, rules.COUNTED_ADVANCED)
-    expert = whole.rlike("(?iU)" + "|".join(f"(?:{p})" for p in rules.COUNTED_EXPERT))
-    some = whole.rlike("(?iU)" + "|".join(f"(?:{p})" for p in rules.COUNTED_INTERMEDIATE))
-    return (
-        F.when(expert, "expert")
-        .when((advanced >= 2) | ((n > rules.ADVANCED_LONG) & (advanced >= 1)), "advanced")
-        .when(some | (advanced == 1) | (n > rules.INTERMEDIATE_LONG), "intermediate")
-        .otherwise("beginner")
-    )
+    """By how many of a tier's patterns occur; the text is lower-cased, and so are all patterns that match."""
+    n = F.char_length(F.lower(or_empty(output)))
+
+    def grade(whole: Column) -> Column:
+        def below_expert(advanced: Column) -> Column:
+            return (
+                F.when((advanced >= 2) | ((n > rules.ADVANCED_LONG) & (advanced >= 1)), "advanced")
+                .when((advanced == 1) | (n > rules.INTERMEDIATE_LONG) | any_of(whole, rules.COUNTED_INTERMEDIATE), "intermediate")
+                .otherwise("beginner")
+            )
+
+        return F.when(any_of(whole, rules.COUNTED_EXPERT), "expert").otherwise(let(hits(whole, rules.COUNTED_ADVANCED), below_expert))
+
+    return let(F.lower(F.concat_ws("\n", *map(or_empty, (instruction, input_, output)))), grade)
 
 
 def declared_or(declared: Column, inferred: Column) -> Column:

@@ -6,21 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import rules
-from textloom.functions.text import alpha_ratio, estimate_tokens, normalize_clean, or_empty, strip
+from textloom.functions.text import alpha_ratio, estimate_tokens, let, normalize_clean, or_empty, strip
 
 FENCE = "```"
+#: Stock phrases and very short texts are told by so many first characters.
+OPENING = 32
+
+
+LOW_QUALITY = r"(?i)^(?:" + "|".join(p.removeprefix("^") for p in rules.LOW_QUALITY) + ")"
 
 
 def is_low_quality(text: Column, field: str) -> Column:
     """Blank, out of the field's length bounds, opening like a stock phrase, or with too few letters. Cheap tests come first."""
-    bare = strip(or_empty(text))
-    n = F.char_length(bare)
-    bounds = {
-        "instruction": (n < rules.MIN_INSTRUCTION) | (n > rules.MAX_INSTRUCTION),
-        "output": (n < rules.MIN_OUTPUT) | (n > rules.MAX_OUTPUT),
-        "input": n > rules.MAX_INPUT,
-    }[field]
-    return (n == 0) | bounds | bare.rlike("(?i)" + "|".join(f"(?:{p})" for p in rules.LOW_QUALITY)) | ((n > rules.ALPHA_FROM) & (alpha_ratio(bare) < rules.MIN_ALPHA))
+
+    def judge(bare: Column) -> Column:
+        n = F.char_length(bare)
+        bounds = {
+            "instruction": (n < rules.MIN_INSTRUCTION) | (n > rules.MAX_INSTRUCTION),
+            "output": (n < rules.MIN_OUTPUT) | (n > rules.MAX_OUTPUT),
+            "input": n > rules.MAX_INPUT,
+        }[field]
+        return (n == 0) | bounds | F.substring(bare, 1, OPENING).rlike(LOW_QUALITY) | ((n > rules.ALPHA_FROM) & (alpha_ratio(bare) < rules.MIN_ALPHA))
+
+    return let(strip(or_empty(text)), judge)
 
 
 def clean_examples(rows: DataFrame, instruction: str = "instruction", input_: str = "input", output: str = "output") -> DataFrame:
