@@ -63,3 +63,22 @@ def test_edge_tables(request, kind):
 def test_no_python_in_the_plan(edge):
     plan = op.find_secrets(edge)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_equals_sql_where_tokens_are_random(docs_of, tmp_path):
+    import duckdb
+    from compare import rows
+
+    from textloom.llm import sql
+
+    random.seed(9)
+    sets = [op.DIGITS + "abcdef", op.DIGITS + "ABCDEF", op.UPPER + "234567", op.UPPER + op.LOWER + op.DIGITS + "+/", op.UPPER + op.LOWER + op.DIGITS + "-_"]
+    texts = [(i, f"x é {''.join(random.choice(sets[i % 5]) for _ in range(20 + i % 70))}{'==' * (i % 2)} y password: {'q' * (i % 20)}") for i in range(300)]
+    texts += [(1000 + k, t) for k, t in enumerate(TEXTS) if len(t) < 1000]
+    docs = docs_of(texts)
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/d/*.parquet')")
+    ours = op.find_secrets(docs).toPandas()
+    assert ours["n_random"].sum() > 20
+    assert rows(ours) == rows(con.execute(sql.secret_scan()).fetchdf())

@@ -70,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return own | {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING}
+    return own | {"op5_jaccard_join": sql.JACCARD_JOIN, "op6_secret_scan": sql.secret_scan(), "op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING}

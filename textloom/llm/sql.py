@@ -28,3 +28,78 @@ drawn AS (
 SELECT doc_id, source, copy, copies, md5('42|order|' || doc_id || '|' || copy) AS order_key, sha256(coalesce(text, '')) AS text_sha256
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)
 """
+
+JACCARD_JOIN = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 5 THEN array_to_string(w[i:i + 4], ' ') ELSE array_to_string(w, ' ') END AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+linked AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a AS u, b AS v FROM linked UNION ALL SELECT b, a FROM linked),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.v FROM reach r JOIN edges e ON e.u = r.other)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+def _found(name: str, pattern: str, group: int, least: int) -> str:
+    """Matches of one kind with their places: what lies between matches and the matches alternate."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+{name}_parts AS (SELECT doc_id, x, string_split_regex(x, {quoted}) AS g, regexp_extract_all(x, {quoted}, 0) AS m, regexp_extract_all(x, {quoted}, {group}) AS v FROM texts WHERE regexp_matches(x, {quoted})),
+{name}_at AS (SELECT doc_id, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM {name}_parts),
+{name}_spans AS (
+  SELECT doc_id, m[i] AS hit, (list_sum(list_transform(g[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda p: length(p))), 0))::BIGINT AS s, length(m[i]) AS n
+  FROM {name}_at WHERE length(v[i]) >= {least}
+)"""
+
+
+def secret_scan() -> str:
+    from textloom.llm import secret_scan as op
+
+    encodings = [(pattern, alphabet) for _, pattern, alphabet in op.ENCODINGS]
+    alphabet = "CASE " + " ".join(f"WHEN regexp_matches(bare, '{pattern}') THEN '{letters}'" for pattern, letters in encodings) + " END"
+    bins = ", ".join(f"count(*) FILTER (v * {op.BINS} // k = {b}) AS c{b}" for b in range(op.BINS))
+    sizes = lambda b: "CASE k " + " ".join(f"WHEN {k} THEN {sum(v * op.BINS // k == b for v in range(k))}" for k in sorted({len(a) for _, a in encodings})) + " END"
+    expected = lambda b: f"(n * ({sizes(b)} / k::DOUBLE))"
+    half = "(" + " + ".join(f"(c{b} - {expected(b)}) * (c{b} - {expected(b)}) / {expected(b)}" for b in range(op.BINS)) + ") / 2"
+
+    def two_sided(z: str) -> str:
+        x = f"(abs({z}) / sqrt(2.0::DOUBLE))"
+        t = f"(1.0::DOUBLE / (1.0 + 0.3275911::DOUBLE * {x}))"
+        return f"({t} * (0.254829592::DOUBLE + {t} * (-0.284496736::DOUBLE + {t} * (1.421413741::DOUBLE + {t} * (-1.453152027::DOUBLE + {t} * 1.061405429::DOUBLE)))) * exp(-{x} * {x}))"
+
+    kinds = [("assign", op.ASSIGN, 2, op.ASSIGN_LEAST), ("access", op.ACCESS, 0, op.ACCESS_LEAST), ("hex", op.HEX, 0, 0)]
+    grid = f"unnest(range(1, {op.GRID // 2 + 1}))"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+{",".join(_found(*kind) for kind in [*kinds, ("token", op.TOKEN, 0, 0)])},
+base AS ({" UNION ALL ".join(f"SELECT doc_id, {i} AS kind, s, s + n AS e FROM {name}_spans" for i, (name, *_) in enumerate(kinds))}),
+free AS (SELECT t.doc_id, t.s, t.s + t.n AS e, t.n AS length, regexp_replace(t.hit, '=+$', '') AS bare FROM token_spans t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.s + t.n AND t.s < b.e)),
+coded AS (SELECT *, {alphabet} AS letters FROM free WHERE length(bare) >= 20),
+symbols AS (SELECT doc_id, s, e, length, length(letters) AS k, i, strpos(letters, bare[i:i]) - 1 AS v FROM (SELECT *, unnest(range(1, length(bare) + 1)) AS i FROM coded WHERE letters IS NOT NULL)),
+lagged AS (SELECT *, lag(v) OVER (PARTITION BY doc_id, s ORDER BY i) AS u FROM symbols),
+sums AS (
+  SELECT doc_id, s, e, length, k, count(*) AS n, {bins}, count(*) FILTER ((u * 2 >= k) <> (v * 2 >= k)) AS turns, coalesce(sum((u - (k - 1) / 2.0::DOUBLE) * (v - (k - 1) / 2.0::DOUBLE)), 0) AS serial
+  FROM lagged GROUP BY doc_id, s, e, length, k
+),
+tests AS (
+  SELECT doc_id, s, e, floor(2 * log2(length / 20.0::DOUBLE))::INT AS class, exp(-{half}) * (1 + {half}) AS chi,
+    {two_sided("((turns - (n - 1) / 2.0::DOUBLE) / sqrt((n - 1) / 4.0::DOUBLE))")} AS runs, {two_sided("(serial / ((k * k - 1) / 12.0::DOUBLE) / sqrt(n - 1))")} AS correlated
+  FROM sums
+),
+scored AS (SELECT doc_id, s, e, class, 1 - pow(1 - least(chi, runs, correlated, 1.0), 3.0) AS p FROM tests),
+cells AS (SELECT class, least(floor(p * {op.GRID}), {op.GRID - 1})::INT AS cell FROM scored),
+classes AS (SELECT class, least(2.0 * count(*) FILTER (cell >= {op.GRID // 2}), count(*)::DOUBLE) AS random FROM cells GROUP BY class),
+steps AS (SELECT class, random, {grid} AS step FROM classes),
+rates AS (SELECT t.class, t.step, t.random, count(c.cell) AS found FROM steps t LEFT JOIN cells c ON c.class = t.class AND c.cell >= t.step GROUP BY t.class, t.step, t.random),
+limits AS (SELECT class, coalesce(min(step) FILTER (found > 0 AND greatest(0.0, found - random * (1 - step / {float(op.GRID)}::DOUBLE)) <= {op.FALSE_DISCOVERY_RATE} * found) / {float(op.GRID)}::DOUBLE, 0.5) AS least_p FROM rates GROUP BY class),
+everything AS (SELECT * FROM base UNION ALL SELECT s.doc_id, 3, s.s, s.e FROM scored s JOIN limits l ON l.class = s.class WHERE s.p >= greatest({op.LEAST_THRESHOLD}, l.least_p)),
+named AS (SELECT *, (['assign', 'access', 'hex', 'random'])[kind + 1] || ':' || s || ':' || e AS span FROM everything)
+SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY s, kind), '') AS spans, count(*) FILTER (kind = 3) AS n_random
+FROM documents t LEFT JOIN named n ON n.doc_id = t.doc_id GROUP BY t.doc_id
+"""
