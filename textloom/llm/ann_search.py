@@ -20,9 +20,16 @@ from pyspark.sql.window import Window
 from textloom.llm.common import map_batches, staged
 
 TABLES, PROBES, BUCKET_SIZE, AXES_TRIED = 24, 32, 8, 16
+#: Beyond so many vectors the probes grow as their number to this power: neighbours a little closer than
+#: the rest share a bucket ever more rarely, and recall would fall otherwise.
+STEADY_ROWS, PROBE_GROWTH = 50_000, 0.37
 SEED = 20
 
 
+def probes_for(rows: int) -> int:
+    return math.ceil(PROBES * max(1.0, rows / STEADY_ROWS) ** PROBE_GROWTH)
+
+
 def _hadamard(x: np.ndarray) -> np.ndarray:
     """The normalised Walsh-Hadamard transform of each row; the width is a power of two."""
     rows, width = x.shape
@@ -79,7 +86,7 @@ class CrossPolytope:
         return codes
 
 
-def _hashed(vectors: DataFrame, maker: dict[int, CrossPolytope], probes: int | None) -> DataFrame:
+def _hashed(vectors: DataFrame, maker: dict[int, CrossPolytope], probes: dict[int, int] | None) -> DataFrame:
     """vec_id, dimension, table, bucket: one row a table, or one a table and probe."""
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +100,7 @@ def _hashed(vectors: DataFrame, maker: dict[int, CrossPolytope], probes: int | N
                 hashes = maker[int(dimension)]
                 unit = hashes.padded(values[first[at][:, None] + np.arange(dimension)])
                 for table in range(hashes.tables):
-                    codes = hashes.buckets(unit, table)[:, None] if probes is None else hashes.probes(unit, table, probes)
+                    codes = hashes.buckets(unit, table)[:, None] if probes is None else hashes.probes(unit, table, probes[int(dimension)])
                     n = codes.size
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.repeat(ids[at], codes.shape[1])), pa.array(np.full(n, dimension, np.int32)), pa.array(np.full(n, table, np.int32)), pa.array(codes.ravel())], names=["vec_id", "dimension", "table", "bucket"]
@@ -126,7 +133,7 @@ def _distance(pairs: DataFrame) -> DataFrame:
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, bucket_size: int = BUCKET_SIZE
+    vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int | None = None, bucket_size: int = BUCKET_SIZE
 ) -> DataFrame:
     """query_id, rank, vec_id, score: of each query row the k nearest other rows found, by Euclidean distance.
 
@@ -139,10 +146,11 @@ def nearest(
     rows = staged(usable(vectors, id_col, vector_col), "vectors")
     sizes = rows.groupBy(F.size("vector").alias("dimension")).count().collect()  # a row for each vector length
     maker = {r["dimension"]: CrossPolytope(r["dimension"], r["count"], tables, bucket_size) for r in sizes}
+    tried = {r["dimension"]: probes or probes_for(r["count"]) for r in sizes}
     same = Window.partitionBy("vector").orderBy("vec_id")
     indexed = staged(rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth"), "indexed-vectors")
     queries = rows.where(is_query)
-    probed = _hashed(queries, maker, probes).withColumnRenamed("vec_id", "query_id")
+    probed = _hashed(queries, maker, tried).withColumnRenamed("vec_id", "query_id")
     stored = _hashed(indexed, maker, None)
     found = probed.join(stored, ["dimension", "table", "bucket"]).where("query_id != vec_id").select("query_id", "vec_id").distinct()
     pairs = found.join(queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("q")), "query_id").join(indexed.select("vec_id", F.col("vector").alias("v")), "vec_id")
