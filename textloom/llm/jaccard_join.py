@@ -8,10 +8,11 @@ often last, which keeps regions of common passages from forming; it never change
 
 Within a region, candidate pairs pass three exact windows: sizes; places of the shared pivot; and, with the
 hash parts of the universe as further pivots, the sum of differences of |A & part|, which the triangle
-inequality bounds by |A ^ B|. What is left is compared on whole sets. A crowded region is joined
-recursively: a few of its documents become pivots, everything is compared with them, what they link is one
-class, and only a region that still holds several classes goes into the next round, with more pivots and
-without those done.
+inequality bounds by |A ^ B|. What is left is compared on whole sets. The documents of crowded regions are
+joined recursively: first among themselves, by the order of what is frequent among them; then, where a
+region is crowded still, as by copies of one text, its most central documents become pivots, everything in it is compared with them, and what
+they link is one class. A region that still holds several classes is joined again in pairs of blocks, where
+only documents of different classes are compared.
 """
 
 from __future__ import annotations
@@ -30,12 +31,15 @@ from textloom.llm.wordbatch import SPACE, flat, regrouped, word_bounds
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 #: Pairs within a region of at most so many documents are all candidates.
-CROWD = 48
-PIVOTS = 8
-#: Shingles counted when a batch has them this often; of those found this often in all, at most so many go last.
-BATCH_OFTEN, OFTEN, OFTEN_SHINGLES = 3, 24, 1 << 16
-PARTS = 64
-BATCH_BYTES = 4 << 20
+CROWD = 100
+PIVOTS = 4
+#: A larger unsettled region is joined in pairs of blocks of so many documents.
+BLOCK = 2048
+#: Shingles counted when so many bytes of text have them this often; of those found this often in all, at most so many go last.
+COUNTED_BYTES, COUNTED_OFTEN, OFTEN, OFTEN_SHINGLES = 12 << 20, 2, 4, 1 << 18
+#: A set of n shingles is counted in a power of two of parts, this many at least and n / 8 at least.
+LEAST_PARTS = 64
+BATCH_BYTES = 2 << 20
 #: A broadcast of keys beyond so many rows is left to Spark's own choice.
 BROADCAST_KEYS = 1 << 21
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,22 +100,64 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def frequent_shingles(rows: DataFrame, n_words: int) -> np.ndarray:
-    """Hashes of shingles that many documents have: a bounded list, used for nothing but the order."""
+def frequent_shingles(rows: DataFrame, sets_of, source: str) -> np.ndarray:
+    """Hashes of shingles that many rows have: a bounded list, used for nothing but the order.
+
+    sets_of: makes the shingle sets of a column ``source`` of rows.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regrouped(batches, "text", BATCH_BYTES):
-            sets = shingle_sets(batch.column("text"), n_words)
-            every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-            far = np.flatnonzero(every[BATCH_OFTEN - 1 :] == every[: len(every) - BATCH_OFTEN + 1])
+        def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+            every = np.sort(np.concatenate(sets))
+            far = np.flatnonzero(every[COUNTED_OFTEN - 1 :] == every[: max(0, len(every) - COUNTED_OFTEN + 1)])
             values, n = np.unique(every[far], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n + (BATCH_OFTEN - 1))], names=["shingle", "n"])
-
-    counted = map_batches(rows, count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    top = counted.orderBy(F.desc("n"), "shingle").limit(OFTEN_SHINGLES).collect()
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n + (COUNTED_OFTEN - 1))], names=["shingle", "n"])
+
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in regrouped(batches, source, BATCH_BYTES):
+            held += sets_of(batch.column(source))
+            size += batch.column(source).nbytes
+            if size >= COUNTED_BYTES:
+                yield counted(held)
+                held, size = [], 0
+        if held:
+            yield counted(held)
+
+    found = map_batches(rows, count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    top = found.orderBy(F.desc("n"), "shingle").limit(OFTEN_SHINGLES).collect()
     return np.sort(np.array([r["shingle"] for r in top], np.int64).view(np.uint64))
 
 
+def _pivots(own: np.ndarray, often: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
+    """The shingles of a set that are its pivots: the first of the order by (often, hash)."""
+    n = len(own)
+    if n and len(often):
+        common = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+        own = np.concatenate([own[~common], own[common]])
+    return own[: n - -(-n * numerator // denominator) + 1 if n else 0].view(np.int64)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+
+
+def _stored_sets(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def _reordered(sets: DataFrame, often: np.ndarray, numerator: int, denominator: int) -> DataFrame:
+    """key, n and pivots of stored sets in another order."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _stored_sets(batch.column("shingles"))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([len(x) for x in own], pa.int32()), _lists([_pivots(x, often, numerator, denominator) for x in own])], names=["key", "n", "pivots"])
+
+    return map_batches(sets, describe, "key long, n int, pivots array<long>")
+
+
 def _described(rows: DataFrame, often: np.ndarray, n_words: int, numerator: int, denominator: int) -> DataFrame:
     """doc_id, key, n, parts and the shingles of the document's pivots in order."""
 
@@ -122,16 +168,12 @@ def _described(rows: DataFrame, often: np.ndarray, n_words: int, numerator: int,
                 n = len(own)
                 keys.append(set_key(own))
                 sizes.append(n)
-                part = np.bincount((own & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS)
+                many = max(LEAST_PARTS, 1 << (-(-n // 8) - 1).bit_length() if n else 0)
+                part = np.bincount((own & np.uint64(many - 1)).astype(np.int64), minlength=many)
                 parts.append(np.minimum(part, 255).astype(np.uint8).tobytes())
-                window = n - -(-n * numerator // denominator) + 1 if n else 0
-                if len(often) and n:
-                    common = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
-                    own = np.concatenate([own[~common], own[common]])
-                firsts.append(own[:window].view(np.int64))
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
+                firsts.append(_pivots(own, often, numerator, denominator))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(firsts)))],
+                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), _lists(firsts)],
                 names=["doc_id", "key", "n", "parts", "pivots"],
             )
 
@@ -139,20 +181,23 @@ def _described(rows: DataFrame, often: np.ndarray, n_words: int, numerator: int,
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
-    """key, shingles (sorted, 8 bytes each) of the wanted keys."""
+    """key, shingles (sorted, 8 bytes each) of the wanted (key, first_id), from the rows that have that id."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regrouped(batches, "text", BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), n_words)
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "key", "shingles"])
 
     keys = wanted if wanted.count() > BROADCAST_KEYS else F.broadcast(wanted)
-    return map_batches(rows.select("text"), collect, "key long, shingles binary").join(keys, "key").dropDuplicates(["key"])
+    return map_batches(rows, collect, "doc_id long, key long, shingles binary").join(keys, "key").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "shingles")
 
 
 def _windows(numerator: int, denominator: int) -> Column:
-    """Whether sizes na, nb and places pa, pb of a shared pivot allow enough common shingles."""
-    common = F.lit(1) + F.least(F.col("pa"), F.col("pb")) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+    """Whether sizes na, nb and places pa, pb of a shared pivot allow a link if no pivot before it is shared.
+
+    A pair that links passes in the region of its first shared pivot, so it is enough to let it pass there.
+    """
+    common = F.lit(1) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     least = F.least("na", "nb")
     return (least * denominator >= F.greatest("na", "nb") * numerator) & (common * (numerator + denominator) >= (F.col("na") + F.col("nb")) * numerator)
 
@@ -164,10 +209,16 @@ def _near_in_parts(pairs: DataFrame, sketches: DataFrame, numerator: int, denomi
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for c in ("qa", "qb")]
-            gap = np.abs(counts[0] - counts[1]).sum(axis=1, dtype=np.int64)
-            both = sum(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
-            yield batch.select(["a", "b"]).filter(pa.array(gap * (numerator + denominator) <= both * (denominator - numerator)))
+            counts = [batch.column(c).to_pylist() for c in ("qa", "qb")]
+            sizes = np.array([[len(x) for x in side] for side in counts], np.int64).reshape(2, -1)
+            gap = np.zeros(batch.num_rows, np.int64)
+            for both in np.unique(sizes, axis=1).T.tolist():
+                at = np.flatnonzero((sizes[0] == both[0]) & (sizes[1] == both[1]))
+                # parts are low bits of hashes, so a finer count folds into a coarser one
+                x, y = (np.frombuffer(b"".join(side[i] for i in at), np.uint8).reshape(len(at), -1, min(both)).sum(axis=1, dtype=np.int64) for side in counts)
+                gap[at] = np.abs(x - y).sum(axis=1)
+            total = sum(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
+            yield batch.select(["a", "b"]).filter(pa.array(gap * (numerator + denominator) <= total * (denominator - numerator)))
 
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "qa", "qb", "na", "nb"), near, "a long, b long")
 
@@ -188,13 +239,76 @@ def _linked(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int)
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), compare, "u long, v long")
 
 
-def _pairs(members: DataFrame, with_: DataFrame) -> DataFrame:
-    """Candidate pairs a < b of the same region, with sizes and places."""
-    other = with_.select("shingle", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "place")])
-    both = members.join(other, "shingle")
-    return both.where("key != key_").select(
-        F.least("key", "key_").alias("a"), F.greatest("key", "key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb"), F.col("place").alias("pa"), F.col("place_").alias("pb")
-    )
+def _regions(described: DataFrame) -> DataFrame:
+    """shingle, key, n, place, crowd: the documents of each pivot that more than one has."""
+    postings = described.select("key", "n", F.posexplode("pivots").alias("place", "shingle"))
+    return postings.withColumn("crowd", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("crowd > 1")
+
+
+def _pairs(members: DataFrame, others: DataFrame, each_once: bool, window: Column) -> DataFrame:
+    """Candidate pairs a < b that meet in a region and pass its windows. each_once: both sides are the same rows."""
+    x = members.select("shingle", F.col("key").alias("kx"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    y = others.select("shingle", F.col("key").alias("ky"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    both = x.join(y, "shingle").where(F.col("kx") < F.col("ky") if each_once else F.col("kx") != F.col("ky")).where(window)
+    return both.select(F.least("kx", "ky").alias("a"), F.greatest("kx", "ky").alias("b"))
+
+
+def _joined_in_blocks(members: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """u, v: links between classes within regions (shingle, key, label, crowd), enough of them to connect whatever links.
+
+    Pairs of one class are skipped, and of others all are compared, against postings of the block's shingles.
+    """
+    blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    dealt = members.select("shingle", "key", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key", "label")
+
+    def links(keys: list[int], labels: list[int], own: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        parent = {label: label for label in labels}
+
+        def root(label: int) -> int:
+            while parent[label] != label:
+                parent[label] = parent[parent[label]]
+                label = parent[label]
+            return label
+
+        sizes = np.array([len(x) for x in own], np.int64)
+        values, codes = np.unique(np.concatenate(own), return_inverse=True)
+        doc = np.repeat(np.arange(len(own)), sizes)
+        by_value = np.argsort(codes, kind="stable")
+        posted, bounds = doc[by_value], np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(values)))])
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        often = max(set(labels), key=labels.count)
+        for k in sorted(range(len(keys)), key=lambda k: (labels[k] == often, keys[k])):
+            if labels[k] == often:
+                break  # its pairs with every other class are done
+            lists = [posted[bounds[c] : bounds[c + 1]] for c in codes[first[k] : first[k + 1]].tolist()]
+            common = np.bincount(np.concatenate(lists), minlength=len(keys))
+            for m in np.flatnonzero(denominator * common >= numerator * (sizes + sizes[k] - common)).tolist():
+                x, y = root(labels[k]), root(labels[m])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    yield keys[k], keys[m]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, ([], [], [])
+
+        def solved() -> pa.RecordBatch:
+            found = list(links(*held)) if len(set(held[1])) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("shingle", "i", "j", "key", "label", "shingles")]
+            for shingle, i, j, key, label, data in zip(*columns, strict=True):
+                if (shingle, i, j) != cell:
+                    yield solved()
+                    cell, held = (shingle, i, j), ([], [], [])
+                for side, value in zip(held, (key, label, np.frombuffer(data, np.uint64)), strict=True):
+                    side.append(value)
+        yield solved()
+
+    cells = dealt.join(sets, "key").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "key")
+    return map_batches(cells.select("shingle", "i", "j", "key", "label", "shingles"), join, "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
@@ -207,51 +321,45 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     that share an id are linked by their texts. Sets are compared by 64-bit hashes of shingles.
     """
     rows = _rows(docs, id_col, text_col)
-    described = staged(_described(rows, frequent_shingles(rows, n_words), n_words, numerator, denominator), "shingle-sets")
+    often = frequent_shingles(rows.select("text"), lambda texts: shingle_sets(texts, n_words), "text")
+    described = staged(_described(rows, often, n_words, numerator, denominator), "shingle-sets")
     full = described.where("n > 0")
     one_each = full.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id")).alias("first"), F.count(F.lit(1)).alias("rows"))
     firsts = staged(one_each.select("key", F.col("first.doc_id").alias("first_id"), "rows"), "distinct-sets")
     # of rows with equal sets only the first one's (the rows that share its id) are dealt out
     repeats = firsts.where("rows > 1").select("key", "first_id", F.lit(True).alias("repeated"))
+    if repeats.count() <= BROADCAST_KEYS:
+        repeats = F.broadcast(repeats)
     distinct_sets = full.join(repeats, "key", "left").where(F.col("repeated").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "n", "parts", "pivots")
-    postings = distinct_sets.select("key", "n", F.posexplode("pivots").alias("place", "shingle"))
-    crowd = Window.partitionBy("shingle")
-    regions = staged(postings.withColumn("crowd", F.count(F.lit(1)).over(crowd)).where("crowd > 1"), "regions")
+    regions = staged(_regions(distinct_sets), "regions")
     sketches = staged(distinct_sets.join(regions.select("key").distinct(), "key", "left_semi").select("key", "n", "parts").dropDuplicates(["key"]), "part-counts")
-
+    window = _windows(numerator, denominator)
     small = regions.where(F.col("crowd") <= CROWD)
-    candidates = _pairs(small, small).where("a < b").where(_windows(numerator, denominator)).select("a", "b")
-    large, pivots_each = regions.where(F.col("crowd") > CROWD).drop("crowd"), PIVOTS
-    tested: DataFrame | None = None
-    edges, labels = None, None
-    while True:
-        if large is not None:
-            salted = large.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(pivots_each)))
-            chosen = staged(salted.groupBy("shingle", "salt").agg(F.min(F.struct("key", "n", "place")).alias("p")).select("shingle", "p.*"), "pivots")
-            starred = _pairs(large, chosen).where(_windows(numerator, denominator)).select("a", "b")
-            candidates = starred if candidates is None else candidates.unionByName(starred)
-        pairs = candidates.distinct()
-        if labels is not None:
-            la, lb = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = pairs.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-        near = staged(_near_in_parts(pairs, sketches, numerator, denominator), "near-pairs")
-        if tested is not None:
-            near = near.join(tested, ["a", "b"], "left_anti")
-        wanted = staged(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "compared-keys")
-        sets = staged(_whole_sets(rows, wanted, n_words), "whole-sets")
-        found = staged(_linked(near, sets, numerator, denominator), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        tested = near if tested is None else tested.unionByName(near)
-        labels = staged(components(edges), "labels")
-        if large is None:
-            break
-        left = large.join(chosen.select("shingle", "key"), ["shingle", "key"], "left_anti")
-        named = left.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-        several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-        large = staged(left.join(several.select("shingle"), "shingle", "left_semi"), "crowded-regions")
-        if large.isEmpty():
-            break
-        candidates, pivots_each = None, pivots_each * 8
+    near = staged(_near_in_parts(_pairs(small, small, True, window).distinct(), sketches, numerator, denominator), "near-pairs")
+    in_crowds = staged(regions.where(F.col("crowd") > CROWD).select("key").distinct(), "keys-in-crowds")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("key")).unionByName(in_crowds).distinct()
+    sets = staged(_whole_sets(rows, staged(wanted.join(firsts.select("key", "first_id"), "key"), "compared-keys"), n_words), "whole-sets")
+
+    # documents that met in crowded regions meet again, by an order that puts last what is frequent among them
+    again = sets.join(in_crowds, "key", "left_semi")
+    again_often = np.union1d(often, frequent_shingles(again.select("shingles"), _stored_sets, "shingles"))
+    regions = staged(_regions(_reordered(again, again_often, numerator, denominator)), "regions-again")
+    small, crowded = regions.where(F.col("crowd") <= CROWD), regions.where(F.col("crowd") > CROWD)
+    # the pivots of a crowded region are those of its documents that are in most crowded regions
+    central = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("central"))
+    ranked = crowded.join(central, "key").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)))
+    pivots = staged(ranked.groupBy("shingle", "salt").agg(F.max(F.struct("central", "key", "n", "place")).alias("p")).select("shingle", "p.key", "p.n", "p.place"), "pivots")
+    pairs = _pairs(small, small, True, window).unionByName(_pairs(crowded, pivots, False, window)).distinct().join(near, ["a", "b"], "left_anti")
+    near_again = staged(_near_in_parts(pairs, sketches, numerator, denominator), "near-pairs-again")
+    links = staged(_linked(near.unionByName(near_again), sets, numerator, denominator), "links")
+    labels = staged(components(links), "labels")
+    # what links to a pivot is one class; crowded regions of several classes are joined in blocks
+    named = crowded.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    named = staged(named.select("shingle", "key", "label", "crowd"), "classes")
+    several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("shingle")
+    more = staged(_joined_in_blocks(named.join(several, "shingle", "left_semi"), sets, numerator, denominator), "block-links")
+    if not more.isEmpty():
+        labels = staged(components(links.unionByName(more)), "labels")
     merged = firsts.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     names = staged(merged.groupBy("label").agg(F.min("first_id").alias("component_id")), "component-names")
     by_key = staged(merged.select("key", "label").join(names, "label").select("key", "component_id"), "component-of-set")
