@@ -23,7 +23,7 @@ META = b"\xe2\x96\x81"  # how a model file spells a space
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Below the worst piece by so much is a character that has no piece of its own (fixed value of the format).
 UNKNOWN_PENALTY = 10.0
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 LONG_UNIT = 2048
 
 
@@ -139,13 +139,13 @@ class PieceModel:
             hit = self.keys[slot] == h
             at, h, piece = at[hit], h[hit], self.piece_at[slot[hit]]
             whole = piece >= 0
-            found.append((at[whole], np.full(int(whole.sum()), n, np.int64), piece[whole]))
-        return tuple(np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((), (), ())))
+            found.append((at[whole].astype(np.int32), np.full(int(whole.sum()), n, np.int32), piece[whole].astype(np.int32)))
+        return tuple(np.concatenate(x) if found else np.zeros(0, np.int32) for x in (zip(*found, strict=True) if found else ((), (), ())))
 
     def encode_units(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units end to end, and their offsets. No unit is empty."""
         lengths = off[1:] - off[:-1]
-        unit = np.repeat(np.arange(len(lengths)), lengths)
+        unit = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         start, n, piece = self.matches(raw, off[1:][unit])
         score = self.scores[piece]
         # characters without a piece of their own
@@ -154,22 +154,23 @@ class PieceModel:
         single = np.zeros(len(raw), np.int64)
         np.maximum.at(single, start, np.where(n == self._width_at(heads, width, len(raw))[start], n, 0))
         lone = single[heads] == 0
-        start = np.concatenate([start, heads[lone]])
-        n = np.concatenate([n, width[lone]])
+        start = np.concatenate([start, heads[lone].astype(np.int32)])
+        n = np.concatenate([n, width[lone].astype(np.int32)])
         score = np.concatenate([score, np.full(int(lone.sum()), self.unknown)])
-        piece = np.concatenate([piece, np.full(int(lone.sum()), -1)])
+        piece = np.concatenate([piece, np.full(int(lone.sum()), -1, np.int32)])
 
-        within = start - off[unit[start]]
-        size = lengths[unit[start]]
-        order = np.lexsort((n, within, size))
-        start, n, score, piece, within, size = (x[order] for x in (start, n, score, piece, within, size))
+        # by length of the unit, place in it and length of the piece
+        step = (lengths[unit[start]] << 40) | ((start - off[unit[start]]) << 12) | n
+        order = np.argsort(step, kind="stable")
+        start, n, score, piece, step = (x[order] for x in (start, n, score, piece, step))
+        del order
         best = np.full(len(raw) + len(lengths), -np.inf)  # best[off[u] + u + p]: units have one place more than bytes
         back = np.full(len(best), -1, np.int64)
         base = off[:-1] + np.arange(len(lengths))
         best[base] = 0.0
         slot = start + unit[start]
-        small = int(np.searchsorted(size, LONG_UNIT, "right"))
-        change = np.flatnonzero(np.diff(within[:small]) | np.diff(n[:small]) | np.diff(size[:small])) + 1
+        small = int(np.searchsorted(step, (LONG_UNIT + 1) << 40, "left"))
+        change = np.flatnonzero(np.diff(step[:small])) + 1
         for a, b in zip(np.concatenate([[0], change]).tolist() if small else [], np.append(change, small).tolist() if small else [], strict=True):
             source, target = slot[a:b], slot[a:b] + n[a]
             value = best[source] + score[a:b]
