@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +45,24 @@ def text_or_empty(name: str = "text") -> Column:
 ARROW_BATCH_BYTES = 4 << 20
 
 
+def _release_memory() -> None:
+    """Gives what a task has freed back to the system: Python workers stay for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """df.mapInArrow with batches bounded in bytes."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            _release_memory()
+
+    return df.mapInArrow(run, schema)
