@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textloom.llm.common import map_batches, staged, text_or_empty
 from textloom.llm.star_components import components
@@ -188,8 +187,7 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
             sets = shingle_sets(batch.column("text"), n_words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "key", "shingles"])
 
-    keys = wanted if wanted.count() > BROADCAST_KEYS else F.broadcast(wanted)
-    return map_batches(rows, collect, "doc_id long, key long, shingles binary").join(keys, "key").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "shingles")
+    return map_batches(rows, collect, "doc_id long, key long, shingles binary").join(_limited(wanted), "key").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "shingles")
 
 
 def _windows(numerator: int, denominator: int) -> Column:
@@ -239,10 +237,19 @@ def _linked(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int)
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), compare, "u long, v long")
 
 
+def _limited(keys: DataFrame) -> DataFrame:
+    """keys, with a broadcast hint if they are few enough; otherwise Spark shuffles both sides and splits hot keys."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def _regions(described: DataFrame) -> DataFrame:
-    """shingle, key, n, place, crowd: the documents of each pivot that more than one has."""
+    """shingle, key, n, place, crowd: the documents of each pivot that more than one has.
+
+    Counts are summed before their shuffle, so no task gathers a hot pivot's documents.
+    """
     postings = described.select("key", "n", F.posexplode("pivots").alias("place", "shingle"))
-    return postings.withColumn("crowd", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("crowd > 1")
+    crowds = staged(postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "crowds")
+    return postings.join(_limited(crowds), "shingle").select("shingle", "key", "n", "place", "crowd")
 
 
 def _pairs(members: DataFrame, others: DataFrame, each_once: bool, window: Column) -> DataFrame:
@@ -328,9 +335,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     firsts = staged(one_each.select("key", F.col("first.doc_id").alias("first_id"), "rows"), "distinct-sets")
     # of rows with equal sets only the first one's (the rows that share its id) are dealt out
     repeats = firsts.where("rows > 1").select("key", "first_id", F.lit(True).alias("repeated"))
-    if repeats.count() <= BROADCAST_KEYS:
-        repeats = F.broadcast(repeats)
-    distinct_sets = full.join(repeats, "key", "left").where(F.col("repeated").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "n", "parts", "pivots")
+    distinct_sets = full.join(_limited(repeats), "key", "left").where(F.col("repeated").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "n", "parts", "pivots")
     regions = staged(_regions(distinct_sets), "regions")
     sketches = staged(distinct_sets.join(regions.select("key").distinct(), "key", "left_semi").select("key", "n", "parts").dropDuplicates(["key"]), "part-counts")
     window = _windows(numerator, denominator)
