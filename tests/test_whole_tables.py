@@ -35,3 +35,10 @@ def test_xor_scan_reads_every_row(spark, folder):
             want |= {(i, key, f) for f in re.findall(FLAG, bytes(b ^ key for b in turned).decode("utf-8", "ignore"))}
     got = {(r.doc_id, r.key, r.flag) for r in QUERIES["xor_scan"](spark, folder(documents=[doc(i) for i in ids])).collect()}
     assert got == want and {i for i, _, _ in got} == set(ids)
+
+
+def test_flag_extract_reads_whole_texts(spark, folder):
+    texts = ["x" * 190 + " FLAG{across_the_cut} y", "word " * 3000 + "ctf{late} and HTB{later}", "FLAG{early}", ""]
+    want = {i: ",".join([m[0] for m in re.finditer(FLAG, t)] + [f"FLAG{{src1_{i}}}", f"htb{{{i}}}"]) for i, t in enumerate(texts)}
+    got = {r.doc_id: r.flags for r in QUERIES["flag_extract"](spark, folder(documents=[doc(i, t) for i, t in enumerate(texts)])).collect()}
+    assert got == want

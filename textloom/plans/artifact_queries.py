@@ -24,7 +24,7 @@ def _flagged(spark, sf_dir):
 
 @query(f"SELECT doc_id, array_to_string(regexp_extract_all(text[1:200] || ' ' || {NAME} || ' htb{{' || doc_id || '}}', {S.quoted(FLAG)}), ',') AS flags FROM documents")
 def flag_extract(spark, sf_dir):
-    text = F.concat(F.substring("text", 1, 200), F.lit(" "), "flag", F.lit(" htb{"), F.col("doc_id").cast("string"), F.lit("}"))
+    text = F.concat("text", F.lit(" "), "flag", F.lit(" htb{"), F.col("doc_id").cast("string"), F.lit("}"))
     return _flagged(spark, sf_dir).select("doc_id", F.array_join(D.flags(text), ",").alias("flags"))
 
 
