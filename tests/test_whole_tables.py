@@ -42,3 +42,19 @@ def test_flag_extract_reads_whole_texts(spark, folder):
     want = {i: ",".join([m[0] for m in re.finditer(FLAG, t)] + [f"FLAG{{src1_{i}}}", f"htb{{{i}}}"]) for i, t in enumerate(texts)}
     got = {r.doc_id: r.flags for r in QUERIES["flag_extract"](spark, folder(documents=[doc(i, t) for i, t in enumerate(texts)])).collect()}
     assert got == want
+
+
+def test_reports_count_every_source(spark, folder):
+    sources = ["src3", "src3", "src3", "src1", "src1", None, "bare", "bare"]
+    docs = [doc(i, source=s) for i, s in enumerate(sources)]
+    labels = [{"doc_id": i, "quality": int(i % 3 > 0), "toxic": int(i == 1)} for i in range(6)]  # none of source 'bare'
+    data = folder(documents=docs, labels=labels)
+    sums = QUERIES["report_rollup"](spark, data).first()
+    assert (sums.reviewed, sums.accepted, sums.improved, sums.rejected, sums.categories) == (6, 4, 1, 2, 3)
+    scores = [7 + i % 4 if i % 3 else i % 7 for i in range(6)]
+    mean = sum(s for s in scores if s > 0) / sum(s > 0 for s in scores)
+    ready = QUERIES["readiness_score"](spark, data).first()
+    assert ready.mean_score == pytest.approx(mean)
+    assert ready.readiness == pytest.approx(min(40, mean * 4) + 4 / 200 * 20 + 3 / 6 * 20 + 20)
+    got = {r.category: (r.reviewed, r.accepted, r.avg_final_score, r.has_report) for r in QUERIES["report_completion"](spark, data).collect()}
+    assert got == {"src3": (3, 2, sum(scores[:3]) / 3, True), "src1": (2, 1, sum(scores[3:5]) / 2, True), None: (1, 1, scores[5], True), "bare": (2, 2, 8.5, False)}

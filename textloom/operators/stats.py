@@ -63,7 +63,7 @@ def report_rollup(reports: DataFrame) -> DataFrame:
 
 def complete_reports(reports: DataFrame, cleaned_counts: DataFrame) -> DataFrame:
     """Reports, and for categories that have none all cleaned rows as accepted with scores 8.0 and 8.5."""
-    missing = cleaned_counts.join(reports.select("category"), "category", "left_anti")
+    missing = cleaned_counts.join(reports, cleaned_counts["category"].eqNullSafe(reports["category"]), "left_anti")  # a null category is one, too
     assumed = missing.select("category", F.col("n").alias("reviewed"), F.col("n").alias("accepted"), *[F.lit(0).cast("long").alias(c) for c in ("improved", "rejected", "duplicates")], F.lit(8.0).alias("avg_original_score"), F.lit(8.5).alias("avg_final_score"), F.lit(False).alias("has_report"))
     return reports.withColumn("has_report", F.lit(True)).unionByName(assumed)
 

@@ -70,7 +70,7 @@ REPORTS = f"(SELECT source AS category, count(*) AS reviewed, count(*) FILTER (q
 
 def _reports(spark, sf_dir):
     good = F.col("quality") == "good"
-    return _scored(spark, sf_dir).where("source <> 'src3'").groupBy(F.col("source").alias("category")).agg(
+    return _scored(spark, sf_dir).groupBy(F.col("source").alias("category")).agg(
         F.count(F.lit(1)).alias("reviewed"), F.count_if(good).alias("accepted"), F.count_if(F.col("toxic") == 1).alias("improved"), F.count_if(~good).alias("rejected"), F.lit(0).cast("long").alias("duplicates"), F.avg("score").alias("avg_original_score"), F.avg("score").alias("avg_final_score")
     )
 
