@@ -82,3 +82,17 @@ def test_equals_sql_where_tokens_are_random(docs_of, tmp_path):
     ours = op.find_secrets(docs).toPandas()
     assert ours["n_random"].sum() > 20
     assert rows(ours) == rows(con.execute(sql.secret_scan()).fetchdf())
+
+
+@pytest.mark.parametrize("kind", ["named", "path", "glued", "lower base32", "base36", "BASE36"])
+def test_random_values_beside_names(docs_of, kind):
+    random.seed(6)
+    base64, url = op.UPPER + op.LOWER + op.DIGITS + "+/", op.UPPER + op.LOWER + op.DIGITS + "-_"
+    drawn = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
+    around = {"named": ("AWS_SECRET_ACCESS_KEY=", base64, ""), "path": ("/a/b/", url, "/c-d"), "glued": ("my_key-", base64, ""), "lower base32": ("", op.LOWER + "234567", ""), "base36": ("", op.DIGITS + op.LOWER, ""), "BASE36": ("", op.DIGITS + op.UPPER, "")}
+    before, letters, after = around[kind]
+    values = [drawn(letters, 44) for _ in range(200)]
+    got = op.find_secrets(docs_of([(i, f"see {before}{v}{after} here") for i, v in enumerate(values)])).collect()
+    start = 4 + len(before)
+    spans = {i: {tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s} for i, r in ((r.doc_id, r) for r in got)}
+    assert sum(any(a <= start and start + 44 <= b for a, b in found) for found in spans.values()) >= 170

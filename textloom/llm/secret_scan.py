@@ -3,7 +3,8 @@
 All in DataFrame expressions. A match's position is found from what lies between matches: the pieces of a
 split by the pattern and the matches themselves alternate, so running sums of their lengths are offsets.
 
-The battery takes each long token that no base match touches, infers its encoding, maps its characters to
+The battery takes each long token that no base match touches, infers its encoding ('=' ends a token; one that
+mixes '+' or '/' with '_' or '-' is no encoding's and is cut at either pair of them), maps its characters to
 numbers and tests them against independent uniform draws: a chi-squared test of five bins of the
 alphabet, a runs test around the alphabet's middle and a lag-one serial correlation. The smallest
 p-value, corrected for three tests, is uniform for random tokens and near 0 for words, paths and names.
@@ -26,7 +27,7 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-#: Encodings by precedence: name, pattern of a whole token without padding, alphabet in order of value.
+#: TOKEN and ENCODINGS are the SQL's. Encodings by precedence: name, pattern of a whole token without padding, alphabet in order of value.
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (
     ("hex", r"^[0-9a-f]+$", DIGITS + "abcdef"),
@@ -35,6 +36,14 @@ ENCODINGS = (
     ("base64", r"^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("base64url", r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_"),
 )
+#: Encodings of one case, which the SQL does not have; they come before base64.
+CASED_ENCODINGS = (
+    ("lower base32", r"^[a-z2-7]+$", LOWER + "234567"),
+    ("base36", r"^[0-9a-z]+$", DIGITS + LOWER),
+    ("BASE36", r"^[0-9A-Z]+$", DIGITS + UPPER),
+)
+#: What is tested: a token that '=' only ends, and the parts of one that fits no encoding, cut at '_' and '-' or at '+' and '/'.
+PIECE, PARTS = r"[A-Za-z0-9+/_-]{20,}=*", (r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*")
 BINS = 5
 FALSE_DISCOVERY_RATE = 0.05
 GRID = 50
@@ -70,7 +79,7 @@ def battery(token: Column) -> Column:
     """The corrected p-value of a token under random draws from its inferred alphabet; null where none fits."""
     bare = F.regexp_replace(token, "=+$", "")
     out = F.lit(None).cast("double")
-    for _, pattern, alphabet in reversed(ENCODINGS):
+    for _, pattern, alphabet in reversed((*ENCODINGS[:3], *CASED_ENCODINGS, *ENCODINGS[3:])):
         out = F.when(bare.rlike(pattern), _battery_over(bare, alphabet)).otherwise(out)
     return out
 
@@ -127,6 +136,18 @@ def thresholds(tokens: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
     return table.select("length_class", F.coalesce(*good, F.lit(0.5)).alias("threshold"))
 
 
+def candidates(text: Column) -> Column:
+    """array<struct<start, end, n>> of what the battery takes; parts by the two cuts may overlap, equal ones are there once."""
+
+    def cut(piece):
+        own = F.substring(text, piece["start"] + 1, piece["n"])
+        moved = lambda s: F.struct((piece["start"] + s["start"]).alias("start"), (piece["start"] + s["end"]).alias("end"), s["n"].alias("n"))
+        parts = F.array_distinct(F.concat(*[F.transform(match_spans(own, pattern), moved) for pattern in PARTS]))
+        return F.when(own.rlike("[+/]") & own.rlike("[_-]"), parts).otherwise(F.array(piece))
+
+    return F.flatten(F.transform(match_spans(text, PIECE), cut))
+
+
 KINDS = ("assign", "access", "hex", "random")
 
 
@@ -143,7 +164,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.filter(match_spans(text, ASSIGN, 2), lambda s: s["n"] >= ASSIGN_LEAST).alias("assign"),
         F.filter(match_spans(text, ACCESS), lambda s: s["n"] >= ACCESS_LEAST).alias("access"),
         match_spans(text, HEX).alias("hex"),
-        match_spans(text, TOKEN).alias("candidates"),
+        candidates(text).alias("candidates"),
         "text",
     )
     base = F.concat("assign", "access", "hex")
@@ -158,7 +179,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     Spans are kind:start:end by start, then kind in the order of KINDS; positions in code points, the end
-    exclusive. Null and empty texts have none. Ids are passed on as they are, nulls and repeats too. The
+    exclusive. A random part within a longer random part is not told again. Null and empty texts have none. Ids are passed on as they are, nulls and repeats too. The
     text is read once; what is found in it is written to the shared folder, then thresholds come from
     counts over all tokens and join back by length class (under a hundred rows, so broadcast).
     """
@@ -167,6 +188,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_class = limits.agg(F.map_from_entries(F.collect_list(F.struct("length_class", "threshold"))).alias("limits"))
     rows = found.join(F.broadcast(by_class))  # one row
     random = F.filter("tokens", lambda t: t["p"] >= F.greatest(F.lit(LEAST_THRESHOLD), F.coalesce(F.try_element_at("limits", t["length_class"]), F.lit(1.0))))
+    rows = rows.withColumn("found", random)
+    random = F.filter("found", lambda s: ~F.exists("found", lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])))
 
     def numbered(kind: str) -> Column:
         return F.transform(random if kind == "random" else kind, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
