@@ -1,3 +1,7 @@
+import json
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -62,5 +66,26 @@ def test_one_document_is_read_alone(docs_of):
         op.Shard(f"{store.folder}/{store.manifest[0][1]}", b"another")
 
 
+def test_a_fresh_process_reads_the_folder(docs_of):
+    texts = {i: f"word{i} " * (i + 1) for i in range(300)}
+    store = op.write_token_store(docs_of(list(texts.items())), PATH)
+    assert store.dictionary
+    code = """
+import json, sys
+from textloom.llm.token_store import TokenStore
+store, out, at = TokenStore.open(sys.argv[1]), {}, 0
+for k, (_, _, start) in enumerate(store.manifest):
+    shard = store.shard(k)
+    assert start == at
+    for row in range(len(shard.index)):
+        out[int(shard.index[row]["doc_id"])] = shard.ids(row).tolist()
+    at += int(shard.index["n_ids"].sum())
+print(json.dumps(out))
+"""
+    done = subprocess.run([sys.executable, "-c", code, store.folder], capture_output=True, text=True, timeout=100, check=True, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert {int(i): ids for i, ids in json.loads(done.stdout.splitlines()[-1]).items()} == {i: ids_of(t) for i, t in texts.items()}
+    assert sorted(map(tuple, op.TokenStore.open(store.folder).digest().collect())) == sorted(map(tuple, store.digest().collect()))
+
+
 def test_empty_table(nothing):
     assert op.write_token_store(nothing, PATH).digest().count() == 0

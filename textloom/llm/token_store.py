@@ -3,12 +3,14 @@
 A shard file is: MAGIC, SHA-256 of the dictionary, the frames end to end, then the index (per document
 doc_id, presence of the id, frame offset, frame length, number of ids), and a tail with the index offset
 and the number of documents. Any document is read with the index and one frame. Shards hold ascending
-ranges of doc_id; the manifest has for each shard how many ids precede it.
+ranges of doc_id. Beside the shards lie the dictionary and the manifest, which has for each shard how many
+ids precede it; it is written last, so a folder with a manifest is whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import uuid
 import zlib
@@ -21,14 +23,15 @@ import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from textloom.llm.common import map_batches, staged, text_or_empty, work_dir
+from textloom.llm.common import map_batches, text_or_empty, work_dir
 from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped, word_bounds
 
 MAGIC = b"TLIDS001"
+DICTIONARY, MANIFEST_FILE = "dictionary.zstd", "manifest.json"
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("length", "<u4"), ("n_ids", "<u8")])
 TAIL, TAIL_BYTES = "<QQ", 16
 END_ID = 2
@@ -219,24 +222,44 @@ class Shard:
             yield rows, [self._unpack(data[o : o + n], m) for o, n, m in zip((rows["offset"] - first).tolist(), rows["length"].tolist(), rows["n_ids"].tolist(), strict=True)]
 
 
+def _write_file(folder: str, name: str, data: bytes) -> None:
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/{name}") as out:
+        out.write(data)
+
+
+def _read_file(folder: str, name: str) -> bytes:
+    store, root = fs.FileSystem.from_uri(folder)
+    with store.open_input_stream(f"{root}/{name}") as file:
+        return file.read()
+
+
 class TokenStore:
-    """A written store: folder, dictionary, and a manifest with each shard's first id position."""
+    """A written store: folder, dictionary, and a manifest with each shard's first id position, all read from the folder."""
+
+    def __init__(self, spark, folder: str):
+        self.spark, self.folder, self.dictionary = spark, folder, _read_file(folder, DICTIONARY)
+        self.manifest = [(x["shard"], x["name"], x["start"]) for x in json.loads(_read_file(folder, MANIFEST_FILE))]
+
+    @classmethod
+    def open(cls, folder: str, spark=None) -> TokenStore:
+        """The store in a folder, whoever wrote it; shards can be read without Spark, the digest cannot."""
+        return cls(spark or SparkSession.getActiveSession(), folder)
 
-    def __init__(self, spark, folder: str, dictionary: bytes, manifest: list):
-        self.spark, self.folder, self.dictionary = spark, folder, dictionary
-        self.manifest, start = [], 0
-        for row in sorted(manifest, key=lambda r: r["shard"]):
-            self.manifest.append((row["shard"], row["name"], start))
-            start += row["n_ids"]
+    def shard(self, k: int) -> Shard:
+        return Shard(f"{self.folder}/{self.manifest[k][1]}", self.dictionary)
 
     def digest(self) -> DataFrame:
         """Per document, from the files: doc_id, start, n_tokens, ids_crc32, frame_bytes."""
-        folder, dictionary = self.folder, self.dictionary
+        folder = self.folder
         shards = self.spark.createDataFrame(self.manifest, "shard int, name string, start long")
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dictionary = None
             for batch in batches:
                 for x in batch.to_pylist():
+                    dictionary = _read_file(folder, DICTIONARY) if dictionary is None else dictionary
                     start = x["start"]
                     for rows, ids in Shard(f"{folder}/{x['name']}", dictionary).scan():
                         n = rows["n_ids"].astype(np.int64)
@@ -261,5 +284,11 @@ def write_token_store(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     dictionary = train_dictionary(rows, tokenizer_path, "text", "doc_id")
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = staged(map_batches(ranged, shard_writer(folder, tokenizer_path, dictionary, batch_bytes), MANIFEST_SQL), "token-manifest")
-    return TokenStore(spark, folder, dictionary, manifest.collect())
+    _write_file(folder, DICTIONARY, dictionary)
+    shards = map_batches(ranged, shard_writer(folder, tokenizer_path, dictionary, batch_bytes), MANIFEST_SQL).collect()
+    manifest, start = [], 0
+    for row in sorted(shards, key=lambda r: r["shard"]):
+        manifest.append(row.asDict() | {"start": start})
+        start += row["n_ids"]
+    _write_file(folder, MANIFEST_FILE, json.dumps(manifest).encode())
+    return TokenStore(spark, folder)
