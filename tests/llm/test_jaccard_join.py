@@ -80,3 +80,11 @@ def test_threshold_is_exact(docs_of):
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (2, 1), (8, 9)], "u long, v long")
     assert {r.node: r.label for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
+
+
+def test_one_row_is_kept_whatever_the_ids(docs_of):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(3, a), (5, a + " more"), (5, b), (None, b + " more"), (None, c), (None, c + " more"), (7, ""), (7, "")]
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in op.keep_one_each(docs_of(rows)).collect())
+    assert kept[:4] == [(False, 3, a), (False, 5, b), (False, 7, ""), (False, 7, "")]
+    assert len(kept) == 5 and kept[4][0] and kept[4][2].startswith(c)

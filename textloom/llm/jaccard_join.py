@@ -373,10 +373,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with one document of each component: those whose id is the component's smallest.
+    """docs with one row of each component: that of the smallest id, of equal ids by a hash of the text; null ids come last.
 
-    Rows that share the kept id stay together, and rows with a null id are kept, since nothing tells them apart.
+    Rows are told apart by a number of their own, so shared and null ids neither lose a text nor keep a copy.
     """
-    found = jaccard_components(docs, id_col, text_col, **options)
-    dropped = staged(found.where("doc_id != component_id").select(F.col("doc_id").alias("__dropped")).distinct(), "near-copies")
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    numbered = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    found = jaccard_components(numbered, "__row", text_col, **options).select(F.col("doc_id").alias("__row"), "component_id")
+    own_id = F.col(id_col).cast("long")
+    order = F.struct(own_id.isNull().alias("null_id"), own_id.alias("id"), F.xxhash64(text_col).alias("hash"), F.col("__row").alias("row"))
+    members = staged(found.join(numbered.select("__row", order.alias("order")), "__row"), "component-rows")
+    copies = members.where("__row != component_id").select("component_id").distinct()
+    several = members.join(copies, "component_id", "left_semi")
+    kept = several.groupBy("component_id").agg(F.min("order")["row"].alias("__row"))
+    dropped = staged(several.select("__row").join(kept.select("__row"), "__row", "left_anti"), "near-copies")
+    return numbered.join(dropped, "__row", "left_anti").select(*docs.columns)
