@@ -58,3 +58,10 @@ def test_reports_count_every_source(spark, folder):
     assert ready.readiness == pytest.approx(min(40, mean * 4) + 4 / 200 * 20 + 3 / 6 * 20 + 20)
     got = {r.category: (r.reviewed, r.accepted, r.avg_final_score, r.has_report) for r in QUERIES["report_completion"](spark, data).collect()}
     assert got == {"src3": (3, 2, sum(scores[:3]) / 3, True), "src1": (2, 1, sum(scores[3:5]) / 2, True), None: (1, 1, scores[5], True), "bare": (2, 2, 8.5, False)}
+
+
+def test_telemetry_parse_keeps_every_row(spark, folder):
+    values = [1.5, 0.0, -0.5, -2.25, None]
+    data = folder(events=[{"event_id": i, "value": v} for i, v in enumerate(values)])
+    got = {r.event_id: (r.used, r.reserved) for r in QUERIES["telemetry_parse"](spark, data).collect()}
+    assert got == {i: (v, None if v is None else v + 1) for i, v in enumerate(values)}

@@ -142,7 +142,7 @@ def with_step_times(telemetry: DataFrame, total_steps: int, step: str = "step",
 
 def memory_pair(text: Column) -> tuple[Column, Column]:
     """Numbers of '8.20GB / 11.83GB'."""
-    number = lambda k: F.regexp_extract(text, r"([0-9.]+)\s*GB\s*/\s*([0-9.]+)\s*GB", k).try_cast("double")
+    number = lambda k: F.regexp_extract(text, r"((?:(?<!\w)-)?[0-9.]+)\s*GB\s*/\s*(-?[0-9.]+)\s*GB", k).try_cast("double")
     return number(1), number(2)
 
 

@@ -176,7 +176,7 @@ def telemetry_delta(spark, sf_dir):
 @query("SELECT event_id, value AS used, value + 1 AS reserved FROM events")
 def telemetry_parse(spark, sf_dir):
     used, reserved = stats.memory_pair(F.concat(F.col("value").cast("decimal(18,6)").cast("string"), F.lit("GB / "), (F.col("value") + 1).cast("decimal(18,6)").cast("string"), F.lit("GB")))
-    return read(spark, sf_dir, "events").where("value >= 0").select("event_id", used.alias("used"), reserved.alias("reserved"))
+    return read(spark, sf_dir, "events").select("event_id", used.alias("used"), reserved.alias("reserved"))
 
 
 @query("SELECT 'checkpoint-' || max(o_orderkey) AS latest, max(o_orderkey) AS step FROM orders")
