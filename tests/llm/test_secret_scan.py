@@ -96,3 +96,38 @@ def test_random_values_beside_names(docs_of, kind):
     start = 4 + len(before)
     spans = {i: {tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s} for i, r in ((r.doc_id, r) for r in got)}
     assert sum(any(a <= start and start + 44 <= b for a, b in found) for found in spans.values()) >= 170
+
+
+def test_running_values(spark):
+    random.seed(2)
+    rows = [([random.randrange(50) for _ in range(n)],) for n in (0, 1, 63, 64, 65, 4096, 9000)]
+    got = spark.createDataFrame(rows, "v array<int>").select("v", op.running(op.F.col("v"), op.F.lit(0), lambda a, b: a + b).alias("r")).collect()
+    for v, r in got:
+        assert r == [sum(v[:k]) for k in range(len(v))] if len(v) < 100 else r[-1] == sum(v[:-1])
+
+
+def test_overlaps_against_brute_force(spark):
+    random.seed(8)
+    spans = lambda n: [(a, a + random.randint(1, 9), 1, "x") for a in (random.randrange(300) for _ in range(n))]
+    rows = [(spans(random.randint(0, 60)), spans(random.randint(0, 30))) for _ in range(40)]
+    kind = "array<struct<start:int,end:int,n:int,hit:string>>"
+    c = op.F.col
+    got = spark.createDataFrame(rows, f"a {kind}, b {kind}").select(op.free_of(c("a"), c("b")).alias("free"), op.outermost(op.F.array_distinct(op.F.transform("a", lambda s: op.F.struct(s["start"].alias("start"), s["end"].alias("end"))))).alias("outer")).collect()
+    for (a, b), r in zip(rows, got, strict=True):
+        assert sorted((s.start, s.end) for s in r.free) == sorted(s[:2] for s in a if not any(s[0] < o[1] and o[0] < s[1] for o in b))
+        own = {s[:2] for s in a}
+        assert sorted((s.start, s.end) for s in r.outer) == sorted(s for s in own if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in own))
+
+
+@pytest.mark.parametrize("kind", ["one token", "many tokens", "many base matches"])
+def test_long_texts_take_linear_time(docs_of, kind):
+    import time
+
+    random.seed(5)
+    alphabet = op.UPPER + op.LOWER + op.DIGITS
+    drawn = lambda n: "".join(random.choices(alphabet, k=n))
+    text = {"one token": lambda: drawn(1_000_000), "many tokens": lambda: " ".join(drawn(24) for _ in range(100_000)), "many base matches": lambda: " ".join(f"token={drawn(10)} {drawn(24)}" for _ in range(50_000))}[kind]()
+    began = time.time()
+    (got,) = op.find_secrets(docs_of([(1, text)])).collect()
+    assert time.time() - began < 60
+    assert got.n_assign == (50_000 if kind == "many base matches" else 0) and got.n_random > (-1 if kind == "one token" else 25_000)

@@ -51,21 +51,58 @@ GRID = 50
 LEAST_THRESHOLD = 0.02
 
 
+#: Running values are made in chunks of so many, and their chunks' values in chunks again, so no array is copied more than this often.
+CHUNK, CHUNK_LEVELS = 64, 2
+
+
+def bound(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, zero: Column, merge, levels: int = CHUNK_LEVELS) -> Column:
+    """array: for each of values what merge makes of those before it, starting at zero. Linear in their number."""
+
+    def simply(part: Column, first: Column) -> Column:
+        empty = F.filter(F.array(first), lambda _: F.lit(False))
+        start = F.struct(first.alias("at"), empty.alias("out"))
+        return F.aggregate(part, start, lambda acc, v: F.struct(merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    if not levels:
+        return simply(values, zero)
+
+    def in_chunks(values: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(CHUNK))
+
+        def with_offsets(chunks: Column) -> Column:
+            offsets = running(F.transform(chunks, lambda c: F.aggregate(c, zero, merge)), zero, merge, levels - 1)
+            return F.flatten(F.zip_with(chunks, offsets, simply))
+
+        return bound(F.transform(firsts, lambda i: F.slice(values, i, F.lit(CHUNK))), with_offsets)
+
+    return bound(values, in_chunks)
+
+
 def match_spans(text: Column, pattern: str, group: int = 0) -> Column:
-    """array<struct<start, end, n>> of the leftmost non-overlapping matches, in code points; n: characters of the group."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,n:int>>")
+    """array<struct<start, end, n, hit>> of the leftmost non-overlapping matches, in code points; n: characters of the group."""
+    zero, whole = F.lit(0), "array<struct<start:int,end:int,n:int,hit:string>>"
 
-    def step(acc, pair):
-        start = acc["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["hit"])
-        n = F.char_length(pair["hit"] if group == 0 else F.regexp_extract(pair["hit"], pattern, group))
-        return F.struct(end.cast("int").alias("at"), F.concat(acc["spans"], F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), n.cast("int").alias("n")))).alias("spans"))
+    def placed(found: Column) -> Column:
+        def spans(lengths: Column) -> Column:
+            starts = running(F.transform(lengths, lambda x: x["gap"] + x["hit"]), zero, lambda a, b: a + b)
 
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("hit"))
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, zero, step)["spans"]).otherwise(empty)
+            def span(x: Column, before: Column) -> Column:
+                start = before + x["gap"]
+                return F.struct(start.alias("start"), (start + x["hit"]).alias("end"), x["n"].alias("n"), x["own"].alias("hit"))
+
+            return F.zip_with(lengths, starts, span)
+
+        gaps = F.split(text, pattern, -1)
+        size = lambda hit: F.char_length(hit if group == 0 else F.regexp_extract(hit, pattern, group))
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), F.char_length(hit).alias("hit"), size(hit).alias("n"), hit.alias("own")))
+        return F.when(F.size(found) > 0, bound(lengths, spans).cast(whole)).otherwise(F.array().cast(whole))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _normal_two_sided(z: Column) -> Column:
@@ -86,7 +123,7 @@ def battery(token: Column) -> Column:
 
 def _battery_over(token: Column, alphabet: str) -> Column:
     k = len(alphabet)
-    values = F.transform(F.sequence(F.lit(1), F.char_length(token)), lambda i: F.instr(F.lit(alphabet), F.substring(token, i, F.lit(1))) - 1)
+    values = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
     sizes = [sum(v * BINS // k == b for v in range(k)) for b in range(BINS)]
     zero = F.struct(F.lit(-1).alias("last"), *[F.lit(0).alias(f"b{b}") for b in range(BINS)], F.lit(0).alias("turns"), F.lit(0.0).alias("serial"))
     middle = (k - 1) / 2
@@ -137,11 +174,11 @@ def thresholds(tokens: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> DataFra
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<start, end, n>> of what the battery takes; parts by the two cuts may overlap, equal ones are there once."""
+    """array<struct<start, end, n, hit>> of what the battery takes; parts by the two cuts may overlap, equal ones are there once."""
 
     def cut(piece):
-        own = F.substring(text, piece["start"] + 1, piece["n"])
-        moved = lambda s: F.struct((piece["start"] + s["start"]).alias("start"), (piece["start"] + s["end"]).alias("end"), s["n"].alias("n"))
+        own = piece["hit"]
+        moved = lambda s: F.struct((piece["start"] + s["start"]).alias("start"), (piece["start"] + s["end"]).alias("end"), s["n"].alias("n"), s["hit"].alias("hit"))
         parts = F.array_distinct(F.concat(*[F.transform(match_spans(own, pattern), moved) for pattern in PARTS]))
         return F.when(own.rlike("[+/]") & own.rlike("[_-]"), parts).otherwise(F.array(piece))
 
@@ -149,29 +186,53 @@ def candidates(text: Column) -> Column:
 
 
 KINDS = ("assign", "access", "hex", "random")
+FAR = (1 << 31) - 1
+
+
+def free_of(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others, by start.
+
+    Both are merged by start. A span is overlapped by an other that starts no later if the largest end so
+    far lies beyond its start, and by one that starts later if the next one to start does so before its end.
+    """
+    empty = F.lit("")
+    mine = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(True).alias("mine"), s["end"].alias("end"), s["n"].alias("n"), s["hit"].alias("hit")))
+    theirs = F.transform(others, lambda s: F.struct(s["start"].alias("start"), F.lit(False).alias("mine"), s["end"].alias("end"), s["n"].alias("n"), empty.alias("hit")))
+
+    def kept(merged: Column) -> Column:
+        reached = running(F.transform(merged, lambda s: F.when(s["mine"], 0).otherwise(s["end"])), F.lit(0), lambda a, b: F.greatest(a, b))
+        coming = F.reverse(running(F.transform(F.reverse(merged), lambda s: F.when(s["mine"], FAR).otherwise(s["start"])), F.lit(FAR), lambda a, b: F.least(a, b)))
+        marked = F.arrays_zip(merged.alias("span"), reached.alias("reached"), coming.alias("coming"))
+        return F.transform(F.filter(marked, lambda m: m["span"]["mine"] & (m["reached"] <= m["span"]["start"]) & (m["coming"] >= m["span"]["end"])), lambda m: m["span"])
+
+    return F.when(F.size(others) == 0, mine).otherwise(bound(F.sort_array(F.concat(mine, theirs)), kept))
 
 
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def outermost(spans: Column) -> Column:
+    """Distinct spans (start, end, ...) without those that lie within a longer one."""
+    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"))))
+
+    def kept(ordered: Column) -> Column:
+        marked = F.arrays_zip(ordered.alias("span"), running(F.transform(ordered, lambda s: -s["back"]), F.lit(0), lambda a, b: F.greatest(a, b)).alias("reached"))
+        return F.transform(F.filter(marked, lambda m: m["reached"] < -m["span"]["back"]), lambda m: F.struct(m["span"]["start"].alias("start"), (-m["span"]["back"]).alias("end")))
+
+    return bound(by_start, kept)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, assign, access, hex (span arrays) and tokens (spans with p and length_class)."""
     text = F.col("text")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    plain = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["n"].alias("n"))
     rows = rows.select(
         "doc_id",
-        F.filter(match_spans(text, ASSIGN, 2), lambda s: s["n"] >= ASSIGN_LEAST).alias("assign"),
-        F.filter(match_spans(text, ACCESS), lambda s: s["n"] >= ACCESS_LEAST).alias("access"),
-        match_spans(text, HEX).alias("hex"),
+        F.transform(F.filter(match_spans(text, ASSIGN, 2), lambda s: s["n"] >= ASSIGN_LEAST), plain).alias("assign"),
+        F.transform(F.filter(match_spans(text, ACCESS), lambda s: s["n"] >= ACCESS_LEAST), plain).alias("access"),
+        F.transform(match_spans(text, HEX), plain).alias("hex"),
         candidates(text).alias("candidates"),
-        "text",
-    )
-    base = F.concat("assign", "access", "hex")
-    free = F.filter("candidates", lambda c: ~F.exists(base, lambda b: _overlaps(b, c)))
-    tokens = F.transform(
-        free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), battery(F.substring(text, c["start"] + 1, c["n"])).alias("p"), length_class(c["n"].cast("double")).alias("length_class"))
     )
+    free = bound(F.concat("assign", "access", "hex"), lambda base: free_of(F.col("candidates"), base))
+    tokens = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), battery(c["hit"]).alias("p"), length_class(c["n"].cast("double")).alias("length_class")))
     return rows.select("doc_id", "assign", "access", "hex", F.filter(tokens, lambda t: t["p"].isNotNull()).alias("tokens"))
 
 
@@ -179,29 +240,30 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     Spans are kind:start:end by start, then kind in the order of KINDS; positions in code points, the end
-    exclusive. A random part within a longer random part is not told again. Null and empty texts have none. Ids are passed on as they are, nulls and repeats too. The
-    text is read once; what is found in it is written to the shared folder, then thresholds come from
-    counts over all tokens and join back by length class (under a hundred rows, so broadcast).
+    exclusive. A random part within a longer random part is not told again. Null and empty texts have none;
+    an empty table gives no rows. Ids are passed on as they are, nulls and repeats too, and repeated rows are
+    each told. Of spans that start together the earlier kind comes first. The text is read once, in time
+    linear in its length and in its tokens; what is found in it is written to the shared folder, then
+    thresholds come from counts over all tokens and join back by length class (under a hundred rows, so broadcast).
     """
     found = staged(scan(docs, id_col, text_col), "secret-spans")
     limits = thresholds(found.select(F.explode("tokens").alias("t")).select("t.*"), rate)
     by_class = limits.agg(F.map_from_entries(F.collect_list(F.struct("length_class", "threshold"))).alias("limits"))
     rows = found.join(F.broadcast(by_class))  # one row
     random = F.filter("tokens", lambda t: t["p"] >= F.greatest(F.lit(LEAST_THRESHOLD), F.coalesce(F.try_element_at("limits", t["length_class"]), F.lit(1.0))))
-    rows = rows.withColumn("found", random)
-    random = F.filter("found", lambda s: ~F.exists("found", lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (o["end"] - o["start"] > s["end"] - s["start"])))
+    rows = rows.withColumn("random", outermost(random))
 
     def numbered(kind: str) -> Column:
-        return F.transform(random if kind == "random" else kind, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
+        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
 
     def ordered(*kinds: str) -> Column:
         lists, named = [numbered(kind) for kind in kinds], F.array(*map(F.lit, KINDS))
-        return F.array_join(F.transform(F.array_sort(F.concat(*lists)), lambda s: F.concat_ws(":", F.get(named, s["kind"]), s["start"], s["end"])), ",")
+        return F.array_join(F.transform(F.sort_array(F.concat(*lists)), lambda s: F.concat_ws(":", F.get(named, s["kind"]), s["start"], s["end"])), ",")
 
     return rows.select(
         "doc_id",
         *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS[:3]],
         F.sha2(ordered(*KINDS[:3]).cast("binary"), 256).alias("base_sha256"),
         ordered(*KINDS).alias("spans"),
-        F.size(random).cast("long").alias("n_random"),
+        F.size("random").cast("long").alias("n_random"),
     )
