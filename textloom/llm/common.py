@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor shares: spark.checkpoint.dir, or a folder of ours where that is unset (tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor shares: spark.checkpoint.dir. Unset, it is a folder of ours where all runs on one machine, as in tests; on a cluster that is an error."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="textloom-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -30,13 +35,36 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables made within each ``temporary_tables``, innermost last.
+_made: list[list[str]] = []
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """df, written once as Parquet into the shared folder and read back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, tag)
     df.write.parquet(path)
+    for paths in _made[-1:]:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables, wherever the folder is that executors share."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables staged within are deleted at the end: what is made from them must be written by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        delete(spark, *_made.pop())
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
