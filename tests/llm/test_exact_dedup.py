@@ -50,6 +50,30 @@ def test_drop_copies_keeps_whole_rows(edge, nothing):
     assert op.drop_copies(nothing).count() == op.exact_dedup(nothing).count() == 0
 
 
+def test_columns_of_any_name_keep_their_values(edge):
+    for bits in (op.MAX_SLICE_BITS, 1 << op.BUCKET_BITS):
+        got = op.drop_copies(edge, max_slice_bits=bits)
+        assert {tuple(r) for r in got.collect()} <= {tuple(r) for r in edge.collect()}
+        assert {r.group_size for r in got.collect()} == {888}
+
+
+def test_slices_are_broadcast_and_texts_do_not_shuffle(docs_of, monkeypatch):
+    monkeypatch.setattr(op, "BUCKET_BITS", 10)
+    docs = docs_of([(i, f"text number {i}") for i in range(1000)] + [(5000, "text number 7")])
+    docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = docs.withColumn("sha", op.text_digest())
+        bloom = op.RepeatFilter(own, "sha", max_slice_bits=1 << 12)
+        assert bloom.slices == 4
+        alone = bloom.flag(own, "sha").where("NOT may_repeat")
+        plan = alone._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 8 and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        assert {7, 5000}.isdisjoint(r.doc_id for r in alone.collect()) and alone.count() > 900
+        assert op.drop_copies(docs, max_slice_bits=1 << 12).count() == 1000
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_python_in_the_plan(edge):
     plan = op.exact_dedup(edge)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

@@ -18,7 +18,7 @@ from textloom.llm.common import staged, text_or_empty
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_PER_ROW = 16
 BUCKET_BITS = 15
-#: Bits of one broadcast bitmap, 64 MB at most; more rows get more slices, each broadcast on its own.
+#: Bits of the bitmaps of one slice, 64 MB at most; more rows get more slices, each broadcast on its own.
 MAX_SLICE_BITS = 1 << 29
 
 
@@ -65,18 +65,20 @@ class RepeatFilter:
     def flag(self, rows: DataFrame, column: str, name: str = "may_repeat") -> DataFrame:
         """rows with a boolean: False only where no other row has the digest.
 
-        Each slice's bitmaps have at most ``bits`` bits, so what is broadcast is bounded. Slices are told
-        apart by the join key; with more than one they join without a hint, as Spark sees fit.
+        Every slice is a broadcast of its own, of at most ``bits`` bits and a row for each 4 KB, whatever the
+        number of rows; a row is looked up in its own slice alone and keeps a running verdict, not the
+        bitmaps. Rows are never shuffled. An executor holds all slices, two bytes for each row of the input.
         """
         a, b = _slots(F.col(column), self.bits)
-        out = rows.withColumns({"__slice": _slice(F.col(column), self.slices), "__a": a, "__b": b})
-        for side in ("__a", "__b"):
-            maps = self.bitmaps.select(F.col("slice").alias("__slice"), F.col("bucket").alias(f"{side}_bucket"), F.col("bitmap").alias(f"{side}_map"))
-            if self.slices == 1:
-                maps = F.broadcast(maps)
-            out = out.withColumn(f"{side}_bucket", F.shiftright(side, BUCKET_BITS)).join(maps, ["__slice", f"{side}_bucket"], "left")
-        verdict = reduce(lambda x, y: x & y, [self._bit(F.col(s), F.col(f"{s}_map")) for s in ("__a", "__b")])
-        return out.withColumn(name, verdict).select(*rows.columns, name)
+        out = rows.withColumns({"__slice": _slice(F.col(column), self.slices), "__a": a, "__b": b, name: F.lit(False)})
+        for k in range(self.slices):
+            own = self.bitmaps.where(F.col("slice") == k)
+            for side in ("__a", "__b"):
+                maps = F.broadcast(own.select(F.col("bucket").alias(f"{side}_bucket"), F.col("bitmap").alias(f"{side}_map")))
+                out = out.withColumn(f"{side}_bucket", F.when(F.col("__slice") == k, F.shiftright(side, BUCKET_BITS))).join(maps, f"{side}_bucket", "left")
+            hit = reduce(lambda x, y: x & y, [self._bit(F.col(s), F.col(f"{s}_map")) for s in ("__a", "__b")])
+            out = out.withColumn(name, F.col(name) | hit).drop("__a_bucket", "__b_bucket", "__a_map", "__b_map")
+        return out.select(*rows.columns, name)
 
 
 def repeat_groups(flagged: DataFrame, id_col: str, digest: str) -> DataFrame:
@@ -91,7 +93,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are equal when identical after A-Z are lower-cased. Null text counts as empty; a null id sorts
     below every other; of rows with equal text and id one, chosen by read order, stays. An empty table
-    gives no rows. Other columns of ``docs`` are not read.
+    gives no rows. Other columns of ``docs`` are not read, so their names don't matter.
     """
     digests = staged(docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("text_sha256"), F.monotonically_increasing_id().alias("row")), "digests")
     seen = RepeatFilter(digests, "text_sha256", max_slice_bits).flag(digests, "text_sha256")
@@ -108,16 +110,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_slice_bits: int = MAX_SLICE_BITS) -> DataFrame:
-    """docs without the rows that exact_dedup does not keep; every column stays.
+    """docs without the rows that exact_dedup does not keep; every column stays as it is, whatever its name.
 
-    Rows whose digest cannot repeat are not shuffled. Of rows equal in text and id one stays.
+    Rows whose digest cannot repeat are not shuffled. Of rows equal in text and id one stays. Null text
+    counts as empty, a null id sorts below every other, and an empty table stays empty.
     """
     own = docs.withColumn("__sha", text_digest(text_col))
-    digests = staged(own.select(F.col(id_col), F.col("__sha"), F.monotonically_increasing_id().alias("row")), "digests")
+    digests = staged(own.select(F.col(id_col).alias("__id"), "__sha", F.monotonically_increasing_id().alias("row")), "digests")
     bloom = RepeatFilter(digests, "__sha", max_slice_bits)
-    groups = staged(repeat_groups(bloom.flag(digests, "__sha").where("may_repeat"), id_col, "__sha"), "repeat-groups")
+    groups = repeat_groups(bloom.flag(digests, "__sha").where("may_repeat"), "__id", "__sha")
+    groups = staged(groups.select("__sha", *[F.col(c).alias(f"__{c}") for c in ("keep_id", "keep_rows", "group_size")]), "repeat-groups")
     rows = bloom.flag(own, "__sha", "__may")
-    held = rows.where("__may").join(groups, "__sha", "left").where(F.col("group_size").isNull() | F.col(id_col).eqNullSafe(F.col("keep_id")))
-    once = held.where(F.col("group_size").isNull() | (F.col("keep_rows") == 1))
-    again = held.where("keep_rows > 1").dropDuplicates(["__sha"])
+    held = rows.where("__may").join(groups, "__sha", "left").where(F.col("__group_size").isNull() | F.col(id_col).eqNullSafe(F.col("__keep_id")))
+    once = held.where(F.col("__group_size").isNull() | (F.col("__keep_rows") == 1))
+    again = held.where("__keep_rows > 1").dropDuplicates(["__sha"])
     return reduce(DataFrame.unionByName, [x.select(*docs.columns) for x in (rows.where("NOT __may"), once, again)])
