@@ -50,5 +50,8 @@ def test_targets_and_shuffle(spark, docs_of):
 
 
 def test_stage_keeps_columns(edge, nothing):
-    assert op.mixed_documents(edge).columns == edge.columns
+    mixed = op.mixed_documents(edge)
+    assert mixed.columns == edge.columns
+    assert {(r.copies, r.copy, r.order_key) for r in mixed.collect()} == {(777, 5, "o")}
+    assert {r.copies for r in op.mix_sources(edge).collect()} != {777}
     assert op.mixed_documents(nothing).count() == 0

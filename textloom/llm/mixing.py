@@ -47,31 +47,38 @@ def repetition_steps(counts: DataFrame, targets: DataFrame, total: int) -> DataF
     return by_k.groupBy("source").agg(F.first("rate").alias("rate"), F.array_sort(F.collect_list("cdf")).alias("steps"))
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame | None = None, total: int | None = None, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """docs, each row repeated by its Poisson count and shuffled; adds copy (from 1), copies and order_key.
-
-    targets: (source, weight); by default the counts' EXPONENT power. total: rows of the mix in
-    expectation, by default as many as now. Counts cover every row. A null source is a source of its own;
-    a source without a target gives no row; rows with one id (null too) share its draw, repeated rows are
-    all drawn. An empty table gives an empty mix. The step table has a few dozen numbers a source and is
-    written before the join, so that Spark broadcasts it only where its size is known to be small.
-    """
+def _mixed(docs: DataFrame, targets: DataFrame | None = None, total: int | None = None, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """docs with __copy, __copies and __order_key; see mix_sources."""
     own = docs.withColumn("__source", F.col(source_col).cast("string"))
     counts = staged(own.groupBy(F.col("__source").alias("source")).agg(F.count(F.lit(1)).alias("n")), "source-counts")
     if total is None:
         total = counts.agg(F.sum("n")).first()[0] or 0
     steps = staged(repetition_steps(counts, targets if targets is not None else tempered_targets(counts), total), "repetition-steps")
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    drawn = own.join(steps.withColumnRenamed("source", "__step_source").withColumnRenamed("steps", "__steps"), F.col("__source").eqNullSafe(F.col("__step_source")))
+    drawn = own.join(steps.select(F.col("source").alias("__step_source"), F.col("steps").alias("__steps")), F.col("__source").eqNullSafe(F.col("__step_source")))
     drawn = drawn.withColumn("__u", unit_interval(F.lit(str(seed)), F.lit("count"), key))
-    drawn = drawn.withColumn("copies", F.size(F.filter("__steps", lambda x: x <= F.col("__u")))).where("copies > 0")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    copies = copies.withColumn("order_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), key, F.col("copy").cast("string"))))
-    names = [c for c in docs.columns if c not in ("copy", "copies", "order_key")]
-    return copies.select(*names, "copy", "copies", "order_key").repartition("order_key").sortWithinPartitions("order_key")
+    drawn = drawn.withColumn("__copies", F.size(F.filter("__steps", lambda x: x <= F.col("__u")))).where("__copies > 0")
+    copies = drawn.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    copies = copies.withColumn("__order_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), key, F.col("__copy").cast("string"))))
+    return copies.select(*docs.columns, "__copy", "__copies", "__order_key").repartition("__order_key").sortWithinPartitions("__order_key")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """mix_sources with the columns of docs alone."""
-    return mix_sources(docs, **options).select(*docs.columns)
+def mix_sources(docs: DataFrame, targets: DataFrame | None = None, total: int | None = None, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """docs, each row repeated by its Poisson count and shuffled; adds copy (from 1), copies and order_key.
+
+    targets: (source, weight); by default the counts' EXPONENT power. total: rows of the mix in
+    expectation, by default as many as now. Counts cover every row. A null source is a source of its own;
+    a source without a target gives no row; rows with one id (null too) share its draw, repeated rows are
+    all drawn. Null and empty texts are drawn like others. An empty table gives an empty mix. Columns of
+    docs named copy, copies or order_key make way for those of the mix. The step table has a few dozen
+    numbers a source and is written before the join, so that Spark broadcasts it only where its size is
+    known to be small.
+    """
+    added = ("copy", "copies", "order_key")
+    mixed = _mixed(docs, targets, total, seed, id_col, source_col)
+    return mixed.select(*[c for c in docs.columns if c not in added], *[F.col(f"__{c}").alias(c) for c in added])
 
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of mix_sources with the columns of docs alone, whatever their names and with their own values."""
+    return _mixed(docs, **options).select(*docs.columns)
