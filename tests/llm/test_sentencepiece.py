@@ -70,7 +70,7 @@ def test_edge_rows(edge, nothing):
 
 def test_encode_and_decode_columns(edge):
     back = op.sentencepiece_decode(op.sentencepiece_encode(edge, MODEL), MODEL)
-    assert back.columns == [*edge.columns, "piece_ids", "decoded"]
+    assert back.columns == [*[c for c in edge.columns if c != "piece_ids"], "piece_ids", "decoded"]
     assert all(r.decoded == (r.text or "") for r in back.collect())
 
 

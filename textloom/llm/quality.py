@@ -157,8 +157,13 @@ class QualityModel:
         return cls(*train(samples))
 
     def score(self, docs: DataFrame, text_col: str = "text", score_col: str = "score") -> DataFrame:
-        """docs with the probability of label 1. Null and empty texts have that of the bias alone; nothing is shuffled."""
+        """docs with the probability of label 1, in place of a column of that name.
+
+        Null and empty texts have that of the bias alone; repeated rows score alike; an empty table stays
+        empty; nothing is shuffled.
+        """
         added, bias = self.added, self.bias
+        docs = docs.drop(score_col)
         schema = docs.select("*", F.lit(0.0).alias(score_col)).schema
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -232,7 +232,12 @@ class PieceModel:
 
 
 def sentencepiece_encode(docs: DataFrame, model: PieceModel, text_col: str = "text", ids_col: str = "piece_ids", batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """docs with an array<int> column of piece ids. Null and empty texts give an empty array; rows are kept as they are."""
+    """docs with an array<int> column of piece ids, in place of a column of that name.
+
+    Null and empty texts give an empty array; repeated rows are encoded alike and all kept, in no new order;
+    an empty table stays empty. Of encodings of equal score that of the longer last piece is taken.
+    """
+    docs = docs.drop(ids_col)
     schema = docs.select("*", F.array(F.lit(0)).alias(ids_col)).schema
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +249,8 @@ def sentencepiece_encode(docs: DataFrame, model: PieceModel, text_col: str = "te
 
 
 def sentencepiece_decode(rows: DataFrame, model: PieceModel, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
-    """rows with the text of each id array; a null array gives null."""
+    """rows with the text of each id array, in place of a column of that name; a null array gives null, an empty one an empty text."""
+    rows = rows.drop(text_col)
     schema = rows.select("*", F.lit("").alias(text_col)).schema
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +268,8 @@ def sentencepiece_digest(docs: DataFrame, model: PieceModel, id_col: str = "doc_
     """One row per input row: doc_id, n_pieces, ids_crc32, n_bytes, round_trip, and piece_ids if asked for.
 
     ids_crc32 is of the ids as little-endian unsigned 32-bit integers; round_trip says whether decoding
-    them gives the text. Null and empty texts have no piece (and round_trip). Nothing is shuffled.
+    them gives the text. Null and empty texts have no piece (and round_trip). Repeated rows and ids are each
+    told; an empty table gives no rows; other columns are not read. Nothing is shuffled.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
