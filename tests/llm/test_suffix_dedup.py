@@ -64,3 +64,19 @@ def test_edge_rows(edge, nothing):
     got = {r.doc_id: r for r in op.remove_repeats(edge).collect()}
     assert got[9].n_removed == got[9].n_bytes and got[10].n_bytes - got[10].n_removed == len(" tail")
     assert op.remove_repeats(nothing).count() == 0
+
+
+def test_characters_left(docs_of):
+    rows = [(1, "é" * 300 + "tail 漢字"), (2, "é" * 300 + " other"), (3, "alone ü"), (4, None)]
+    got = {r.doc_id: r for r in op.remove_repeats(docs_of(rows), length=401).collect()}
+    for i, text in rows:  # a cut may part a character: it counts where its first byte is left
+        kept = bytes(got[i].kept) if got[i].kept is not None else (text or "").encode() if not got[i].n_removed else b""
+        assert got[i].n_chars == sum(b & 0xC0 != 0x80 for b in kept) and len(kept) == got[i].n_bytes - got[i].n_removed
+    assert got[3].n_chars == 7 and got[1].n_removed
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 25])
+def test_anchors_do_not_depend_on_the_batch(monkeypatch, block):
+    monkeypatch.setattr(op, "RANK_BLOCK", block)
+    values = np.random.default_rng(3).integers(0, 9, 200).astype(np.uint64) << op.RANK_BITS
+    assert op._leftmost_least(values, 10).tolist() == [k + int(np.argmin(values[k : k + 10])) for k in range(191)]

@@ -30,6 +30,8 @@ BATCH_BYTES = 2 << 20
 BROADCAST_KEYS = 1 << 21
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SEPARATOR, ALPHABET = 1, 258
+#: Low bits of a rank that hold the place within a block of windows; a block and a window's reach fit into them.
+RANK_BITS, RANK_BLOCK = np.uint64(26), 1 << 25
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -63,6 +65,19 @@ def _window_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:many], forward[width - 1 : width - 1 + many])
 
 
+def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the leftmost least value of each run of ``width``, by the high bits of values.
+
+    The hash bits that count are the same for every batch, so equal runs always choose alike.
+    """
+    many, out = len(values) - width + 1, []
+    for k in range(0, many, RANK_BLOCK):
+        part = values[k : min(k + RANK_BLOCK, many) + width - 1]
+        ranked = (part >> RANK_BITS << RANK_BITS) | np.arange(len(part), dtype=np.uint64)
+        out.append((_window_minimum(ranked, width) & ((np.uint64(1) << RANK_BITS) - np.uint64(1))).astype(np.int64) + k)
+    return np.concatenate(out)
+
+
 def anchored_segments(raw: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(text, anchor, first, last, anchor hash, two segment hashes): windows first..last choose the anchor."""
     if len(raw) < length:
@@ -70,9 +85,8 @@ def anchored_segments(raw: np.ndarray, off: np.ndarray, length: int, gram: int)
     a, b = Rolling(raw, MIX_A), Rolling(raw, MIX_B)
     at = np.arange(len(raw) - gram + 1)
     grams = a(at, at + gram)
-    place_bits = np.uint64(max(1, int(len(raw)).bit_length()))
-    ranked = (grams >> place_bits << place_bits) | at.astype(np.uint64)  # leftmost of the least
-    best = (_window_minimum(ranked, length - gram + 1) & ((np.uint64(1) << place_bits) - np.uint64(1))).astype(np.int64)
+    del at
+    best = _leftmost_least(grams, length - gram + 1)
     window = np.flatnonzero(np.diff(off) >= length)
     inside = np.zeros(len(raw) + 1, np.int8)
     inside[off[:-1][window]] += 1
@@ -89,7 +103,7 @@ def anchored_segments(raw: np.ndarray, off: np.ndarray, length: int, gram: int)
     return (np.searchsorted(off, first, "right") - 1, anchor, first, last, grams[anchor], a(first, last + length) ^ shape, b(first, last + length) + shape)
 
 
-SEGMENT_SQL = "key long, anchor_hash long, h1 long, h2 long, before int, after int, anchors array<int>"
+SEGMENT_SQL = "key binary, anchor_hash long, h1 long, h2 long, before int, after int, anchors array<int>"
 
 
 def _segments(rows: DataFrame, length: int, gram: int, batch_bytes: int) -> DataFrame:
@@ -104,11 +118,10 @@ def _segments(rows: DataFrame, length: int, gram: int, batch_bytes: int) -> Data
             new = np.ones(len(text), bool)
             new[1:] = (text[1:] != text[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             heads = np.flatnonzero(new)
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
             signed = lambda x: pa.array(x[heads].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys[text[heads]]), signed(grams), signed(h1), signed(h2),
+                    batch.column("key").take(pa.array(text[heads])), signed(grams), signed(h1), signed(h2),
                     pa.array((anchor - first)[heads].astype(np.int32)), pa.array((last - anchor)[heads].astype(np.int32)),
                     pa.ListArray.from_arrays(np.append(heads, len(text)).astype(np.int32), pa.array((anchor - off[text]).astype(np.int32))),
                 ],
@@ -246,22 +259,29 @@ def repeated_spans(rows: DataFrame, length: int, gram: int, crowd: int, shard_by
                 out.append(merged)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.list_(pa.list_(pa.int32())))], names=["key", "spans"])
 
-    return map_batches(spans, merge, "key long, spans array<array<int>>")
+    return map_batches(spans, merge, "key binary, spans array<array<int>>")
+
+
+def _characters(data: bytes) -> int:
+    return int(np.count_nonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_sha256.
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), kept_sha256, n_chars.
 
     Texts are UTF-8 bytes; matches don't cross rows. Null counts as empty; a text shorter than ``length``
     stays whole. Repeated rows repeat each other, so that rows of an equal, long enough text lose all of
-    it. Ids are passed on as they are. Texts are told apart by a 64-bit hash, strings by 128 bits of hash
-    where no suffix array compares them. ``kept`` is null where everything or nothing is removed.
+    it. An empty table gives no rows; other columns are not read; ids are passed on as they are. Texts are
+    told apart by their MD5, strings by 128 bits of hash where no suffix array compares them. n_bytes is of
+    the whole text; n_chars counts the characters that begin in what is left. ``kept`` is null where
+    everything or nothing is removed. The spans of a text, some bytes for each two hundred of it at most,
+    are together in one row, as the text is.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("key", F.unhex(F.md5("text")))
     spans = staged(repeated_spans(rows, length, gram, crowd, shard_bytes, batch_bytes), "repeated-spans")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     spans = spans.select("key", "spans", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"))
-    digests = staged(rows.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256")), "text-digests")
+    digests = staged(rows.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.char_length("text").cast("long").alias("chars")), "text-digests")
     counted = staged(digests.join(spans.drop("spans"), "key", "left"), "removed-counts")
     partial = counted.where((F.col("n_removed") > 0) & (F.col("n_removed") < F.col("n_bytes")))
 
@@ -274,12 +294,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     parts.append(raw[at:begin])
                     at = end
                 kept.append(b"".join([*parts, raw[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(kept, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in kept])], names=["key", "kept", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(kept, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array([_characters(x) for x in kept], pa.int64())], names=["key", "kept", "kept_sha256", "n_chars"])
 
     touched = staged(partial.select("key").distinct(), "touched-texts")
     texts = _limited(rows.select("key", "text"), touched).dropDuplicates(["key"]).join(spans.select("key", "spans"), "key")
-    cut = map_batches(texts, keep, "key long, kept binary, kept_sha256 string")
+    cut = map_batches(texts, keep, "key binary, kept binary, kept_sha256 string, n_chars long")
     nothing = F.when(F.col("n_removed").isNull(), F.col("sha256")).otherwise(F.sha2(F.lit("").cast("binary"), 256))
     known = counted.where(~((F.col("n_removed") > 0) & (F.col("n_removed") < F.col("n_bytes"))) | F.col("n_removed").isNull())
-    columns = ["doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), "kept", "kept_sha256"]
-    return known.withColumn("kept", F.lit(None).cast("binary")).withColumn("kept_sha256", nothing).select(*columns).unionByName(partial.join(cut, "key").select(*columns))
+    columns = ["doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), "kept", "kept_sha256", "n_chars"]
+    known = known.withColumns({"kept": F.lit(None).cast("binary"), "kept_sha256": nothing, "n_chars": F.when(F.col("n_removed").isNull(), F.col("chars")).otherwise(0)})
+    return known.select(*columns).unionByName(partial.join(cut, "key").select(*columns))
