@@ -48,12 +48,8 @@ def test_edge_rows(edge, nothing):
     assert kept.columns == edge.columns and op.keep_one_each(nothing).count() == 0
 
 
-@pytest.mark.parametrize("crowd, block", [(48, 2048), (2, 3)])
-def test_chains_stars_and_common_passages(docs_of, monkeypatch, crowd, block):
-    monkeypatch.setattr(op, "CROWD", crowd)
-    monkeypatch.setattr(op, "BLOCK", block)
-    monkeypatch.setattr(op, "OFTEN", 5)
-    random.seed(crowd)
+def mixed_bag(seed):
+    random.seed(seed)
     fresh = lambda n: [f"w{random.randrange(10**6)}" for _ in range(n)]
     base, passage, rows = fresh(120), fresh(30), []
     for _ in range(25):  # copies with edits: some link to the base, some only to each other
@@ -66,10 +62,47 @@ def test_chains_stars_and_common_passages(docs_of, monkeypatch, crowd, block):
         chain = [*chain[3:], *fresh(3)]
         rows.append(list(chain))
     rows += [fresh(random.randint(5, 60)) + passage + fresh(random.randint(0, 60)) for _ in range(20)]
-    rows = [(i, " ".join(w)) for i, w in enumerate(random.sample(rows, len(rows)))] + [(100, rows[0] and " ".join(rows[0]))]
+    rows += [passage + fresh(random.randint(2, 7)) for _ in range(20)]  # most of a text is common, few of them link
+    return [(i, " ".join(w)) for i, w in enumerate(random.sample(rows, len(rows)))] + [(100, " ".join(rows[0]))]
+
+
+@pytest.mark.parametrize("small, pivots, keys, fits", [(48, 8, 1 << 17, 2048), (2, 1, 0, 4), (2, 3, 1 << 17, 2048), (1, 2, 0, 1)])
+def test_chains_stars_and_common_passages(docs_of, monkeypatch, small, pivots, keys, fits):
+    monkeypatch.setattr(op, "TASK_CELL", fits)
+    monkeypatch.setattr(op, "SMALL", small)
+    monkeypatch.setattr(op, "PIVOTS", pivots)
+    monkeypatch.setattr(op, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(op, "OFTEN", 5)
+    rows = mixed_bag(small + pivots)
     assert ours(docs_of(rows)) == brute(rows)
 
 
+def test_cells_keep_every_link(spark, docs_of, monkeypatch):
+    """One cell of all documents: whatever links is in one class or in a cell together after each level."""
+    for seed, fits in ((1, 1), (2, 20)):
+        monkeypatch.setattr(op, "TASK_CELL", fits)
+        rows = [r for r in mixed_bag(seed) if r[0] < 100]
+        sets = op.shingle_sets(op.pa.array([t for _, t in rows]))
+        table = spark.createDataFrame([(bytearray(op.set_key(x)), len(x), bytearray(x.tobytes()), bytearray(op.np.minimum(op.np.bincount((x & op.np.uint64(63)).astype(int), minlength=64), 255).astype("u1").tobytes())) for x in sets], "key binary, n int, shingles binary, parts binary").dropDuplicates(["key"]).cache()
+        cells = table.select(op.F.lit(1).cast("long").alias("cell"), "key", "n")
+        nothing = spark.createDataFrame([], "u binary, v binary")
+        labels = {bytes(r.node): bytes(r.label) for r in op._voronoi_labels(cells, nothing, table.select("key", "n", "parts"), table.select("key", "shingles"), 80, 100).collect()}
+        of = lambda x: labels.get(op.set_key(x), op.set_key(x))
+        classes = brute(rows)
+        want = {i: c for i, _, c in classes}
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                assert (of(x) == of(y)) == (want[str(i)] == want[str(j)])
+
+
+def test_a_cell_that_no_pivot_parts(docs_of, monkeypatch):
+    """Documents that share most of their text and do not link: the recursion ends and links none."""
+    monkeypatch.setattr(op, "OFTEN", 10**6)
+    passage = [f"p{k}" for k in range(85)]
+    rows = [(i, " ".join(passage + [f"x{i}y{k}" for k in range(15)])) for i in range(60)]
+    assert {r.component_id for r in op.jaccard_components(docs_of(rows)).collect()} == set(range(60))
+
+
 def test_threshold_is_exact(docs_of):
     words = [f"w{k}" for k in range(94)]  # 90 shingles; a longer copy shares 90 of n
     rows = [(1, " ".join(words)), (2, " ".join([*words, *[f"x{k}" for k in range(22)]])), (3, " ".join([*[f"y{k}" for k in range(23)], *words]))]

@@ -39,11 +39,14 @@ def work_dir(spark: SparkSession, tag: str) -> str:
 _made: list[list[str]] = []
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """df, written once as Parquet into the shared folder and read back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, tag: str, outlives: bool = False) -> DataFrame:
+    """df, written once as Parquet into the shared folder and read back: cuts lineage, survives lost executors.
+
+    outlives: the table is kept when the innermost ``temporary_tables`` ends, and belongs to the one around it.
+    """
     spark, path = df.sparkSession, work_dir(df.sparkSession, tag)
     df.write.parquet(path)
-    for paths in _made[-1:]:
+    for paths in _made[-2:-1] if outlives else _made[-1:]:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

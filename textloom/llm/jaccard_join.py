@@ -1,18 +1,24 @@
-"""Exact Jaccard self-join of word n-gram sets, by pivots and the triangle inequality.
+"""Exact Jaccard self-join of word n-gram sets, by pivots, Voronoi regions and the triangle inequality.
 
-Distance is 1 - |A & B| / |A | B|, a metric. Whole documents make poor pivots, nearly all of them being at
-distance 1 from each other, so the first level's pivots are single shingles: a document within the radius
+Distance is 1 - |A & B| / |A | B|, a metric. Whole documents make poor first pivots, nearly all of them being
+at distance 1 from each other, so the first level's pivots are single shingles: a document within the radius
 of another shares one of the first |A| - ceil(t |A|) + 1 shingles of any fixed order, so it is replicated
 into the regions of these pivots, and linked documents meet in a region. The order puts shingles found
-often last, which keeps regions of common passages from forming; it never changes the result.
-
-Within a region, candidate pairs pass three exact windows: sizes; places of the shared pivot; and, with the
-hash parts of the universe as further pivots, the sum of differences of |A & part|, which the triangle
-inequality bounds by |A ^ B|. What is left is compared on whole sets. The documents of crowded regions are
-joined recursively: first among themselves, by the order of what is frequent among them; then, where a
-region is crowded still, as by copies of one text, its most central documents become pivots, everything in it is compared with them, and what
-they link is one class. A region that still holds several classes is joined again in pairs of blocks, where
-only documents of different classes are compared.
+often last, which keeps regions of common passages from forming; it never changes the result. The documents
+of large regions meet once more by the order of what is frequent among them.
+
+Every region of more than SMALL documents is then joined recursively by pivots that are documents. Distances
+to a few pivots are measured, up to three radii: min(distance, cap) is a metric too, and beyond the cap sizes
+and counts by hash parts (which the triangle inequality bounds by |A ^ B|) tell without whole sets. A document
+goes to the cell of its nearest pivot, its Voronoi region, and is replicated into the cell of each pivot that
+is farther by two radii at most; what is beyond the cap from every pivot, and what is within a radius of that
+cap, makes a residual cell. What links to a pivot is one class with it, so of a cell only those who do not
+link to its pivot go on, with those whose distance to it is within a radius of theirs. Cells of one class
+are done, equal cells are joined once, and a cell that its pivots do not part stays whole, less these pivots.
+Of a cell with classes left, pivots come from the smaller ones; once it fits into a task it is joined there.
+
+In regions of SMALL documents at most all pairs are candidates, pruned by windows on sizes, places of the
+shared pivot and counts by parts, then compared on whole sets.
 """
 
 from __future__ import annotations
@@ -24,23 +30,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import map_batches, staged, text_or_empty
+from textloom.llm.common import map_batches, staged, temporary_tables, text_or_empty
 from textloom.llm.star_components import components
 from textloom.llm.wordbatch import SPACE, flat, regrouped, word_bounds
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 80, 100
 #: Pairs within a region of at most so many documents are all candidates.
-CROWD = 100
-PIVOTS = 4
-#: A larger unsettled region is joined in pairs of blocks of so many documents.
-BLOCK = 2048
+SMALL = 48
+#: Pivots of a larger region at first; each level of the recursion has twice as many.
+PIVOTS = 8
+#: After the first level, a cell of at most so many documents and shingles in all is joined within a task.
+TASK_CELL, TASK_SHINGLES = 2048, 1 << 21
+#: Distances to pivots are measured up to so many radii.
+CAP_RADII = 3
+EPSILON = 1e-9
 #: Shingles counted when so many bytes of text have them this often; of those found this often in all, at most so many go last.
 COUNTED_BYTES, COUNTED_OFTEN, OFTEN, OFTEN_SHINGLES = 12 << 20, 2, 4, 1 << 18
 #: A set of n shingles is counted in a power of two of parts, this many at least and n / 8 at least.
 LEAST_PARTS = 64
 BATCH_BYTES = 2 << 20
-#: A broadcast of keys beyond so many rows is left to Spark's own choice.
-BROADCAST_KEYS = 1 << 21
+#: More keys than this are not broadcast by a hint; about 8 MB.
+BROADCAST_KEYS = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(MIX), -1, 1 << 64))
 
@@ -88,11 +98,11 @@ def shingle_sets(texts: pa.Array, n_words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def set_key(own: np.ndarray) -> int:
-    """A 64-bit hash of a set, as a signed number."""
+def set_key(own: np.ndarray) -> bytes:
+    """A 128-bit hash of a set."""
     with np.errstate(over="ignore"):
-        a, b = _mixed(own).sum(dtype=np.uint64), _mixed(own ^ MIX).sum(dtype=np.uint64)
-        return int(_mixed(np.array([a * MIX + b + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
+        sums = np.array([_mixed(own).sum(dtype=np.uint64), _mixed(own ^ MIX).sum(dtype=np.uint64)])
+        return _mixed(sums * MIX + np.uint64(len(own))).tobytes()
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -154,7 +164,7 @@ def _reordered(sets: DataFrame, often: np.ndarray, numerator: int, denominator:
             own = _stored_sets(batch.column("shingles"))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([len(x) for x in own], pa.int32()), _lists([_pivots(x, often, numerator, denominator) for x in own])], names=["key", "n", "pivots"])
 
-    return map_batches(sets, describe, "key long, n int, pivots array<long>")
+    return map_batches(sets, describe, "key binary, n int, pivots array<long>")
 
 
 def _described(rows: DataFrame, often: np.ndarray, n_words: int, numerator: int, denominator: int) -> DataFrame:
@@ -172,11 +182,11 @@ def _described(rows: DataFrame, often: np.ndarray, n_words: int, numerator: int,
                 parts.append(np.minimum(part, 255).astype(np.uint8).tobytes())
                 firsts.append(_pivots(own, often, numerator, denominator))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), _lists(firsts)],
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parts, pa.binary()), _lists(firsts)],
                 names=["doc_id", "key", "n", "parts", "pivots"],
             )
 
-    return map_batches(rows, describe, "doc_id long, key long, n int, parts binary, pivots array<long>")
+    return map_batches(rows, describe, "doc_id long, key binary, n int, parts binary, pivots array<long>")
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
@@ -185,9 +195,11 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regrouped(batches, "text", BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), n_words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "key", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["key", "shingles"])
 
-    return map_batches(rows, collect, "doc_id long, key long, shingles binary").join(_limited(wanted), "key").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "shingles")
+    ids = _limited(wanted.select("first_id").distinct())
+    own = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    return map_batches(own, collect, "key binary, shingles binary").join(_limited(wanted.select("key")), "key", "left_semi").dropDuplicates(["key"])
 
 
 def _windows(numerator: int, denominator: int) -> Column:
@@ -218,23 +230,30 @@ def _near_in_parts(pairs: DataFrame, sketches: DataFrame, numerator: int, denomi
             total = sum(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
             yield batch.select(["a", "b"]).filter(pa.array(gap * (numerator + denominator) <= total * (denominator - numerator)))
 
-    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "qa", "qb", "na", "nb"), near, "a long, b long")
+    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "qa", "qb", "na", "nb"), near, "a binary, b binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """u, v: the pairs whose whole sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """u, v, far, linked: the distance of each pair's whole sets, and whether it is similar enough."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            far, linked = [], []
             for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
                 common = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                keep.append(denominator * common >= numerator * ((len(x) + len(y)) // 8 - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).rename_columns(["u", "v"])
+                either = (len(x) + len(y)) // 8 - common
+                far.append(1 - common / either)
+                linked.append(denominator * common >= numerator * either)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64()), pa.array(linked, pa.bool_())], names=["u", "v", "far", "linked"])
 
     a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), compare, "u long, v long")
+    return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), compare, "u binary, v binary, far double, linked boolean")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """u, v: the pairs whose whole sets are similar enough."""
+    return _measured(pairs, sets, numerator, denominator).where("linked").select("u", "v")
 
 
 def _limited(keys: DataFrame) -> DataFrame:
@@ -252,28 +271,65 @@ def _regions(described: DataFrame) -> DataFrame:
     return postings.join(_limited(crowds), "shingle").select("shingle", "key", "n", "place", "crowd")
 
 
-def _pairs(members: DataFrame, others: DataFrame, each_once: bool, window: Column) -> DataFrame:
-    """Candidate pairs a < b that meet in a region and pass its windows. each_once: both sides are the same rows."""
-    x = members.select("shingle", F.col("key").alias("kx"), F.col("n").alias("na"), F.col("place").alias("pa"))
-    y = others.select("shingle", F.col("key").alias("ky"), F.col("n").alias("nb"), F.col("place").alias("pb"))
-    both = x.join(y, "shingle").where(F.col("kx") < F.col("ky") if each_once else F.col("kx") != F.col("ky")).where(window)
-    return both.select(F.least("kx", "ky").alias("a"), F.greatest("kx", "ky").alias("b"))
+def _pairs(members: DataFrame, window: Column) -> DataFrame:
+    """Candidate pairs a < b that meet in a region and pass its windows."""
+    x = members.select("shingle", F.col("key").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    y = members.select("shingle", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    return x.join(y, "shingle").where(F.col("a") < F.col("b")).where(window).select("a", "b").distinct()
 
 
-def _joined_in_blocks(members: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """u, v: links between classes within regions (shingle, key, label, crowd), enough of them to connect whatever links.
+def _sizes_allow(numerator: int, denominator: int) -> Column:
+    return F.least("na", "nb") * denominator >= F.greatest("na", "nb") * numerator
 
-    Pairs of one class are skipped, and of others all are compared, against postings of the block's shingles.
+
+def _unsettled(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """cell, key, n, crowd, weight, label, minor of the cells (cell, key, n) that hold several classes; of equal cells one.
+
+    minor: not of the largest class of the cell. A pair that has yet to be found has a minor document in it.
+    """
+    named = cells.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    classes = named.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit("again"), "key")).alias("y"))
+    sums = classes.groupBy("cell").agg(F.sum("rows").alias("crowd"), F.sum("weight").alias("weight"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("rows", "label"))["label"].alias("major"))
+    one_each = sums.where("classes > 1").groupBy("crowd", "x", "y").agg(F.min(F.struct("cell", "major", "weight")).alias("one")).select("one.cell", "one.major", "one.weight", "crowd")
+    return named.join(one_each, "cell").select("cell", "key", "n", "crowd", "weight", "label", (F.col("label") != F.col("major")).alias("minor"))
+
+
+def _pivots_of(cells: DataFrame, many: int, level: int) -> DataFrame:
+    """cell, p, np: at most ``many`` documents of each cell, minor ones first, then those that are in most cells; maxima, so no cell is gathered."""
+    central = cells.groupBy("key").agg(F.count(F.lit(1)).alias("central"))
+    order = F.struct("minor", "central", F.xxhash64(F.lit(level), "key").alias("draw"), "key", "n")
+    dealt = cells.join(central, "key").select("cell", F.pmod(F.xxhash64("key", F.lit(level)), F.lit(many)).alias("salt"), order.alias("own"))
+    return dealt.groupBy("cell", "salt").agg(F.max("own").alias("own")).select("cell", F.col("own.key").alias("p"), F.col("own.n").alias("np"))
+
+
+def _next_cells(cells: DataFrame, pivots: DataFrame, measured: DataFrame, radius: float, cap: float) -> DataFrame:
+    """cell, key, n: the Voronoi cells of ``cells`` with their boundary documents and residuals; see the module."""
+    known = measured.select(F.col("u").alias("low"), F.col("v").alias("high"), "far")
+    met = cells.join(pivots.select("cell", "p"), "cell").withColumns({"low": F.least("key", "p"), "high": F.greatest("key", "p")})
+    met = met.join(known, ["low", "high"], "left").withColumn("far", F.when(F.col("key") == F.col("p"), 0.0).otherwise(F.least(F.coalesce("far", F.lit(cap)), F.lit(cap))))
+    each = met.groupBy("cell", "key", "n").agg(F.min("far").alias("least"), F.max(F.col("key") == F.col("p")).alias("is_pivot"), F.collect_list(F.struct("p", "far")).alias("to"))
+    each = each.where("NOT is_pivot")
+    near = F.filter("to", lambda t: (t["far"] < cap) & (t["far"] - F.col("least") <= 2 * radius + EPSILON))
+    rest = F.when(F.col("least") >= cap - radius - EPSILON, F.array(F.struct(F.lit(None).cast("binary").alias("p"), F.col("least").alias("far")))).otherwise(F.array().cast("array<struct<p:binary,far:double>>"))
+    each = each.withColumn("into", F.concat(near, rest))
+    worth = each.groupBy("cell").agg((F.sum(F.size("into")) <= 2 * F.count(F.lit(1))).alias("parted"))
+    placed = each.select("cell", "key", "n", F.explode("into").alias("t")).select("cell", "key", "n", "t.p", "t.far")
+    outside = placed.where(F.col("far") > radius + EPSILON).groupBy("cell", "p").agg(F.min("far").alias("nearest"))
+    going = placed.alias("x").join(outside.alias("o"), (F.col("x.cell") == F.col("o.cell")) & F.col("x.p").eqNullSafe(F.col("o.p"))).where(F.col("x.far") >= F.col("nearest") - radius - EPSILON)
+    parted = going.select("x.cell", "x.key", "x.n", "x.p").join(worth, "cell")
+    return parted.select(F.when(F.col("parted"), F.xxhash64("cell", "p")).otherwise(F.col("cell")).alias("cell"), "key", "n").distinct()
+
+
+def _joined_in_tasks(cells: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """u, v: links between classes within cells (cell, key, label), enough of them to connect whatever links.
+
+    A task holds one cell at a time and counts what its minor documents share with all others by postings.
     """
-    blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    dealt = members.select("shingle", "key", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key", "label")
 
-    def links(keys: list[int], labels: list[int], own: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    def links(keys: list[bytes], labels: list[bytes], own: list[np.ndarray]) -> Iterator[tuple[bytes, bytes]]:
         parent = {label: label for label in labels}
 
-        def root(label: int) -> int:
+        def root(label: bytes) -> bytes:
             while parent[label] != label:
                 parent[label] = parent[parent[label]]
                 label = parent[label]
@@ -281,14 +337,11 @@ def _joined_in_blocks(members: DataFrame, sets: DataFrame, numerator: int, denom
 
         sizes = np.array([len(x) for x in own], np.int64)
         values, codes = np.unique(np.concatenate(own), return_inverse=True)
-        doc = np.repeat(np.arange(len(own)), sizes)
         by_value = np.argsort(codes, kind="stable")
-        posted, bounds = doc[by_value], np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(values)))])
+        posted, bounds = np.repeat(np.arange(len(own)), sizes)[by_value], np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(values)))])
         first = np.concatenate([[0], np.cumsum(sizes)])
-        often = max(set(labels), key=labels.count)
-        for k in sorted(range(len(keys)), key=lambda k: (labels[k] == often, keys[k])):
-            if labels[k] == often:
-                break  # its pairs with every other class are done
+        major = max(set(labels), key=labels.count)
+        for k in (k for k in range(len(keys)) if labels[k] != major):
             lists = [posted[bounds[c] : bounds[c + 1]] for c in codes[first[k] : first[k + 1]].tolist()]
             common = np.bincount(np.concatenate(lists), minlength=len(keys))
             for m in np.flatnonzero(denominator * common >= numerator * (sizes + sizes[k] - common)).tolist():
@@ -302,20 +355,43 @@ def _joined_in_blocks(members: DataFrame, sets: DataFrame, numerator: int, denom
 
         def solved() -> pa.RecordBatch:
             found = list(links(*held)) if len(set(held[1])) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], names=["u", "v"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("shingle", "i", "j", "key", "label", "shingles")]
-            for shingle, i, j, key, label, data in zip(*columns, strict=True):
-                if (shingle, i, j) != cell:
+            columns = [batch.column(c).to_pylist() for c in ("cell", "key", "label", "shingles")]
+            for here, key, label, data in zip(*columns, strict=True):
+                if here != cell:
                     yield solved()
-                    cell, held = (shingle, i, j), ([], [], [])
+                    cell, held = here, ([], [], [])
                 for side, value in zip(held, (key, label, np.frombuffer(data, np.uint64)), strict=True):
                     side.append(value)
         yield solved()
 
-    cells = dealt.join(sets, "key").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "key")
-    return map_batches(cells.select("shingle", "i", "j", "key", "label", "shingles"), join, "u long, v long")
+    whole = cells.select("cell", "key", "label").join(sets, "key").repartition("cell").sortWithinPartitions("cell", "key")
+    return map_batches(whole.select("cell", "key", "label", "shingles"), join, "u binary, v binary")
+
+
+def _voronoi_labels(cells: DataFrame, links: DataFrame, sketches: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """node, label of what links within cells (cell, key, n) and by the links given."""
+    radius = 1 - numerator / denominator
+    cap = min(1.0, CAP_RADII * radius)
+    least = max(0, denominator - CAP_RADII * (denominator - numerator))
+    level, many, labels, known = 0, PIVOTS, components(links), links.count()
+    while True:
+        cells = staged(_unsettled(cells, labels), "cells")
+        if cells.isEmpty():
+            return labels
+        fits = (F.col("crowd") <= TASK_CELL) & (F.col("weight") <= TASK_SHINGLES) & F.lit(level > 0)
+        found, large = _joined_in_tasks(cells.where(fits), sets, numerator, denominator), cells.where(~fits)
+        pivots = staged(_pivots_of(large, many, level), "pivots")
+        met = large.select("cell", "key", F.col("n").alias("na")).join(pivots.withColumnRenamed("np", "nb"), "cell").where("key != p").where(_sizes_allow(least, denominator))
+        met = met.select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b")).distinct()
+        measured = staged(_measured(_near_in_parts(met, sketches, least, denominator), sets, numerator, denominator), "pivot-distances")
+        links = staged(links.unionByName(found).unionByName(measured.where("linked").select("u", "v")).distinct(), "links")
+        if (now := links.count()) != known:
+            labels, known = components(links), now
+        cells = staged(_next_cells(large, pivots, measured, radius, cap), "next-cells")
+        level, many = level + 1, 2 * many
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
@@ -325,9 +401,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     denominator * |A & B| >= numerator * |A | B|; rows with equal sets link. component_id is the smallest
     doc_id that links lead to. Null and empty texts have no shingle and link with nothing. Rows with a null
     id link like others; a component of such rows alone has a null component_id. Repeated rows and rows
-    that share an id are linked by their texts. Sets are compared by 64-bit hashes of shingles.
+    that share an id are linked by their texts. An empty table gives no rows; other columns are not read.
+    Sets are told apart by 128 bits and compared by 64-bit hashes of shingles. The tables between are
+    deleted when the result is written.
     """
-    rows = _rows(docs, id_col, text_col)
+    with temporary_tables(docs.sparkSession):
+        return staged(_joined(_rows(docs, id_col, text_col), n_words, numerator, denominator), "jaccard-components", outlives=True)
+
+
+def _joined(rows: DataFrame, n_words: int, numerator: int, denominator: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of rows (doc_id, text)."""
     often = frequent_shingles(rows.select("text"), lambda texts: shingle_sets(texts, n_words), "text")
     described = staged(_described(rows, often, n_words, numerator, denominator), "shingle-sets")
     full = described.where("n > 0")
@@ -339,9 +422,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     regions = staged(_regions(distinct_sets), "regions")
     sketches = staged(distinct_sets.join(regions.select("key").distinct(), "key", "left_semi").select("key", "n", "parts").dropDuplicates(["key"]), "part-counts")
     window = _windows(numerator, denominator)
-    small = regions.where(F.col("crowd") <= CROWD)
-    near = staged(_near_in_parts(_pairs(small, small, True, window).distinct(), sketches, numerator, denominator), "near-pairs")
-    in_crowds = staged(regions.where(F.col("crowd") > CROWD).select("key").distinct(), "keys-in-crowds")
+    small = regions.where(F.col("crowd") <= SMALL)
+    near = staged(_near_in_parts(_pairs(small, window), sketches, numerator, denominator), "near-pairs")
+    in_crowds = staged(regions.where(F.col("crowd") > SMALL).select("key").distinct(), "keys-in-crowds")
     wanted = near.select(F.explode(F.array("a", "b")).alias("key")).unionByName(in_crowds).distinct()
     sets = staged(_whole_sets(rows, staged(wanted.join(firsts.select("key", "first_id"), "key"), "compared-keys"), n_words), "whole-sets")
 
@@ -349,22 +432,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     again = sets.join(in_crowds, "key", "left_semi")
     again_often = np.union1d(often, frequent_shingles(again.select("shingles"), _stored_sets, "shingles"))
     regions = staged(_regions(_reordered(again, again_often, numerator, denominator)), "regions-again")
-    small, crowded = regions.where(F.col("crowd") <= CROWD), regions.where(F.col("crowd") > CROWD)
-    # the pivots of a crowded region are those of its documents that are in most crowded regions
-    central = crowded.groupBy("key").agg(F.count(F.lit(1)).alias("central"))
-    ranked = crowded.join(central, "key").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(PIVOTS)))
-    pivots = staged(ranked.groupBy("shingle", "salt").agg(F.max(F.struct("central", "key", "n", "place")).alias("p")).select("shingle", "p.key", "p.n", "p.place"), "pivots")
-    pairs = _pairs(small, small, True, window).unionByName(_pairs(crowded, pivots, False, window)).distinct().join(near, ["a", "b"], "left_anti")
-    near_again = staged(_near_in_parts(pairs, sketches, numerator, denominator), "near-pairs-again")
-    links = staged(_linked(near.unionByName(near_again), sets, numerator, denominator), "links")
-    labels = staged(components(links), "labels")
-    # what links to a pivot is one class; crowded regions of several classes are joined in blocks
-    named = crowded.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    named = staged(named.select("shingle", "key", "label", "crowd"), "classes")
-    several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("shingle")
-    more = staged(_joined_in_blocks(named.join(several, "shingle", "left_semi"), sets, numerator, denominator), "block-links")
-    if not more.isEmpty():
-        labels = staged(components(links.unionByName(more)), "labels")
+    small, large = regions.where(F.col("crowd") <= SMALL), regions.where(F.col("crowd") > SMALL)
+    pairs = _pairs(small, window).join(near, ["a", "b"], "left_anti")
+    links = staged(_linked(near.unionByName(_near_in_parts(pairs, sketches, numerator, denominator)), sets, numerator, denominator), "links")
+    labels = _voronoi_labels(large.select(F.col("shingle").alias("cell"), "key", "n"), links, sketches, sets, numerator, denominator)
     merged = firsts.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     names = staged(merged.groupBy("label").agg(F.min("first_id").alias("component_id")), "component-names")
     by_key = staged(merged.select("key", "label").join(names, "label").select("key", "component_id"), "component-of-set")

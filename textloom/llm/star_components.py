@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import staged
+from textloom.llm.common import staged, temporary_tables
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -17,9 +17,15 @@ def _mark(edges: DataFrame) -> tuple[int, int]:
 def components(edges: DataFrame) -> DataFrame:
     """node, label: for every node of edges (u, v), the smallest node it is connected with.
 
-    Loops and repeated edges don't matter. Minima are aggregated before each shuffle; the joins on a hub
-    are between plain shuffles, which adaptive execution splits.
+    Loops and repeated edges don't matter; no edges give no rows. Minima are aggregated before each shuffle;
+    the joins on a hub are between plain shuffles, which adaptive execution splits. The tables of the steps
+    are deleted at the end.
     """
+    with temporary_tables(edges.sparkSession):
+        return staged(_stars(edges), "labels", outlives=True)
+
+
+def _stars(edges: DataFrame) -> DataFrame:
     big, small = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     now = staged(edges.where("u != v").select(big, small).distinct(), "edges")
     mark = _mark(now)
