@@ -134,8 +134,8 @@ def frequent_shingles(rows: DataFrame, sets_of, source: str) -> np.ndarray:
             yield counted(held)
 
     found = map_batches(rows, count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    top = found.orderBy(F.desc("n"), "shingle").limit(OFTEN_SHINGLES).collect()
-    return np.sort(np.array([r["shingle"] for r in top], np.int64).view(np.uint64))
+    top = found.orderBy(F.desc("n"), "shingle").limit(OFTEN_SHINGLES).select("shingle").toArrow()
+    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _pivots(own: np.ndarray, often: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
