@@ -1,5 +1,6 @@
 """Queries that read whole tables and whole texts, against brute force."""
 
+import base64
 import re
 
 import pyarrow as pa
@@ -65,3 +66,56 @@ def test_telemetry_parse_keeps_every_row(spark, folder):
     data = folder(events=[{"event_id": i, "value": v} for i, v in enumerate(values)])
     got = {r.event_id: (r.used, r.reserved) for r in QUERIES["telemetry_parse"](spark, data).collect()}
     assert got == {i: (v, None if v is None else v + 1) for i, v in enumerate(values)}
+
+
+def hidden(flag):
+    turned = bytes(b ^ 2 for b in flag.encode()).decode()
+    return {"base32": base64.b32encode(flag.encode()).decode(), "base85": base64.b85encode(flag.encode()).decode(), "xor": turned}
+
+
+TEXTS = [f"plain words and more of them {h} then the rest\nsecond line" for h in hidden("FLAG{within_a_text}").values()] + ["", None, "nothing here", "ÀÉÎ õü " * 50, "abcdefgh YWJjZGVmZ2g= Y2x1ZV9oZXJl wébcdefgh"]
+
+
+def test_base_decoders_search_whole_texts(spark, folder):
+    data = folder(documents=[doc(i, t or "") | {"text": t} for i, t in enumerate(TEXTS)])
+    got = {r.doc_id: r for r in QUERIES["base_decoders"](spark, data).collect()}
+    for i, text in enumerate(TEXTS):
+        own = f"FLAG{{src1_{i}}}"
+        for name, pattern, most, decoders in (("base32", r"[A-Z2-7]{10,}={0,6}", 10, [lambda x: base64.b32decode(x, casefold=True)]), ("base85", r"<~[!-u]+~>|[0-9a-zA-Z!#$%&()*+-;<=>?@^_`{|}~]{12,}", 8, [base64.b85decode, base64.a85decode])):
+            want = []
+            for found in re.findall(pattern, hidden(own)[name] + "\n" + (text or ""))[:most]:
+                for decode in decoders:
+                    try:
+                        want += re.findall(FLAG, decode(found.replace("<~", "").replace("~>", "").encode()).decode("utf-8", "ignore"))
+                        break
+                    except ValueError:
+                        continue
+            assert got[i][name] == ",".join(want) and own in want
+    assert "within_a_text" in got[0].base32 and "within_a_text" in got[1].base85
+
+
+def test_xor_scan_searches_whole_texts(spark, folder):
+    data = folder(documents=[doc(i, t or "") | {"text": t} for i, t in enumerate(TEXTS)])
+    want = set()
+    for i, text in enumerate(TEXTS):
+        for line in (hidden(f"FLAG{{src1_{i}}}")["xor"] + "\n" + (text or "")).splitlines():
+            own = line.strip().encode()
+            if len(own) >= 8:
+                for key in range(1, 256):
+                    want |= {(i, key, f) for f in re.findall(FLAG, bytes(b ^ key for b in own).decode("utf-8", "ignore"))}
+    got = {(r.doc_id, r.key, r.flag) for r in QUERIES["xor_scan"](spark, data).collect()}
+    assert got == want and (2, 2, "FLAG{within_a_text}") in got
+
+
+def test_base64_clues_search_whole_texts(spark, folder):
+    data = folder(documents=[doc(i, t or "") | {"text": t} for i, t in enumerate(TEXTS)])
+    want = set()
+    for i, text in enumerate(TEXTS):
+        made = base64.b64encode(f"clue_{i}".encode()).decode()
+        for found in re.findall(r"[A-Za-z0-9+/]{8,}={0,2}", made + "\n" + (text or ""))[:20]:
+            if len(found) % 4 == 0:
+                clue = base64.b64decode(found).decode("utf-8", "ignore").strip()
+                if 4 <= len(clue) <= 32 and " " not in clue and clue.isprintable():
+                    want.add((i, clue))
+    got = {(r.doc_id, r.clue) for r in QUERIES["base64_clues"](spark, data).collect()}
+    assert got == want and (7, "clue_here") in got

@@ -128,9 +128,10 @@ def xor_flags(text: pd.Series) -> pd.Series:
             if len(data) < 8:
                 continue
             for key in range(1, 256):
-                turned = data.translate(tables[key])
-                if b"{" in turned:  # every flag has one
-                    out += [{"key": key, "flag": f} for f in pattern.findall(turned.decode("utf-8", "ignore"))]
+                turned = data.translate(tables[key]).decode("utf-8", "ignore")
+                low = turned.lower()
+                if any(opening in low for opening in ("flag{", "ctf{", "htb{", "cyber{")):  # every flag has one
+                    out += [{"key": key, "flag": f} for f in pattern.findall(turned)]
         return out
 
     return text.map(scan)
