@@ -76,6 +76,29 @@ def wav_header(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["channels", "sample_rate_hz", "bit_depth", "duration_seconds", "total_frames"])
 
 
+@F.pandas_udf(T.StringType())
+def pdf_text(content: pd.Series) -> pd.Series:
+    """Text of PDF files, a page a line; a bracketed note where there is none or it can't be read. Null gives null."""
+
+    def read(data: bytes) -> str:
+        try:
+            import pypdf
+
+            pages = [page.extract_text() for page in pypdf.PdfReader(io.BytesIO(data)).pages]
+        except Exception as error:  # noqa: BLE001  whatever the parser meets is told in the text
+            return f"[PDF parsing error: {error}]"
+        text = "".join(p + "\n" for p in pages if p)
+        return text if text.strip() else "[Empty PDF content]"
+
+    return content.map(read, na_action="ignore")
+
+
+def file_text(name: Column, content: Column) -> Column:
+    """A file's text: PDF pages, or bytes as UTF-8 with U+FFFD for what is not."""
+    is_pdf = F.lower(name).endswith(".pdf")
+    return F.when(is_pdf, pdf_text(F.when(is_pdf, content))).otherwise(F.make_valid_utf8(content.cast("string")))
+
+
 def _text(data: bytes) -> str:
     return data.decode("utf-8", "ignore").strip()
 

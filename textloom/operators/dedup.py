@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from functools import reduce
 
@@ -65,29 +66,49 @@ def near_pairs(rows: DataFrame, id_col: str, text: Column, threshold: float = ru
     return common.select("id_a", "id_b", (shared / (F.col("n_a") + F.col("n_b") - shared).cast("double")).alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
-def near_greedy(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY, look_back: int | None = rules.LOOK_BACK) -> DataFrame:
-    """id and kept: in id order, a row goes if it is near one of the last ``look_back`` kept rows (any kept row if None).
+def near_greedy(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY, look_back: int = rules.LOOK_BACK) -> DataFrame:
+    """id and kept: in id order, a row goes if it is near one of the last ``look_back`` kept rows.
 
-    Each decision needs those before it, so the ordered word sets pass through one task as a stream; its
-    state is the kept window. Use near_clusters where that order is not asked for.
+    Each decision needs those before it, so the word sets, made in parallel, pass through one task as an
+    ordered stream; its state is the kept window. Use near_first, or near_clusters where no order is asked for.
     """
-    sets = rows.select(F.col(id_col).alias("id"), word_set(text).alias("words")).coalesce(1).sortWithinPartitions("id")
+    sets = rows.select(F.col(id_col).alias("id"), word_set(text).alias("words")).repartition(1).sortWithinPartitions("id")
 
     def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[set] = []
+        held: deque[set] = deque(maxlen=look_back)
         for frame in frames:
             verdicts = []
             for words in frame["words"]:
                 own = set(words)
-                kept = not any(own and other and len(own & other) / len(own | other) >= threshold for other in (held if look_back is None else held[-look_back:]))
+                kept = not any(own and other and len(own & other) / len(own | other) >= threshold for other in held)
                 if kept:
-                    held = [*held, own] if look_back is None else [*held[-look_back:], own]
+                    held.append(own)
                 verdicts.append(kept)
             yield pd.DataFrame({"id": frame["id"], "kept": verdicts})
 
     return sets.mapInPandas(decide, f"id {rows.schema[id_col].dataType.simpleString()}, kept boolean")
 
 
+def near_first(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
+    """id and kept: in id order, a row goes if it is near any kept row before it; near_greedy without a window, in parallel.
+
+    In rounds over near pairs: a row with no open row before it stays, and what is near it goes. Rows equal
+    in words take two rounds; a chain of rows near only their neighbours takes one for each second row.
+    """
+    pairs = near_pairs(rows, id_col, text, threshold).select(F.col("id_a").alias("before"), F.col("id_b").alias("after")).checkpoint()
+    gone = pairs.select(F.col("after").alias("id")).where(F.lit(False)).checkpoint()
+    while True:
+        waits = pairs.select(F.col("after").alias("before")).distinct()
+        stay = pairs.select("before").distinct().join(waits, "before", "left_anti")
+        hit = pairs.join(stay, "before", "left_semi").select(F.col("after").alias("id")).distinct().checkpoint()
+        if hit.isEmpty():
+            break
+        gone = gone.unionByName(hit).checkpoint()
+        pairs = pairs.join(stay, "before", "left_anti").join(hit.withColumnRenamed("id", "after"), "after", "left_anti").join(hit.withColumnRenamed("id", "before"), "before", "left_anti").select("before", "after").checkpoint()
+    ids = rows.select(F.col(id_col).alias("id"))
+    return ids.join(gone.distinct().withColumn("__gone", F.lit(True)), "id", "left").select("id", F.col("__gone").isNull().alias("kept"))
+
+
 def near_clusters(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
     """id and cluster: the smallest id that links of near pairs lead to."""
     pairs = near_pairs(rows, id_col, text, threshold)

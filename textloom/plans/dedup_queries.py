@@ -75,14 +75,32 @@ def near_dup_pairs(spark, sf_dir):
     return dedup.near_pairs(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
-@query()
+def _in_order(window: str) -> str:
+    """SQL: id and kept, in id order; a row goes if a near one is among the kept ids that ``window`` leaves of held."""
+    return f"""
+WITH RECURSIVE pairs AS MATERIALIZED ({NEAR}), near AS (SELECT id_b AS id, list(id_a) AS others FROM pairs GROUP BY id_b),
+placed AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id AS id, coalesce(others, []::BIGINT[]) AS others FROM documents LEFT JOIN near ON near.id = doc_id),
+g(i, id, kept, held) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, false, []::BIGINT[]
+  UNION ALL
+  SELECT i, id, kept, CASE WHEN kept THEN list_append(held, id){window} ELSE held END
+  FROM (SELECT p.i, p.id, g.held, NOT list_has_any(g.held, p.others) AS kept FROM g JOIN placed p ON p.i = g.i + 1)
+)
+SELECT id, kept FROM g WHERE i > 0
+"""
+
+
+@query(_in_order("[-50:]"))
 def near_dup_greedy(spark, sf_dir):
     return dedup.near_greedy(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
-@query()
+@query(_in_order(""))
 def near_dup_greedy_unlimited(spark, sf_dir):
-    return dedup.near_greedy(read(spark, sf_dir, "documents"), "doc_id", F.col("text"), look_back=None)
+    from textloom.plans.pipelines import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return dedup.near_first(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
 @query(f"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +9,13 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import pair_sha, triple_md5
 from textloom.operators import chat, classify, dedup, filters, sampling, stats
+from textloom.plans.registry import shared_folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Takes spark.checkpoint.dir; a local folder only where none is set."""
+    """Takes spark.checkpoint.dir; see shared_folder where that is unset."""
     if spark.sparkContext.getCheckpointDir() is None:
-        found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="textloom-checkpoints-")
-        spark.sparkContext.setCheckpointDir(found)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 @dataclass

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from textloom.functions.text import strip
 
@@ -85,19 +86,38 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=TELEMETRY, nullValue="None")
 
 
-def append_unseen(rows: DataFrame, path: str, key: Column, limit: int | None = None) -> int:
-    """Append rows whose key the Parquet table at path lacks, one row a key, up to limit rows in the table; returns how many."""
+def response_examples(text: Column) -> Column:
+    """array<struct<instruction, input, output>> of a model's answer: its lines that are JSON objects with all three keys, code fences taken off."""
+    bare = lambda line: strip(F.replace(F.replace(line, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), bare), lambda line: line.startswith("{") & line.endswith("}"))
+    wanted = F.array(*[F.lit(c) for c in EXAMPLE.names])
+    whole = F.filter(lines, lambda line: F.size(F.array_except(wanted, F.coalesce(F.json_object_keys(line), F.array().cast("array<string>")))) == 0)
+    return F.transform(whole, lambda line: F.from_json(line, EXAMPLE, {"allowBackslashEscapingAnyCharacter": "true"}))
+
+
+def append_unseen(rows: DataFrame, path: str, key: Column, limit: int | None = None, group: str | None = None) -> int:
+    """Append rows whose key the Parquet table at path lacks, one row a key; returns how many.
+
+    limit: rows in the table, or of each value of the column ``group`` if that is named; those of the least keys come first.
+    """
     spark = rows.sparkSession
     fresh = rows.withColumn("__key", key).dropDuplicates(["__key"])
-    there = 0
+    there = held = None
     try:
         seen = spark.read.parquet(path)
         there = seen.count()
         fresh = fresh.join(seen.select("__key").distinct(), "__key", "left_anti")
+        held = seen.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__held")) if group else None
     except Exception as error:  # the table is not there yet
         if "PATH_NOT_FOUND" not in str(error):
             raise
-    if limit is not None:
-        fresh = fresh.orderBy("__key").limit(max(0, limit - there))
+    if limit is not None and group:
+        nth = F.row_number().over(Window.partitionBy(group).orderBy("__key"))
+        fresh = fresh.withColumn("__nth", nth).where(F.col("__nth") <= limit)  # at most limit rows a group go on
+        if held is not None:
+            fresh = fresh.join(held, F.col(group).eqNullSafe(F.col("__group")), "left").where(F.col("__nth") <= limit - F.coalesce("__held", F.lit(0)))
+        fresh = fresh.select(*rows.columns, "__key")
+    elif limit is not None:
+        fresh = fresh.orderBy("__key").limit(max(0, limit - (there or 0)))
     fresh.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - there
+    return spark.read.parquet(path).count() - (there or 0)
