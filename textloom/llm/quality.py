@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textloom.llm.common import map_batches, staged, text_or_empty
 from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped, word_bounds
@@ -21,8 +22,8 @@ from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped
 BUCKET_BITS = 17
 GRAMS = (3, 4)
 WIDTH, EPOCHS, RATE = 12, 8, 0.5
-#: At most so many labelled documents are trained on, chosen by a hash of their ids.
-TRAIN_DOCS = 3000
+#: At most so many labelled documents, and so many bytes of their texts, are trained on, chosen by a hash of their ids.
+TRAIN_DOCS, TRAIN_BYTES = 3000, 64 << 20
 BATCH_BYTES = 6 << 20
 SEED = 9
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -133,15 +134,20 @@ class QualityModel:
         self.added, self.bias = added, bias
 
     @classmethod
-    def fit(cls, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: int = 1, train_docs: int = TRAIN_DOCS) -> QualityModel:
+    def fit(cls, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: int = 1, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> QualityModel:
         """Trains on at most train_docs labelled ids outside fold ``held_out``; the labels of others are never read.
 
-        Of several labels of an id the smallest counts; null labels and ids don't.
+        Of several labels of an id the smallest counts, and of several texts; null labels and ids don't.
+        Texts are taken in the order of a hash of their ids until they have train_bytes; what the driver
+        holds is bounded by both. Without labels, or with labels of one kind, the model has a bias alone.
         """
         usable = labels.where((fold(id_col) != held_out) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         chosen = usable.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
         chosen = staged(chosen, "quality-labels")
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+        texts = staged(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "quality-texts")
+        so_far = F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # train_docs numbers
+        texts = texts.join(F.broadcast(texts.select("doc_id", so_far.alias("so_far")).where(F.col("so_far") <= train_bytes).select("doc_id")), "doc_id")
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in regrouped(batches, "text", BATCH_BYTES):
@@ -175,7 +181,11 @@ class QualityModel:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, held_out, score, predicted. See QualityModel for nulls, ties and empty texts."""
+    """One row per input row: doc_id, held_out, score, predicted.
+
+    Null and empty texts have the score of the bias alone; repeated rows score alike; an empty table gives no
+    rows; a score of exactly 0.5 is predicted as 1; null ids are in the fold of the empty text. See QualityModel.
+    """
     model = QualityModel.fit(docs, labels, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     scored = model.score(rows).drop("text")
