@@ -47,3 +47,22 @@ def test_a_common_vector_s_own_query(spark):
     got = [(r.query_id, r.vec_id) for r in op.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect()]
     assert len(got) == 300
     assert sorted(v for q, v in got if q == 2900) == [100 * k for k in range(10)]
+
+
+def test_a_share_of_the_table_is_looked_at(spark):
+    """Recall and candidates against brute force, with a dense cluster among the rest."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(6000, 32))
+    x[:1000] = x[0] + draw.normal(size=(1000, 32)) * 0.05
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    queries = np.arange(0, 6000, 100)
+    gap = ((x[queries][:, None] - x[None]) ** 2).sum(2)
+    gap[np.arange(len(queries)), queries] = np.inf
+    true = {int(q): set(np.argsort(g, kind="stable")[:10].tolist()) for q, g in zip(queries, gap, strict=True)}
+    got = op.nearest(table, F.col("vec_id") % 100 == 0).collect()
+    assert sum(r.vec_id in true[r.query_id] for r in got) >= 0.9 * 10 * len(queries)
+    rows = op.usable(table, "vec_id", "embedding")
+    maker = {32: op.CrossPolytope(32, 6000, op.TABLES, op.BUCKET_SIZE)}
+    probed = op._hashed(rows.where("vec_id % 100 = 0"), maker, {32: op.PROBES}).withColumnRenamed("vec_id", "query_id")
+    found = probed.join(op._hashed(rows, maker, None), ["dimension", "table", "bucket"]).select("query_id", "vec_id").distinct().count()
+    assert found < 0.5 * len(queries) * 6000

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from textloom.llm.common import map_batches, staged
 
-TABLES, PROBES, BUCKET_SIZE, AXES_TRIED = 24, 32, 8, 16
+TABLES, PROBES, BUCKET_SIZE, AXES_TRIED = 64, 12, 4, 16
 #: Beyond so many vectors the probes grow as their number to this power: neighbours a little closer than
 #: the rest share a bucket ever more rarely, and recall would fall otherwise.
 STEADY_ROWS, PROBE_GROWTH = 50_000, 0.37
