@@ -92,7 +92,7 @@ def test_margins_and_rows_against_plain_loops():
 def test_training_against_plain_loops():
     samples = [(np.array([3, 5, 9]), np.array([1, 2, 1]), 1), (np.array([5, 8]), np.array([3, 1]), 0), (np.array([2]), np.array([1]), 1)]
     width, epochs, rate = 4, 3, 0.5
-    got, bias = op.train(samples, width, epochs, rate, seed=7)
+    got, bias = op.train([(*op.packed(at, n), label) for at, n, label in samples], width, epochs, rate, seed=7)
     draw = np.random.default_rng(7)
     vectors = draw.uniform(-1 / width, 1 / width, (1 << op.BUCKET_BITS, width)).astype(np.float32).tolist()
     layer, base, done = [[0.0, 0.0] for _ in range(width)], [0.0, 0.0], 0

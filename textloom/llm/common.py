@@ -76,7 +76,7 @@ def text_or_empty(name: str = "text") -> Column:
 ARROW_BATCH_BYTES = 4 << 20
 
 
-def _release_memory() -> None:
+def release_memory() -> None:
     """Gives what a task has freed back to the system: Python workers stay for later tasks."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -94,6 +94,6 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
         try:
             yield from function(batches)
         finally:
-            _release_memory()
+            release_memory()
 
     return df.mapInArrow(run, schema)

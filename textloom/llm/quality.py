@@ -8,6 +8,7 @@ one number a bucket: the margin its vector adds.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.common import map_batches, staged, text_or_empty
+from textloom.llm.common import map_batches, release_memory, staged, text_or_empty
 from textloom.llm.wordbatch import SPACE, distinct, flat, ragged_take, regrouped, word_bounds
 
 BUCKET_BITS = 17
@@ -95,19 +96,28 @@ class Features:
             yield np.unique(np.concatenate([own, self.pairs[pair_at[k] : pair_at[k + 1]]]), return_counts=True)
 
 
-def train(samples: list[tuple[np.ndarray, np.ndarray, int]], width: int = WIDTH, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, float]:
-    """(margin by bucket, bias) from (buckets, counts, label 0 or 1). Without both labels every margin is 0."""
+def packed(at: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending buckets and their counts, small enough to be held for thousands of texts."""
+    return zlib.compress(np.diff(at, prepend=0).astype("<i4").tobytes(), 1), zlib.compress(n.astype("<i4").tobytes(), 1)
+
+
+def unpacked(at: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(np.frombuffer(zlib.decompress(at), "<i4")), np.frombuffer(zlib.decompress(n), "<i4")
+
+
+def train(samples: list[tuple], width: int = WIDTH, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED, read=unpacked) -> tuple[np.ndarray, float]:
+    """(margin by bucket, bias) from (buckets, counts, label 0 or 1), the first two packed. Without both labels every margin is 0."""
     labels = np.array([s[2] for s in samples], np.int64)
     if len(set(labels.tolist())) < 2:
         return np.zeros(1 << BUCKET_BITS, np.float32), (0.0 if not len(labels) else float(2 * labels[0] - 1))
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / width, 1 / width, (1 << BUCKET_BITS, width)).astype(np.float32)
     layer, bias = np.zeros((width, 2), np.float32), np.zeros(2, np.float32)
-    shares = [(c / max(1, c.sum())).astype(np.float32) for _, c, _ in samples]
     steps, done = epochs * len(samples), 0
     for _ in range(epochs):
         for k in random.permutation(len(samples)):
-            at, share = samples[k][0], shares[k]
+            at, n = read(*samples[k][:2])
+            share = (n / max(1, n.sum())).astype(np.float32)
             pace = rate * (1 - done / steps)
             done += 1
             hidden = share @ vectors[at]
@@ -151,16 +161,19 @@ class QualityModel:
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in regrouped(batches, "text", BATCH_BYTES):
-                found = list(Features(batch.column("text")).rows())
+                found = [packed(at, n) for at, n in Features(batch.column("text")).rows()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("label"), pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()), pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())],
+                    [batch.column("doc_id"), batch.column("label"), pa.array([at for at, _ in found], pa.binary()), pa.array([n for _, n in found], pa.binary())],
                     names=["doc_id", "label", "at", "n"],
                 )
 
-        rows = map_batches(texts, features, "doc_id long, label int, at binary, n binary").collect()
-        rows.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["at"])))
-        samples = [(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["n"], "<i4"), r["label"]) for r in rows]
-        return cls(*train(samples))
+        rows = map_batches(texts, features, "doc_id long, label int, at binary, n binary").toArrow().sort_by("doc_id")
+        samples = list(zip(*[rows.column(c).to_pylist() for c in ("at", "n", "label")], strict=True))
+        try:
+            return cls(*train(samples))
+        finally:
+            del samples, rows
+            release_memory()
 
     def score(self, docs: DataFrame, text_col: str = "text", score_col: str = "score") -> DataFrame:
         """docs with the probability of label 1, in place of a column of that name.
