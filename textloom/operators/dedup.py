@@ -22,9 +22,13 @@ def keep_first(rows: DataFrame, key: Column, order: list) -> DataFrame:
 
 
 def with_copies(rows: DataFrame, key: Column, order: list) -> DataFrame:
-    """rows with nth (place among equals), copies (how many) and first (whether it is kept)."""
-    same = Window.partitionBy("__key")
-    return rows.withColumn("__key", key).withColumns({"nth": F.row_number().over(same.orderBy(*order)), "copies": F.count(F.lit(1)).over(same)}).withColumn("first", F.col("nth") == 1).drop("__key")
+    """rows with nth (place among equals), copies (how many) and first (whether it is kept); only keys that repeat are ranked."""
+    keyed = rows.withColumn("__key", key)
+    counts = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").withColumnRenamed("__key", "__same")
+    marked = keyed.join(counts, keyed["__key"].eqNullSafe(counts["__same"]), "left")
+    several = marked.where("copies IS NOT NULL").withColumn("nth", F.row_number().over(Window.partitionBy("__key").orderBy(*order)))
+    alone = marked.where("copies IS NULL").withColumn("nth", F.lit(1)).withColumn("copies", F.lit(1).cast("long"))
+    return several.unionByName(alone).withColumn("first", F.col("nth") == 1).select(*rows.columns, "nth", "copies", "first")
 
 
 def accept_then_keep_first(rows: DataFrame, accept: Column, key: Column, order: list) -> DataFrame:

@@ -13,21 +13,22 @@ from textloom.functions.text import shuffle_key
 
 
 def _ranks(rows: DataFrame, key: str, groups: list[str]) -> DataFrame:
-    """rows with __place from 1 within groups by hash order, and __size.
+    """rows with __place from 1 within groups (null is a group) by hash order, and __size.
 
-    With groups, a window. Without, the order would put every row into one task, so rows are dealt into
-    256 buckets by the first digits of the hash, ranked within, and bucket offsets are added.
+    A group would be one task's, so rows are dealt into 256 buckets a group by the first digits of the hash,
+    ranked within, and bucket offsets are added.
     """
-    rows = rows.withColumn("__order", shuffle_key(F.col(key)))
-    if groups:
-        whole = Window.partitionBy(*groups)
-        return rows.withColumns({"__place": F.row_number().over(whole.orderBy("__order", key)), "__size": F.count(F.lit(1)).over(whole)})
-    rows = rows.withColumn("__bucket", F.substring("__order", 1, 2))
-    sizes = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
-    running = Window.orderBy("__bucket")  # 256 rows
-    offsets = sizes.select("__bucket", (F.sum("n").over(running) - F.col("n")).alias("__before"), F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__size"))
-    ranked = rows.join(F.broadcast(offsets), "__bucket")
-    return ranked.withColumn("__place", F.col("__before") + F.row_number().over(Window.partitionBy("__bucket").orderBy("__order", key))).drop("__bucket", "__before")
+    rows = rows.withColumn("__order", shuffle_key(F.col(key))).withColumn("__bucket", F.substring("__order", 1, 2))
+    sizes = rows.groupBy(*groups, "__bucket").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy(*groups).orderBy("__bucket")  # 256 rows at most
+    whole = running.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    names = [*groups, "__bucket"]
+    offsets = sizes.select(*[F.col(c).alias(f"__at_{k}") for k, c in enumerate(names)], (F.sum("n").over(running) - F.col("n")).alias("__before"), F.sum("n").over(whole).alias("__size"))
+    if not groups:
+        offsets = F.broadcast(offsets)  # 256 rows
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__at_{k}")) for k, c in enumerate(names)])
+    ranked = rows.join(offsets, same).withColumn("__place", F.col("__before") + F.row_number().over(Window.partitionBy(*names).orderBy("__order", key)))
+    return ranked.drop("__bucket", "__before", *[f"__at_{k}" for k in range(len(names))])
 
 
 def _drop(rows: DataFrame) -> DataFrame:
