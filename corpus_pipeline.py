@@ -49,7 +49,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per document of the mix: doc_id, n_pieces, ids_crc32, n_bytes, round_trip, piece_ids; repeated rows each have one, empty texts no piece."""
-    return sentencepiece_digest(docs, PieceModel(read_pieces(public_tokenizers.path("piece_bpe_32k.model"))), batch_bytes=1 << 20, with_ids=True)
+    return sentencepiece_digest(docs, PieceModel(read_pieces(public_tokenizers.path("piece_bpe_32k.model"))), batch_bytes=1 << 19, with_ids=True)
 
 
 STAGES = [("quality", quality_filter), ("exact_dedup", exact_copies), ("near_dedup", near_copies), ("mixing", mixture), ("sentencepiece", piece_ids)]
