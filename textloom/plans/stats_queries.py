@@ -65,7 +65,7 @@ def score_gate(spark, sf_dir):
     )
 
 
-REPORTS = f"(SELECT source AS category, count(*) AS reviewed, count(*) FILTER (quality = 'good') AS accepted, count(*) FILTER (toxic = 1) AS improved, count(*) FILTER (quality = 'bad') AS rejected, 0::BIGINT AS duplicates, avg(score) AS avg_original_score, avg(score) AS avg_final_score FROM {SCORED} WHERE source <> 'src3' GROUP BY source)"
+REPORTS = f"(SELECT source AS category, count(*) AS reviewed, count(*) FILTER (quality = 'good') AS accepted, count(*) FILTER (toxic = 1) AS improved, count(*) FILTER (quality = 'bad') AS rejected, 0::BIGINT AS duplicates, avg(score) AS avg_original_score, avg(score) AS avg_final_score FROM {SCORED} GROUP BY source)"
 
 
 def _reports(spark, sf_dir):
@@ -82,7 +82,7 @@ def report_rollup(spark, sf_dir):
 
 @query(f"""
 SELECT category, reviewed, accepted, avg_final_score, true AS has_report FROM {REPORTS}
-UNION ALL SELECT source, count(*), count(*), 8.5::DOUBLE, false FROM documents WHERE source NOT IN (SELECT category FROM {REPORTS}) GROUP BY source
+UNION ALL SELECT source, count(*), count(*), 8.5::DOUBLE, false FROM documents d WHERE NOT EXISTS (SELECT 1 FROM {REPORTS} r WHERE r.category IS NOT DISTINCT FROM d.source) GROUP BY source
 """)
 def report_completion(spark, sf_dir):
     cleaned = read(spark, sf_dir, "documents").groupBy(F.col("source").alias("category")).agg(F.count(F.lit(1)).alias("n"))
