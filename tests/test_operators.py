@@ -2,6 +2,7 @@
 
 import io
 import json
+import random
 import wave
 import zipfile
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.operators import artifacts, chat, convert, dedup, sampling, stats
+from textloom.operators.components import smallest_reached
 from textloom.plans import pipelines
 from textloom.sources import jsonl
 from textloom.streaming import incremental
@@ -21,17 +23,75 @@ def words(text):
     return {w for w in re.findall(r"[^\W]+", text.lower()) if re.fullmatch(r"[a-z0-9_]{3,}", w)}
 
 
+def near_by_hand(texts, threshold=0.92):
+    """All pairs of ids, smaller first, whose word sets are near; ids without words or null are in none."""
+    sets = [(i, words(t or "")) for i, t in texts if i is not None]
+    sets = sorted((i, w) for i, w in sets if w)
+    return {(a, b): len(x & y) / len(x | y) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if len(x & y) / len(x | y) >= threshold}
+
+
 def test_near_pairs_match_brute_force(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
-    texts = {r.doc_id: words(r.text) for r in docs.collect()}
-    want = set()
-    for a in texts:
-        for b in texts:
-            if a < b and texts[a] and texts[b] and len(texts[a] & texts[b]) / len(texts[a] | texts[b]) >= 0.92:
-                want.add((a, b))
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    every = near_by_hand(texts)
+    first = {b: min([a for a, x in every if x == b and every[a, b] == 1], default=b) for b, _ in texts}
+    want = {(a, b) for a, b in every if first[a] == a and first[b] in (a, b)}
     assert {(r.id_a, r.id_b) for r in dedup.near_pairs(docs, "doc_id", F.col("text")).collect()} == want
 
 
+def drifting():
+    """(id, text): chains of sets that drift away word by word, copies in other orders, sets of one word, no words, nulls."""
+    rng = random.Random(5)
+    rows, i = [], 0
+    for chain in range(6):
+        own = [f"w{chain}_{k}" for k in range(rng.randint(12, 40))]
+        for step in range(9):
+            for _ in range(rng.choice([1, 1, 3])):
+                rows.append((i, " ".join(rng.sample(own, len(own)))))
+                i += 1
+            own = [*own[: -rng.choice([1, 1, 2])], f"new{chain}_{step}"]
+    rows += [(i, "single"), (i + 1, "single"), (i + 2, "other"), (i + 3, ""), (i + 4, None), (i + 5, "a b"), (None, "single")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.92, 1.0])
+def test_near_duplicates_by_every_form(spark, threshold, monkeypatch):
+    monkeypatch.setattr(dedup, "FREQUENT", 20)
+    texts = drifting()
+    rows = spark.createDataFrame(texts, "id long, t string")
+    every = near_by_hand(texts, threshold)
+    got = {(r.id_a, r.id_b): r.jaccard for r in dedup.near_pairs(rows, "id", F.col("t"), threshold).collect()}
+    first = {i: i for i, _ in texts}
+    first.update({b: a for (a, b), j in got.items() if j == 1})
+    assert {p: j for p, j in every.items() if first[p[0]] == p[0] and first[p[1]] in p} == pytest.approx(got)
+    assert set(every) == {(a, b) for a in first for b in first if None not in (a, b) and a < b and (tuple(sorted((first[a], first[b]))) in got or (first[a] == first[b]))}
+
+    kept = set()
+    for i in sorted(i for i, _ in texts if i is not None):
+        if not any((k, i) in every for k in kept):
+            kept.add(i)
+    assert {r.id for r in dedup.near_first(rows, "id", F.col("t"), threshold).where("kept").collect()} == kept | {None}
+
+    label = {i: i for i, _ in texts}
+    for _ in texts:
+        for a, b in every:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {r.id: r.cluster for r in dedup.near_clusters(rows, "id", F.col("t"), threshold).collect()} == label
+
+
+def test_near_duplicates_of_nothing(spark):
+    rows = spark.createDataFrame([], "id long, t string")
+    for form in (dedup.near_pairs, dedup.near_first, dedup.near_clusters):
+        assert form(rows, "id", F.col("t")).collect() == []
+
+
+def test_smallest_reached_in_a_long_chain(spark):
+    links = spark.range(300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).unionByName(spark.createDataFrame([(900, 901), (901, 900), (7, 7), (None, 5)], "u long, v long"))
+    got = {r.node: r.label for r in smallest_reached(links).collect()}
+    assert got == {**{i: 0 for i in range(301)}, 900: 900, 901: 900}
+
+
 @pytest.mark.parametrize("look_back", [2, None])
 def test_near_greedy(spark, look_back):
     base = " ".join(f"word{k}" for k in range(40))

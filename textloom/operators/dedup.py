@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from collections.abc import Iterator
 from functools import reduce
@@ -13,6 +14,10 @@ from pyspark.sql.window import Window
 
 from textloom.functions import rules
 from textloom.functions.text import word_set
+from textloom.operators.components import smallest_reached
+
+#: The commonest words whose frequencies are broadcast, twelve bytes or so each; it sets the order of words, not the result.
+FREQUENT = 1 << 16
 
 
 def keep_first(rows: DataFrame, key: Column, order: list) -> DataFrame:
@@ -50,24 +55,57 @@ def leaked_keys(train: DataFrame, held_out: DataFrame, key: str) -> DataFrame:
     return train.select(key).intersect(held_out.select(key))
 
 
-def near_pairs(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
-    """id_a < id_b and jaccard of all pairs of word sets at or above the threshold, exactly.
+def _word_classes(rows: DataFrame, id_col: str, text: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, first) with the smallest id of their equal word sets, null without words; and the distinct sets (id, words).
+
+    Word sets are made once; classes of only null ids are left out.
+    """
+    words = F.sort_array(word_set(text))
+    sets = rows.select(F.col(id_col).alias("id"), words.alias("words")).withColumn("key", F.when(F.size("words") > 0, F.md5(F.array_join("words", " ")))).checkpoint()
+    classes = sets.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("first"), F.first("words").alias("words")).checkpoint()
+    members = sets.select("id", "key").join(classes.select("key", "first"), "key", "left").select("id", "first")
+    return members, classes.select(F.col("first").alias("id"), "words")
+
+
+def _near_sets(sets: DataFrame, threshold: float) -> DataFrame:
+    """id_a < id_b and jaccard of all pairs of distinct word sets at or above the threshold, exactly.
 
-    Sets of such a pair share one of their rarest n - ceil(t n) + 1 words, so only these meet in a join on
-    the word; sizes are compared before whole sets are. Words are ranked by document frequency, which keeps
-    posting lists short.
+    Sets of such a pair share one of their first n - ceil(t n) + 1 words in any order common to all, so only
+    these meet in a join, on the word's hash and a class of sizes; sizes and what the places still allow are
+    compared before whole sets are. The order puts the FREQUENT commonest words last, which keeps the lists
+    that meet short; the words of a set stay in its task while they are ordered.
     """
-    sets = rows.select(F.col(id_col).alias("id"), word_set(text).alias("words")).where(F.size("words") > 0).withColumn("n", F.size("words"))
-    by_word = sets.select("id", "n", F.explode("words").alias("word"))
-    frequency = by_word.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    ranked = Window.partitionBy("id").orderBy("df", "word")
-    prefix = by_word.join(frequency, "word").withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    a, b = (prefix.select(F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), "word") for x in "ab")
-    fits = (F.col("id_a") < F.col("id_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold - 1e-9)
-    pairs = a.join(b, "word").where(fits).select("id_a", "id_b", "n_a", "n_b").distinct()
-    common = pairs.join(sets.select(F.col("id").alias("id_a"), F.col("words").alias("wa")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("words").alias("wb")), "id_b")
+    hashed = sets.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    common = hashed.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("df")).orderBy(F.desc("df"), "hash").limit(FREQUENT)
+    spread = hashed.repartition("id").select("id", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    ordered = spread.join(F.broadcast(common), "hash", "left").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0).cast("long")).alias("df"), "hash"))).alias("words"))
+    head = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    prefix = ordered.select("id", "n", F.posexplode(F.slice("words", F.lit(1), head)).alias("place", "word"))
+    # sizes of a pair are in the same class or in neighbouring ones, rounding included
+    step = 1.001 * max(-math.log(max(threshold, 1e-9)), 1e-6)
+    prefix = prefix.select("id", F.col("word.hash").alias("hash"), F.struct("n", "place").alias("at"), F.floor(F.log("n") / step).alias("sizes"))
+    small = prefix.select(F.col("id").alias("id_a"), F.col("at").alias("a"), "hash", F.explode(F.array("sizes", F.col("sizes") + 1)).alias("sizes"))
+    large = prefix.select(F.col("id").alias("id_b"), F.col("at").alias("b"), "hash", "sizes")
+    size_a, size_b = F.col("a.n"), F.col("b.n")
+    in_order = (size_a < size_b) | ((size_a == size_b) & (F.col("id_a") < F.col("id_b")))
+    needed = F.ceil((size_a + size_b) * (threshold / (1 + threshold)) - 1e-9)
+    fits = in_order & (size_a >= size_b * threshold - 1e-9) & (F.least(size_a - F.col("a.place"), size_b - F.col("b.place")) >= needed)
+    pairs = small.join(large, ["hash", "sizes"]).where(fits).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+    both = pairs.join(sets.select(F.col("id").alias("id_a"), F.col("words").alias("wa")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("words").alias("wb")), "id_b")
     shared = F.size(F.array_intersect("wa", "wb"))
-    return common.select("id_a", "id_b", (shared / (F.col("n_a") + F.col("n_b") - shared).cast("double")).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    return both.select("id_a", "id_b", (shared / (F.size("wa") + F.size("wb") - shared).cast("double")).alias("jaccard")).where(F.col("jaccard") >= threshold)
+
+
+def near_pairs(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
+    """id_a < id_b and jaccard: links at or above the threshold between different word sets, and who has which set.
+
+    A set stands for its smallest id. Links are between such ids; every other row of a set has one row, from
+    that id to its own, of jaccard 1. So a group of copies gives as many rows as copies, and no link between
+    different sets is lost. Rows without words or without an id are in no pair.
+    """
+    members, sets = _word_classes(rows, id_col, text)
+    copies = members.where("id > first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("jaccard"))
+    return _near_sets(sets, threshold).unionByName(copies)
 
 
 def near_greedy(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY, look_back: int = rules.LOOK_BACK) -> DataFrame:
@@ -96,35 +134,32 @@ def near_greedy(rows: DataFrame, id_col: str, text: Column, threshold: float = r
 def near_first(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
     """id and kept: in id order, a row goes if it is near any kept row before it; near_greedy without a window, in parallel.
 
-    In rounds over near pairs: a row with no open row before it stays, and what is near it goes. Rows equal
-    in words take two rounds; a chain of rows near only their neighbours takes one for each second row.
+    Of equal word sets only the first row can stay. The others go in rounds over near pairs of different sets:
+    one with no open one before it stays, and what is near it goes; a chain of sets near only their neighbours
+    takes a round for each second one. Rows without words or without an id stay.
     """
-    pairs = near_pairs(rows, id_col, text, threshold).select(F.col("id_a").alias("before"), F.col("id_b").alias("after")).checkpoint()
-    gone = pairs.select(F.col("after").alias("id")).where(F.lit(False)).checkpoint()
+    members, sets = _word_classes(rows, id_col, text)
+    pairs = _near_sets(sets, threshold).select(F.col("id_a").alias("before"), F.col("id_b").alias("after")).checkpoint()
+    gone = pairs.select(F.col("after").alias("first")).where(F.lit(False))
     while True:
         waits = pairs.select(F.col("after").alias("before")).distinct()
-        stay = pairs.select("before").distinct().join(waits, "before", "left_anti")
-        hit = pairs.join(stay, "before", "left_semi").select(F.col("after").alias("id")).distinct().checkpoint()
+        stay = pairs.select("before").distinct().join(waits, "before", "left_anti").checkpoint()
+        hit = pairs.join(stay, "before", "left_semi").select(F.col("after").alias("first")).distinct().checkpoint()
         if hit.isEmpty():
             break
         gone = gone.unionByName(hit).checkpoint()
-        pairs = pairs.join(stay, "before", "left_anti").join(hit.withColumnRenamed("id", "after"), "after", "left_anti").join(hit.withColumnRenamed("id", "before"), "before", "left_anti").select("before", "after").checkpoint()
-    ids = rows.select(F.col(id_col).alias("id"))
-    return ids.join(gone.distinct().withColumn("__gone", F.lit(True)), "id", "left").select("id", F.col("__gone").isNull().alias("kept"))
+        pairs = pairs.join(stay, "before", "left_anti").join(hit.withColumnRenamed("first", "after"), "after", "left_anti").join(hit.withColumnRenamed("first", "before"), "before", "left_anti").select("before", "after").checkpoint()
+    copy = F.coalesce(F.col("id") > F.col("first"), F.lit(False))
+    marked = members.join(gone.withColumn("__gone", F.lit(True)), "first", "left")
+    return marked.select("id", (~copy & (F.col("__gone").isNull() | F.col("id").isNull())).alias("kept"))
 
 
 def near_clusters(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
-    """id and cluster: the smallest id that links of near pairs lead to."""
-    pairs = near_pairs(rows, id_col, text, threshold)
-    both = pairs.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).unionByName(pairs.select(F.col("id_b").alias("u"), F.col("id_a").alias("v"))).checkpoint()
-    labels = rows.select(F.col(id_col).alias("id"), F.col(id_col).alias("cluster"))
-    while True:
-        heard = both.join(labels, both["v"] == labels["id"]).groupBy("u").agg(F.min("cluster").alias("heard"))
-        now = labels.join(heard, labels["id"] == heard["u"], "left").select("id", F.least("cluster", F.coalesce("heard", "cluster")).alias("cluster"), (F.col("heard") < F.col("cluster")).alias("moved"))
-        now = now.checkpoint()
-        labels = now.select("id", "cluster")
-        if now.where("moved").isEmpty():
-            return labels
+    """id and cluster: the smallest id that links of near pairs lead to; a row without words is its own cluster, one without an id in none."""
+    members, sets = _word_classes(rows, id_col, text)
+    labels = smallest_reached(_near_sets(sets, threshold).select(F.col("id_a").alias("u"), F.col("id_b").alias("v")))
+    joined = members.join(labels.withColumnRenamed("node", "first"), "first", "left")
+    return joined.select("id", F.when(F.col("id").isNotNull(), F.coalesce("label", "first", "id")).alias("cluster"))
 
 
 def union_ranked(*sources: DataFrame) -> DataFrame:

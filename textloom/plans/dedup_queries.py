@@ -8,6 +8,7 @@ from textloom.functions import text as X
 from textloom.operators import dedup
 from textloom.operators.chat import last_pair
 from textloom.plans import sqltext as S
+from textloom.plans.pipelines import ensure_checkpoint_dir
 from textloom.plans.registry import query, read
 
 Q = '"user"'
@@ -70,8 +71,14 @@ SELECT id_a, id_b, s / (na + nb - s)::DOUBLE AS jaccard FROM common WHERE s / (n
 """
 
 
-@query(NEAR)
+@query(f"""
+WITH pairs AS ({NEAR}),
+firsts AS (SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY list_sort({S.word_set('text')})) AS first FROM documents)
+SELECT id_a, id_b, jaccard FROM pairs JOIN firsts a ON a.id = id_a JOIN firsts b ON b.id = id_b WHERE a.first = id_a AND b.first IN (id_a, id_b)
+""")
 def near_dup_pairs(spark, sf_dir):
+    """Links between the first documents of different word sets, and from each of these to its copies."""
+    ensure_checkpoint_dir(spark)
     return dedup.near_pairs(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
@@ -97,8 +104,6 @@ def near_dup_greedy(spark, sf_dir):
 
 @query(_in_order(""))
 def near_dup_greedy_unlimited(spark, sf_dir):
-    from textloom.plans.pipelines import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(spark)
     return dedup.near_first(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
@@ -109,8 +114,6 @@ reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, l.v
 SELECT id, min(other) AS cluster FROM reach GROUP BY id
 """)
 def near_dup_clusters(spark, sf_dir):
-    from textloom.plans.pipelines import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(spark)
     return dedup.near_clusters(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
