@@ -11,21 +11,24 @@ from pyspark.sql.window import Window
 from textloom.functions import rules
 from textloom.functions.text import shuffle_key
 
+#: Hexadecimal digits of the hash that name a bucket.
+BUCKET_DIGITS = 4
+
 
 def _ranks(rows: DataFrame, key: str, groups: list[str]) -> DataFrame:
     """rows with __place from 1 within groups (null is a group) by hash order, and __size.
 
-    A group would be one task's, so rows are dealt into 256 buckets a group by the first digits of the hash,
-    ranked within, and bucket offsets are added.
+    A group would be one task's, so rows are dealt into 65,536 buckets a group by the first BUCKET_DIGITS of the
+    hash, ranked within, and bucket offsets are added: of 100 TB in one group a bucket has 1.5 GB or so.
     """
-    rows = rows.withColumn("__order", shuffle_key(F.col(key))).withColumn("__bucket", F.substring("__order", 1, 2))
+    rows = rows.withColumn("__order", shuffle_key(F.col(key))).withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
     sizes = rows.groupBy(*groups, "__bucket").agg(F.count(F.lit(1)).alias("n"))
-    running = Window.partitionBy(*groups).orderBy("__bucket")  # 256 rows at most
+    running = Window.partitionBy(*groups).orderBy("__bucket")  # 65,536 rows at most
     whole = running.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     names = [*groups, "__bucket"]
     offsets = sizes.select(*[F.col(c).alias(f"__at_{k}") for k, c in enumerate(names)], (F.sum("n").over(running) - F.col("n")).alias("__before"), F.sum("n").over(whole).alias("__size"))
     if not groups:
-        offsets = F.broadcast(offsets)  # 256 rows
+        offsets = F.broadcast(offsets)  # 65,536 rows, two small numbers and four digits each
     same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__at_{k}")) for k, c in enumerate(names)])
     ranked = rows.join(offsets, same).withColumn("__place", F.col("__before") + F.row_number().over(Window.partitionBy(*names).orderBy("__order", key)))
     return ranked.drop("__bucket", "__before", *[f"__at_{k}" for k in range(len(names))])
