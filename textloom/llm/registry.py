@@ -15,6 +15,7 @@ from textloom.llm.common import table
 from textloom.llm.exact_dedup import exact_dedup
 from textloom.llm.jaccard_join import jaccard_components
 from textloom.llm.mixing import mix_sources
+from textloom.llm.packing import pack_documents
 from textloom.llm.quality import quality_scores
 from textloom.llm.secret_scan import find_secrets
 from textloom.llm.sentencepiece_viterbi import PieceModel, read_pieces, sentencepiece_digest
@@ -64,8 +65,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", "copies", "order_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing, op11_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
