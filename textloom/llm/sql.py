@@ -103,3 +103,33 @@ SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
   sha256(coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY s, kind), '') AS spans, count(*) FILTER (kind = 3) AS n_random
 FROM documents t LEFT JOIN named n ON n.doc_id = t.doc_id GROUP BY t.doc_id
 """
+
+
+def vector_codes() -> str:
+    from textloom.llm import vector_codes as op
+
+    def assigned(k: int) -> str:
+        gap = "list_sum(list_transform(list_zip(q.x, c.x), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+        return f"a{k} AS MATERIALIZED (SELECT q.rid, q.p, any_value(q.x) AS x, min({gap}::HUGEINT * {op.ENTRIES} + c.e) AS best FROM parts q JOIN c{k} c ON c.p = q.p GROUP BY q.rid, q.p)"
+
+    def moved(k: int) -> str:
+        return f"""
+m{k} AS (SELECT p, e, i, sum(x[i])::HUGEINT AS s, count(*) AS n FROM (SELECT p, (best % {op.ENTRIES})::INT AS e, x, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY p, e, i),
+f{k} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM m{k} GROUP BY p, e),
+c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(f.x, c.x) AS x FROM c{k} c LEFT JOIN f{k} f ON f.p = c.p AND f.e = c.e)"""
+
+    rounds = ",\n".join(f"{assigned(k)},{moved(k)}" for k in range(op.ROUNDS))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({op.SCALE} * x::DOUBLE)::BIGINT) AS x, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS rid
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (SELECT rid, p, x[p * (len(x) // {op.PARTS}) + 1:(p + 1) * (len(x) // {op.PARTS})] AS x FROM (SELECT rid, x, unnest(range(0, {op.PARTS})) AS p FROM kept)),
+c0 AS MATERIALIZED (SELECT p, rid AS e, x FROM parts WHERE rid < {op.ENTRIES}),
+{rounds},
+{assigned(op.ROUNDS)},
+coded AS (SELECT rid, string_agg(lpad(lower(hex((best % {op.ENTRIES})::INT)), 2, '0'), '' ORDER BY p) AS code, sum(best // {op.ENTRIES})::BIGINT AS error FROM a{op.ROUNDS} GROUP BY rid),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS digest FROM c{op.ROUNDS})
+SELECT k.vec_id, k.label, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, b.digest AS codebooks_sha256
+FROM kept k JOIN coded c ON c.rid = k.rid CROSS JOIN books b
+"""
