@@ -5,7 +5,7 @@ import pandas as pd
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return None
     if isinstance(value, (bool, np.bool_)):
         return bool(value)
