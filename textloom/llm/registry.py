@@ -16,6 +16,7 @@ from textloom.llm.exact_dedup import exact_dedup
 from textloom.llm.jaccard_join import jaccard_components
 from textloom.llm.mixing import mix_sources
 from textloom.llm.packing import pack_documents
+from textloom.llm.prefix_trie import conversation_trie
 from textloom.llm.quality import quality_scores
 from textloom.llm.secret_scan import find_secrets
 from textloom.llm.sentencepiece_viterbi import PieceModel, read_pieces, sentencepiece_digest
@@ -70,14 +71,18 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing, op11_packing, op13_vector_codes)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_token_store, op2_wordpiece_counts, op3_sentencepiece, op4_suffix_dedup, op5_jaccard_join, op6_secret_scan, op7_ann_search, op8_exact_dedup, op9_quality, op10_mixing, op11_packing, op12_prefix_trie, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
     own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return own | {"op5_jaccard_join": sql.JACCARD_JOIN, "op6_secret_scan": sql.secret_scan(), "op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING, "op13_vector_codes": sql.vector_codes()}
+    return own | {"op5_jaccard_join": sql.JACCARD_JOIN, "op6_secret_scan": sql.secret_scan(), "op8_exact_dedup": sql.EXACT_DEDUP, "op10_mixing": sql.MIXING, "op12_prefix_trie": sql.prefix_trie(), "op13_vector_codes": sql.vector_codes()}

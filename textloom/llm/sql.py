@@ -133,3 +133,31 @@ books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e))
 SELECT k.vec_id, k.label, c.code, c.error, (sum(c.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, b.digest AS codebooks_sha256
 FROM kept k JOIN coded c ON c.rid = k.rid CROSS JOIN books b
 """
+
+
+def prefix_trie() -> str:
+    from textloom.llm import prefix_trie as op
+
+    byte = "CASE WHEN op >= 0 THEN xor(crc, op) ELSE crc END"  # a step a bit, the first of each byte takes it in
+    steps = "flatten(list_transform(range(1, length(c) + 1), lambda i: [ascii(c[i:i])::BIGINT, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce({steps}, lambda crc, op: xor(({byte}) >> 1, 3988292384 * (({byte}) & 1)), 4294967295::BIGINT), 4294967295)"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, conv_id::VARCHAR AS c, list(x ORDER BY i) AS own FROM turns GROUP BY conv_id),
+heads AS (SELECT *, (({crc}) % {op.SHARED_TURNS})::INT AS h FROM convs),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS path FROM heads c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % {op.GROUP}),
+passed AS (SELECT conv_id, d, path[1:d] AS k, d = len(path) AS last FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS MATERIALIZED (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends FROM passed GROUP BY d, k),
+kids AS MATERIALIZED (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+valued AS MATERIALIZED (SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN n.d > 0 THEN (n.n_convs - 1) * length(n.k[n.d].text) ELSE 0 END AS saved FROM nodes n LEFT JOIN kids c ON c.d = n.d AND c.k = n.k),
+sums AS (
+  SELECT d, k, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT u.saved, u.n_children, unnest(range(0, u.d + 1)) AS d, u.k AS whole FROM valued u) CROSS JOIN LATERAL (SELECT whole[1:d] AS k) GROUP BY d, k
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN sums s ON s.d = v.d AND s.k = v.k LEFT JOIN nodes p ON p.d = v.d - 1 AND p.k = v.k[1:v.d - 1]
+"""
