@@ -3,7 +3,6 @@ import random
 import zlib
 
 import pytest
-from compare import duck, rows
 
 from textloom.llm import prefix_trie as op
 from textloom.operators import ordinals
@@ -46,13 +45,6 @@ def got(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_query_equals_sql(spark, data):
-    from textloom.llm.registry import op12_prefix_trie
-    from textloom.llm.sql import prefix_trie
-
-    assert rows(op12_prefix_trie(spark, data).toPandas()) == rows(duck(data).execute(prefix_trie()).fetchdf())
-
-
 def test_query_equals_brute_force(spark):
     from textloom.llm.registry import op12_prefix_trie
 

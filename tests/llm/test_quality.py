@@ -129,3 +129,11 @@ def test_repeated_ids_and_bytes_bound_the_sample(spark, docs_of, monkeypatch):
     assert 0 < len(seen[-1]) <= 3
     op.QualityModel.fit(docs, labels.where("false"))
     assert seen[-1] == []
+
+
+def test_a_text_over_the_bound_does_not_untrain(spark, docs_of):
+    docs = docs_of([(i, ("good words here " if i % 2 else "bad stuff there ") * (4000 if i < 12 else 1)) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = op.QualityModel.fit(docs, labels, train_bytes=1200)  # a dozen texts have 64 kB
+    assert np.count_nonzero(model.added)
+    assert {r.doc_id for r in op.keep_good(docs, model).collect()} == set(range(1, 60, 2))

@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 import pytest
-from compare import duck, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -44,13 +43,6 @@ def got(df):
     return sorted((tuple(r[c] for c in ("vec_id", "label", "code", "error", "label_error", "codebooks_sha256")) for r in df.collect()), key=repr)
 
 
-def test_query_equals_sql(spark, data):
-    from textloom.llm.registry import op13_vector_codes
-    from textloom.llm.sql import vector_codes
-
-    assert rows(op13_vector_codes(spark, data).toPandas()) == rows(duck(data).execute(vector_codes()).fetchdf())
-
-
 @settings(max_examples=300, deadline=None)
 @given(st.integers(0, 1 << 30), st.integers(1, 16), st.sampled_from([1, 3, 8]), st.sampled_from([2, 50, 1 << 40]))
 def test_search_is_exact_with_ties(seed, entries, width, spread):

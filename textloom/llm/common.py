@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import gc
 import tempfile
@@ -35,19 +36,24 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
 
 
-#: Paths of the tables made within each ``temporary_tables``, innermost last.
-_made: list[list[str]] = []
+#: Lists of the tables made within each ``temporary_tables`` of this thread or task, innermost last: runs side by side have lists of their own.
+_made: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("_made", default=())
 
 
 def staged(df: DataFrame, tag: str, outlives: bool = False) -> DataFrame:
     """df, written once as Parquet into the shared folder and read back: cuts lineage, survives lost executors.
 
-    outlives: the table is kept when the innermost ``temporary_tables`` ends, and belongs to the one around it.
+    outlives: the table is kept when the innermost ``temporary_tables`` ends, and belongs to the one around
+    it. A table whose writing fails belongs to the innermost one.
     """
-    spark, path = df.sparkSession, work_dir(df.sparkSession, tag)
-    df.write.parquet(path)
-    for paths in _made[-2:-1] if outlives else _made[-1:]:
+    spark, path, made = df.sparkSession, work_dir(df.sparkSession, tag), _made.get()
+    for paths in made[-1:]:
         paths.append(path)
+    df.write.parquet(path)
+    if outlives and made:
+        made[-1].remove(path)
+        for paths in made[-2:-1]:
+            paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,12 +66,14 @@ def delete(spark: SparkSession, *paths: str) -> None:
 
 @contextlib.contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
-    """Tables staged within are deleted at the end: what is made from them must be written by then."""
-    _made.append([])
+    """Tables staged within, in this thread, are deleted at the end: what is made from them must be written by then."""
+    paths: list[str] = []
+    token = _made.set((*_made.get(), paths))
     try:
         yield
     finally:
-        delete(spark, *_made.pop())
+        _made.reset(token)
+        delete(spark, *paths)
 
 
 def text_or_empty(name: str = "text") -> Column:

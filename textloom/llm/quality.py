@@ -148,14 +148,15 @@ class QualityModel:
         """Trains on at most train_docs labelled ids outside fold ``held_out``; the labels of others are never read.
 
         Of several labels of an id the smallest counts, and of several texts; null labels and ids don't.
-        Texts are taken in the order of a hash of their ids until they have train_bytes; what the driver
+        Texts are taken in the order of a hash of their ids until they have train_bytes; a text of more
+        than half of that is passed over, so that it can't take the room of all others. What the driver
         holds is bounded by both. Without labels, or with labels of one kind, the model has a bias alone.
         """
         usable = labels.where((fold(id_col) != held_out) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         chosen = usable.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
         chosen = staged(chosen, "quality-labels")
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
-        texts = staged(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "quality-texts")
+        texts = staged(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "quality-texts").where(F.octet_length("text") <= train_bytes // 2)
         so_far = F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # train_docs numbers
         texts = texts.join(F.broadcast(texts.select("doc_id", so_far.alias("so_far")).where(F.col("so_far") <= train_bytes).select("doc_id")), "doc_id")
 
