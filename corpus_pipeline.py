@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; ``run`` writes each
 result as Parquet into the shared folder and reads it back as the next stage's docs, and deletes what the
-stage has staged meanwhile. All stages but the last return the columns of documents, and further columns
+stage has staged meanwhile, and in the end all results but the mix, which the last stage reads. All stages but the last return the columns of documents, and further columns
 that docs has, with their own values whatever their names. Null texts count as empty everywhere; an empty
 table passes through all stages.
 """
@@ -60,7 +60,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        with temporary_tables(spark):
-            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
+    with temporary_tables(spark):
+        for name, stage in STAGES[:-2]:
+            with temporary_tables(spark):
+                docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
+        name, stage = STAGES[-2]
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
     return STAGES[-1][1](spark, docs, sf_dir)
