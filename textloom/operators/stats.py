@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from textloom.functions import rules
 from textloom.functions.text import estimate_tokens
+from textloom.operators.ordinals import with_ordinals
 
 
 def counts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -97,6 +98,16 @@ def compare_runs(base: DataFrame, tuned: DataFrame, order: str, score: str) -> D
     return both.agg(F.count(F.lit(1)).alias("n"), F.avg("base").alias("base_mean"), F.avg("tuned").alias("tuned_mean"), (F.avg("tuned") - F.avg("base")).alias("delta"))
 
 
+def compare_in_order(base: DataFrame, tuned: DataFrame, order: list[str], score: str, *also: str) -> DataFrame:
+    """Rows of two runs side by side by their place in the order: place, base, tuned, improvement (one decimal) and base_ and tuned_ columns of ``also``; what one run has more than the other is left out."""
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        placed = with_ordinals(rows.select(*dict.fromkeys([score, *order, *also])), [], order, "place")
+        return placed.select("place", F.col(score).cast("double").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in also])
+
+    return side(base, "base").join(side(tuned, "tuned"), "place").withColumn("improvement", F.round(F.col("tuned") - F.col("base"), 1))
+
+
 def flag_benchmark(rows: DataFrame, target: str = "target_flag", response: str = "response") -> DataFrame:
     """Rates of found flags, false positives and evidence words; the rejection rate is 100 or 0."""
     t, r = F.col(target), F.col(response)

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.operators import classify, filters, stats
+from textloom.operators.chat import row_id
 from textloom.operators.dedup import keep_first
+from textloom.operators.ordinals import with_ordinals
 from textloom.plans import sqltext as S
+from textloom.plans.pipelines import ensure_checkpoint_dir
 from textloom.plans.registry import query, read
 
 
@@ -138,12 +141,10 @@ def score_labels(spark, sf_dir):
 
 @query("SELECT doc_id, source || '_' || lpad((row_number() OVER (PARTITION BY source ORDER BY doc_id))::VARCHAR, 4, '0') AS row_id, text[1:80] AS preview FROM documents")
 def row_ids(spark, sf_dir):
-    from pyspark.sql.window import Window
-
-    from textloom.operators.chat import row_id
-
-    nth = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return read(spark, sf_dir, "documents").select("doc_id", row_id(F.col("source"), nth).alias("row_id"), X.preview(F.col("text"), 80).alias("preview"))
+    ensure_checkpoint_dir(spark)
+    previews = read(spark, sf_dir, "documents").select("doc_id", "source", X.preview(F.col("text"), 80).alias("preview"))
+    numbered = with_ordinals(previews, ["source"], ["doc_id"], "nth")
+    return numbered.select("doc_id", row_id(F.col("source"), F.col("nth")).alias("row_id"), "preview")
 
 
 @query("""
