@@ -43,23 +43,51 @@ def atbash(text: Column) -> Column:
     return F.translate(text, LOWER + UPPER, LOWER[::-1] + UPPER[::-1])
 
 
-def words_to_rotate(text: Column, most: int = 20) -> Column:
-    return F.slice(every(text, r"[A-Za-z0-9_{}]{10,}"), 1, most)
+def some(found: Column, most: int | None) -> Column:
+    """The first ``most`` of an array; all if None."""
+    return found if most is None else F.slice(found, 1, most)
 
 
-def rotated_flags(text: Column) -> Column:
-    """array<struct<shift, flag>> of the first 20 long words under each shift."""
-    of_word = lambda w: F.flatten(F.array(*[F.transform(flags(rotate(w, k)), lambda f: F.struct(F.lit(k).alias("shift"), f.alias("flag"))) for k in range(1, 26)]))  # noqa: E731, B023
-    return F.flatten(F.transform(words_to_rotate(text), of_word))
+def words_to_rotate(text: Column, most: int | None = 20) -> Column:
+    return some(every(text, r"[A-Za-z0-9_{}]{10,}"), most)
 
 
-def atbash_flags(text: Column) -> Column:
-    return F.flatten(F.transform(words_to_rotate(text, 15), lambda w: flags(atbash(w))))
+#: Letters before the brace that opens a flag.
+OPENINGS = ("flag", "ctf", "htb", "cyber")
 
 
-def base64_texts(text: Column, most: int = 20) -> Column:
+def shifts_of(word: Column) -> Column:
+    """Shifts from 1 to 25, ascending, under which a word has the opening of a flag.
+
+    Letters keep their distances under any shift, so the last letter before a brace tells the only shift
+    that could make an opening end there, and one comparison tells whether it does.
+    """
+    turns = F.array(*[F.lit(LOWER[k:] + LOWER[:k]) for k in range(26)])
+
+    def of_opening(found: Column) -> Column:
+        letters = F.lower(F.regexp_replace(found, r"\{", ""))
+        shift = lambda o: F.pmod(F.lit(ord(o[-1])) - F.ascii(F.substring(letters, -1, 1)), F.lit(26))
+        fits = lambda o: F.call_function("translate", F.substring(letters, -len(o), len(o)), F.lit(LOWER), F.element_at(turns, shift(o) + 1)) == o
+        return F.array(*[F.when(fits(o) & (shift(o) > 0), shift(o)) for o in OPENINGS])
+
+    return F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.transform(every(word, r"[A-Za-z]{3,5}\{"), of_opening)))))
+
+
+def rotated_flags(text: Column, most: int | None = 20) -> Column:
+    """array<struct<shift, flag>> of the first long words under each shift that makes an opening; all words if most is None."""
+    turns = F.array(*[F.lit(LOWER[k:] + LOWER[:k] + UPPER[k:] + UPPER[:k]) for k in range(26)])
+    turned = lambda w, k: flags(F.call_function("translate", w, F.lit(LOWER + UPPER), F.element_at(turns, k + 1)))
+    of_shift = lambda w: lambda k: F.transform(turned(w, k), lambda f: F.struct(k.alias("shift"), f.alias("flag")))
+    return F.flatten(F.transform(words_to_rotate(text, most), lambda w: F.flatten(F.transform(shifts_of(w), of_shift(w)))))
+
+
+def atbash_flags(text: Column, most: int | None = 15) -> Column:
+    return F.flatten(F.transform(words_to_rotate(text, most), lambda w: flags(atbash(w))))
+
+
+def base64_texts(text: Column, most: int | None = 20) -> Column:
     """What the first base64-like strings decode to; null where one does not decode."""
-    return F.transform(F.slice(every(text, r"[A-Za-z0-9+/]{8,}={0,2}"), 1, most), lambda s: strip(utf8(F.try_to_binary(F.when(F.char_length(s) % 4 == 0, s), F.lit("base64")))))
+    return F.transform(some(every(text, r"[A-Za-z0-9+/]{8,}={0,2}"), most), lambda s: strip(utf8(F.try_to_binary(F.when(F.char_length(s) % 4 == 0, s), F.lit("base64")))))
 
 
 def short_clues(decoded: Column) -> Column:
@@ -67,14 +95,14 @@ def short_clues(decoded: Column) -> Column:
     return F.filter(decoded, lambda d: d.isNotNull() & F.char_length(d).between(4, 32) & ~d.contains(" ") & ~d.rlike(r"[\p{C}\p{Z}]"))
 
 
-def hex_texts(text: Column, most: int = 15) -> Column:
-    return F.transform(F.filter(F.slice(every(text, r"(?:0x)?([0-9a-fA-F]{16,})", 1), 1, most), lambda h: F.char_length(h) % 2 == 0), lambda h: utf8(F.unhex(h)))
+def hex_texts(text: Column, most: int | None = 15) -> Column:
+    return F.transform(F.filter(some(every(text, r"(?:0x)?([0-9a-fA-F]{16,})", 1), most), lambda h: F.char_length(h) % 2 == 0), lambda h: utf8(F.unhex(h)))
 
 
-def bit_texts(text: Column, most: int = 5) -> Column:
+def bit_texts(text: Column, most: int | None = 5) -> Column:
     """Runs of four or more groups of eight bits."""
     octet = lambda b: F.lpad(F.conv(b, 2, 16), 2, "0")
-    return F.transform(F.slice(every(text, r"[01]{8}(?:\s+[01]{8}){3,}"), 1, most), lambda run: utf8(F.unhex(F.array_join(F.transform(F.split(run, r"\s+"), octet), ""))))
+    return F.transform(some(every(text, r"[01]{8}(?:\s+[01]{8}){3,}"), most), lambda run: utf8(F.unhex(F.array_join(F.transform(F.split(run, r"\s+"), octet), ""))))
 
 
 def url_text(text: Column) -> Column:

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.rules import FLAG
-
 WAV = T.StructType([*[T.StructField(c, T.IntegerType()) for c in ("channels", "sample_rate_hz", "bit_depth")], T.StructField("duration_seconds", T.DoubleType()), T.StructField("total_frames", T.LongType())])
 UNSAFE_PATH = r"(^/)|(^|/)\.\.(/|$)|\\"
 
@@ -103,31 +101,14 @@ def _text(data: bytes) -> str:
     return data.decode("utf-8", "ignore").strip()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def base32_texts(text: pd.Series) -> pd.Series:
-    """What the first ten base32-like strings decode to."""
-
-    def decode(value: str) -> list[str]:
-        out = []
-        for found in re.findall(r"[A-Z2-7]{10,}={0,6}", value or "")[:10]:
-            try:
-                out.append(_text(base64.b32decode(found, casefold=True)))
-            except ValueError:
-                continue
-        return out
-
-    return text.map(decode)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def base85_texts(text: pd.Series) -> pd.Series:
-    """What the first eight base85-like strings decode to, as base85 or else as Ascii85."""
+def _decoded(pattern: str, most: int | None, *decoders):
+    """A pandas UDF: what the first ``most`` strings of a pattern decode to, by the first decoder that takes them."""
 
-    def decode(value: str) -> list[str]:
+    def decode(value: str | None) -> list[str]:
         out = []
-        for found in re.findall(r"<~[!-u]+~>|[0-9a-zA-Z!#$%&()*+-;<=>?@^_`{|}~]{12,}", value or "")[:8]:
+        for found in re.findall(pattern, value or "")[:most]:
             bare = found.replace("<~", "").replace("~>", "").encode()
-            for decoder in (base64.b85decode, base64.a85decode):
+            for decoder in decoders:
                 try:
                     out.append(_text(decoder(bare)))
                     break
@@ -135,29 +116,20 @@ def base85_texts(text: pd.Series) -> pd.Series:
                     continue
         return out
 
-    return text.map(decode)
+    def decode_all(text: pd.Series) -> pd.Series:
+        return text.map(decode)
 
+    return F.pandas_udf(decode_all, T.ArrayType(T.StringType()))
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.IntegerType()), T.StructField("flag", T.StringType())])))
-def xor_flags(text: pd.Series) -> pd.Series:
-    """Flags of each line of eight bytes or more under the 255 single-byte keys."""
-    pattern = re.compile(FLAG)
-    tables = [bytes(b ^ key for b in range(256)) for key in range(256)]
 
-    def scan(value: str) -> list[dict]:
-        out = []
-        for line in (value or "").splitlines():
-            data = line.strip().encode()
-            if len(data) < 8:
-                continue
-            for key in range(1, 256):
-                turned = data.translate(tables[key]).decode("utf-8", "ignore")
-                low = turned.lower()
-                if any(opening in low for opening in ("flag{", "ctf{", "htb{", "cyber{")):  # every flag has one
-                    out += [{"key": key, "flag": f} for f in pattern.findall(turned)]
-        return out
+def base32_texts(text: Column, most: int | None = 10) -> Column:
+    """What the first base32-like strings decode to; all if most is None."""
+    return _decoded(r"[A-Z2-7]{10,}={0,6}", most, lambda x: base64.b32decode(x, casefold=True))(text)
+
 
-    return text.map(scan)
+def base85_texts(text: Column, most: int | None = 8) -> Column:
+    """What the first base85-like strings decode to, as base85 or else as Ascii85; all if most is None."""
+    return _decoded(r"<~[!-u]+~>|[0-9a-zA-Z!#$%&()*+-;<=>?@^_`{|}~]{12,}", most, base64.b85decode, base64.a85decode)(text)
 
 
 @F.pandas_udf(T.StringType())

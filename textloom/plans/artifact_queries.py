@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions import ciphers
 from textloom.functions import decoders as D
 from textloom.functions.rules import FLAG, MORSE
 from textloom.operators import artifacts
@@ -205,4 +206,13 @@ def base_decoders(spark, sf_dir):
 @query()  # 255 keys a line are too slow in SQL: tested against brute force
 def xor_scan(spark, sf_dir):
     turned = artifacts.xor_text(F.col("flag"), F.lit("\x02"))
-    return _flagged(spark, sf_dir).select("doc_id", F.explode(artifacts.xor_flags(_before_text(turned))).alias("found")).select("doc_id", "found.key", "found.flag")
+    return _flagged(spark, sf_dir).select("doc_id", F.explode(ciphers.xor_flags(_before_text(turned))).alias("found")).select("doc_id", "found.key", "found.flag")
+
+
+@query()  # no exclusive or of texts in SQL: tested against brute force
+def xor_clue_scan(spark, sf_dir):
+    """Each line under the keys that notes of the same text give away."""
+    key = F.concat(F.lit("!"), F.repeat(F.lit("#"), (F.col("doc_id") % 4).cast("int")), F.lit("$"))
+    text = _before_text(F.concat(F.lit("the password: "), key, F.lit("\n"), artifacts.xor_text(F.col("flag"), key)))
+    found = ciphers.xor_flags_by_keys(text, F.sort_array(D.clues(text)))
+    return _flagged(spark, sf_dir).select("doc_id", F.explode(found).alias("found")).select("doc_id", "found.key", "found.flag")
