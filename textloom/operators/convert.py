@@ -135,9 +135,16 @@ def malware_reports(reports: DataFrame) -> DataFrame:
     return _example(rows, "Perform malware analysis.", input_, fill(MALWARE, **c), "malware", "cisa_threat_advisories", F.lit("expert"))
 
 
+def title_case(text: Column) -> Column:
+    """A capital at the start of every run of cased letters, small letters after it; whatever is no cased letter parts runs."""
+    cased = r"[\p{Lu}\p{Ll}\p{Lt}]"
+    runs = F.regexp_extract_all(text, F.lit(f"{cased}+|[^{cased[1:-1]}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda x: F.when(x.rlike(f"^{cased}"), F.initcap(x)).otherwise(x)), "")
+
+
 def articles(documents: DataFrame, stem: str = "stem", content: str = "content") -> DataFrame:
     """Markdown documents to examples: the first heading or the titled stem, and the first 700 characters cleaned."""
     heading = F.regexp_extract(content, r"#\s*(.+)", 1)
-    title = F.when(F.col(content).rlike(r"#\s*.+"), strip(heading)).otherwise(F.initcap(F.replace(F.col(stem), F.lit("_"), F.lit(" "))))
+    title = F.when(F.col(content).rlike(r"#\s*.+"), strip(heading)).otherwise(title_case(F.replace(F.col(stem), F.lit("_"), F.lit(" "))))
     input_ = F.concat(F.lit("Threat Category: "), title, F.lit("\nContext: Web Application Vulnerability & Architecture Risk"))
     return _example(documents, "Analyze this security threat and detail prevention controls.", input_, fill(ARTICLE, opening=clean_markdown(F.substring(content, 1, 700))), "security_corpus", "owasp_guidance", F.lit("intermediate"))

@@ -26,14 +26,28 @@ def keep_first(rows: DataFrame, key: Column, order: list) -> DataFrame:
     return rows.withColumn("__key", key).withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__key", "__nth")
 
 
-def with_copies(rows: DataFrame, key: Column, order: list) -> DataFrame:
-    """rows with nth (place among equals), copies (how many) and first (whether it is kept); only keys that repeat are ranked."""
-    keyed = rows.withColumn("__key", key)
-    counts = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").withColumnRenamed("__key", "__same")
-    marked = keyed.join(counts, keyed["__key"].eqNullSafe(counts["__same"]), "left")
-    several = marked.where("copies IS NOT NULL").withColumn("nth", F.row_number().over(Window.partitionBy("__key").orderBy(*order)))
-    alone = marked.where("copies IS NULL").withColumn("nth", F.lit(1)).withColumn("copies", F.lit(1).cast("long"))
-    return several.unionByName(alone).withColumn("first", F.col("nth") == 1).select(*rows.columns, "nth", "copies", "first")
+def funnel(rows: DataFrame, group: str, kept: Column, key: Column, order: str) -> DataFrame:
+    """Per group, and in a row with is_total: total, normalised (kept rows), uniq (those that are the first of their key by ``order``), removed.
+
+    rows is read once: what is counted by group and key is all that goes on, so a key that a third of the
+    rows share is as many rows as it has groups.
+    """
+    counted = rows.select(F.col(group), F.coalesce(kept, F.lit(False)).alias("kept"), key.alias("key"), F.col(order).alias("order"))
+    counted = counted.withColumn("key", F.when(F.col("kept"), F.col("key"))).groupBy(group, "kept", "key").agg(F.count(F.lit(1)).alias("n"), F.min("order").alias("first"))
+    leads = F.row_number().over(Window.partitionBy("kept", "key").orderBy(F.asc_nulls_last("first"), group)) == 1  # a row a group and key
+    counted = counted.withColumn("leads", F.col("kept") & leads)
+    sums = counted.rollup(group).agg(F.sum("n").alias("total"), F.sum(F.when(F.col("kept"), F.col("n")).otherwise(0)).alias("normalised"), F.count_if("leads").alias("uniq"), (F.grouping(group) == 1).alias("is_total"))
+    return sums.withColumn("removed", F.col("total") - F.col("uniq"))
+
+
+def duplicate_examples(rows: DataFrame, id_col: str, key: Column, n: int = 5) -> DataFrame:
+    """id, key, nth, copies of the first n rows, by id, that repeat an earlier one; only the keys of those are looked at for their place."""
+    slim = rows.select(F.col(id_col).alias("id"), key.alias("key")).checkpoint()
+    repeated = slim.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("lead")).where("copies > 1")
+    chosen = slim.join(repeated, "key").where("id > lead").select("id", "key", "copies").orderBy("id").limit(n).checkpoint()
+    wanted = F.broadcast(chosen.select(F.col("key").alias("__key"), F.col("id").alias("__id"), "copies"))  # n rows
+    before = slim.join(wanted, (F.col("key") == F.col("__key")) & (F.col("id") <= F.col("__id")))
+    return before.groupBy(F.col("__id").alias("id"), "key", "copies").agg(F.count(F.lit(1)).alias("nth")).select("id", "key", "nth", "copies")
 
 
 def accept_then_keep_first(rows: DataFrame, accept: Column, key: Column, order: list) -> DataFrame:

@@ -163,6 +163,6 @@ def latest_checkpoint(names: DataFrame, name: str = "name") -> DataFrame:
     return names.agg(F.max_by(name, F.struct(suffix, F.col(name))).alias("latest"), F.max(suffix).alias("step"))
 
 
-def ordered_candidates(rows: DataFrame, confidence: str, text: str, n: int) -> DataFrame:
-    """By confidence from the highest, then from the shortest."""
-    return rows.orderBy(F.desc(confidence), F.char_length(text), text).limit(n)
+def ordered_candidates(rows: DataFrame, confidence: str, text: str, n: int, *ties: str) -> DataFrame:
+    """The first n by confidence from the highest, then from the shortest, then by text and the columns of ``ties``; nulls come last in confidence, first in text."""
+    return rows.orderBy(F.desc(confidence), F.char_length(text), text, *ties).limit(n)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import dedup
+from textloom.operators import dedup, filters
 from textloom.operators.chat import last_pair
 from textloom.plans import sqltext as S
 from textloom.plans.pipelines import ensure_checkpoint_dir
-from textloom.plans.registry import query, read
+from textloom.plans.registry import fresh_folder, query, read
+from textloom.sources import jsonl
+from textloom.sources.counted import clean_and_count
 
 Q = '"user"'
 
@@ -54,9 +56,10 @@ SELECT doc_id, nth, copies, preview FROM (
 ) WHERE nth > 1 ORDER BY doc_id LIMIT 5
 """)
 def dup_examples(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = dedup.with_copies(docs, F.sha2(X.normalize_fold(F.col("text")), 256), ["doc_id"]).where("NOT first")
-    return marked.select("doc_id", "nth", "copies", X.preview(F.col("text"), 80).alias("preview")).orderBy("doc_id").limit(5)
+    five = dedup.duplicate_examples(docs, "doc_id", F.sha2(X.normalize_fold(F.col("text")), 256))
+    return docs.join(F.broadcast(five), F.col("doc_id") == F.col("id")).select("doc_id", "nth", "copies", X.preview(F.col("text"), 80).alias("preview"))
 
 
 NEAR = f"""
@@ -151,6 +154,32 @@ def generation_dedup(spark, sf_dir):
     return dedup.keep_first(fresh, F.col("h"), ["doc_id"]).select("doc_id").orderBy("doc_id").limit(10)
 
 
+@query(f"""
+WITH good AS (SELECT * FROM (SELECT doc_id, {S.clean("text")} AS t FROM documents) WHERE NOT {S.low_quality("t", "output")}), firsts AS (SELECT md5(t) AS h, min(doc_id) AS doc_id FROM good GROUP BY 1)
+SELECT doc_id, h, (SELECT count(*) FROM documents) AS total, (SELECT count(*) FROM good) AS normalised, (SELECT count(*) FROM firsts) AS uniq FROM firsts
+""")
+def clean_counts(spark, sf_dir):
+    """Cleaned documents written, with what was counted on the way in the same pass."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", X.normalize_clean(F.col("text")).alias("t"))
+    path = fresh_folder(spark, "cleaned")
+    counts = clean_and_count(docs, path, ~filters.is_low_quality(F.col("t"), "output"), F.md5("t"), ["doc_id"])
+    return spark.read.parquet(path).select("doc_id", F.md5("t").alias("h"), *[F.lit(counts[c]).alias(c) for c in ("total", "normalised", "uniq")])
+
+
+@query("SELECT md5(t) AS h, min(r) AS source_rank FROM (SELECT coalesce(text, '') AS t, 1 AS r FROM benchmark UNION ALL SELECT coalesce(text, ''), 3 FROM documents UNION ALL SELECT coalesce(text, ''), 4 FROM conversations) GROUP BY 1")
+def union_of_files(spark, sf_dir):
+    """Folders of examples end to end, two of the five missing; content stays with its first source."""
+    root, paths = fresh_folder(spark, "sources"), []
+    for name in ("missing", "benchmark", "nothing", "documents", "conversations"):
+        paths.append(f"{root}/{name}")
+        if name in ("benchmark", "documents", "conversations"):
+            rows = read(spark, sf_dir, name).select(F.lit("say").alias("instruction"), F.lit("").alias("input"), F.coalesce("text", F.lit("")).alias("output"))
+            rows.select(F.to_json(F.struct("*")).alias("value")).write.text(paths[-1])
+            jsonl.renamed(spark, paths[-1])
+    found = jsonl.read_sources(spark, paths, jsonl.EXAMPLE)
+    return dedup.keep_first(found.select(F.md5("output").alias("h"), "source_rank"), F.col("h"), ["source_rank"])
+
+
 @query("SELECT md5(t) AS h, arg_min(src, r) AS source, min(r) AS source_rank FROM (SELECT text AS t, 'benchmark' AS src, 0 AS r FROM benchmark UNION ALL SELECT text, 'documents', 1 FROM documents UNION ALL SELECT text, 'conversations', 2 FROM conversations) GROUP BY 1")
 def union_first_source(spark, sf_dir):
     parts = [read(spark, sf_dir, t).select(F.md5("text").alias("h"), F.lit(t).alias("source")) for t in ("benchmark", "documents", "conversations")]

@@ -36,23 +36,12 @@ def _read_examples(found):
     return found.select(F.col("input").cast("long").alias("doc_id"), "instruction", F.md5("output").alias("output_md5"))
 
 
-def _renamed(spark, path):
-    """The files below path as *.jsonl: Spark's text writer names them .txt."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files = fs.listFiles(spark._jvm.org.apache.hadoop.fs.Path(path), True)
-    while files.hasNext():
-        at = files.next().getPath()
-        if at.getName().endswith(".txt"):
-            fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), at.getName()[:-4] + ".jsonl"))
-    return path
-
-
 @query(f"SELECT doc_id, instruction, md5(output) AS output_md5 FROM ({EXAMPLES}) WHERE doc_id % 7 <> 3")
 def jsonl_lenient(spark, sf_dir):
     """Every seventh line is cut off, and blank ones and a byte-order mark stand between: bad lines go silently."""
     rows = _examples(spark, sf_dir)
     line = F.when(F.col("doc_id") % 7 == 3, F.expr("substring(line, 1, length(line) - 1)")).when(F.col("doc_id") % 5 == 1, F.concat(F.lit("﻿"), "line", F.lit("\n  \n"))).otherwise(F.concat(F.lit(" "), "line"))
-    return _read_examples(jsonl.read_records(spark, _renamed(spark, _written(rows.select(line), spark, "lenient")), jsonl.EXAMPLE))
+    return _read_examples(jsonl.read_records(spark, jsonl.renamed(spark, _written(rows.select(line), spark, "lenient")), jsonl.EXAMPLE))
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (doc_id % 7 = 3) AS bad, count(DISTINCT doc_id) FILTER (doc_id % 7 <> 3) AS good FROM documents")
@@ -66,14 +55,14 @@ def jsonl_strict_counts(spark, sf_dir):
 def category_folders(spark, sf_dir):
     """A folder a source; lines that lack a field are left out."""
     rows = _examples(spark, sf_dir).select("source", F.when(F.col("doc_id") % 9 == 2, F.replace("line", F.lit('"instruction"'), F.lit('"task"'))).otherwise(F.col("line")).alias("line"))
-    found = jsonl.read_category_folders(spark, _renamed(spark, _written(rows, spark, "categories", "source")), jsonl.EXAMPLE)
+    found = jsonl.read_category_folders(spark, jsonl.renamed(spark, _written(rows, spark, "categories", "source")), jsonl.EXAMPLE)
     return found.select(F.col("input").cast("long").alias("doc_id"), F.col("_category").alias("category"), "instruction", F.md5("output").alias("output_md5"))
 
 
 @query(f"SELECT doc_id, instruction, md5(output) AS output_md5 FROM ({EXAMPLES})")
 def recursive_scan(spark, sf_dir):
     rows = _examples(spark, sf_dir).select("source", (F.col("doc_id") % 2).alias("half"), "line")
-    return _read_examples(jsonl.read_records(spark, _renamed(spark, _written(rows, spark, "recursive", "source", "half")), jsonl.EXAMPLE, recursive=True))
+    return _read_examples(jsonl.read_records(spark, jsonl.renamed(spark, _written(rows, spark, "recursive", "source", "half")), jsonl.EXAMPLE, recursive=True))
 
 
 @query("SELECT page_id, url, md5(html) AS html_md5 FROM pages")
@@ -97,9 +86,9 @@ def document_files(spark, sf_dir):
     return found.select("item_id", F.md5("content").alias("content_md5"))
 
 
-@query("SELECT conv_id, role, md5(text) AS content_md5 FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL")
+@query("SELECT conv_id, role, md5(text) AS content_md5 FROM conversations")
 def chat_sink(spark, sf_dir):
-    turns = read(spark, sf_dir, "conversations").where("text IS NOT NULL AND role IS NOT NULL").select(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages"), F.col("conv_id").cast("string").alias("category"), F.lit(0).alias("turn"))
+    turns = read(spark, sf_dir, "conversations").select(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages"), F.col("conv_id").cast("string").alias("category"), F.lit(0).alias("turn"))
     path = fresh_folder(spark, "chat")
     jsonl.write_chat(turns, path)
     found = jsonl.parsed(jsonl.read_lines(spark, path, glob="*.json"))
@@ -127,7 +116,7 @@ def telemetry_csv(spark, sf_dir):
 
 
 @query("""
-WITH d AS (SELECT coalesce(source, 'none') AS source, md5(text) AS h, doc_id % 2 AS half FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT coalesce(source, 'none') AS source, md5(coalesce(text, '')) AS h, doc_id % 2 AS half FROM documents),
 a AS (SELECT source, h FROM (SELECT h, min(source) AS source FROM d WHERE half = 0 GROUP BY h) QUALIFY row_number() OVER (PARTITION BY source ORDER BY h) <= 20),
 b AS (SELECT source, h, row_number() OVER (PARTITION BY source ORDER BY h) AS nth FROM (SELECT h, min(source) AS source FROM d WHERE half = 1 GROUP BY h) WHERE h NOT IN (SELECT h FROM a)),
 held AS (SELECT source, count(*) AS n FROM a GROUP BY source)
@@ -135,7 +124,7 @@ SELECT source, h FROM a UNION ALL SELECT b.source, b.h FROM b LEFT JOIN held USI
 """)
 def append_resume(spark, sf_dir):
     """Two appends of at most twenty rows a source in all; what is there is never written again."""
-    docs = read(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.coalesce("source", F.lit("none")).alias("source"), F.md5("text").alias("h"), (F.col("doc_id") % 2).alias("half"))
+    docs = read(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("none")).alias("source"), F.md5(F.coalesce("text", F.lit(""))).alias("h"), (F.col("doc_id") % 2).alias("half"))
     path = fresh_folder(spark, "appended")
     for half in (0, 1):
         rows = docs.where(F.col("half") == half).groupBy("h").agg(F.min("source").alias("source"))
@@ -226,7 +215,7 @@ def convert_malware(spark, sf_dir):
 
 @query(
     _converted(
-        f"SELECT CASE WHEN doc_id % 2 = 0 THEN 'Heading ' || doc_id ELSE 'Some Name ' || doc_id END AS title, {S.markdown('content[1:700]')} AS opening FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '# Heading ' || doc_id || chr(10) ELSE '' END || replace(coalesce(text, ''), '#', '') AS content FROM documents)",
+        f"SELECT CASE WHEN doc_id % 2 = 0 THEN 'Heading ' || doc_id ELSE 'Some-Name 2Fa It''S X' || doc_id END AS title, {S.markdown('content[1:700]')} AS opening FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '# Heading ' || doc_id || chr(10) ELSE '' END || replace(coalesce(text, ''), '#', '') AS content FROM documents)",
         "Analyze this security threat and detail prevention controls.", "'Threat Category: ' || title || chr(10) || 'Context: Web Application Vulnerability & Architecture Risk'",
         _filled(convert.ARTICLE, {"opening": "opening"}), "security_corpus", "owasp_guidance", "'intermediate'",
     )
@@ -234,7 +223,7 @@ def convert_malware(spark, sf_dir):
 def convert_articles(spark, sf_dir):
     n = F.col("doc_id").cast("string")
     heading = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("# Heading "), n, F.lit("\n"))).otherwise("")
-    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("some_name_"), n).alias("stem"), F.concat(heading, F.replace(F.coalesce("text", F.lit("")), F.lit("#"), F.lit(""))).alias("content"))
+    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("some-naME_2fa_it's_x"), n).alias("stem"), F.concat(heading, F.replace(F.coalesce("text", F.lit("")), F.lit("#"), F.lit(""))).alias("content"))
     return convert.articles(docs)
 
 

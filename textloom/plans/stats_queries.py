@@ -187,4 +187,4 @@ def latest_checkpoint(spark, sf_dir):
 @query("SELECT p_partkey, p_size, p_name FROM part ORDER BY p_size DESC, length(p_name), p_name, p_partkey LIMIT 25")
 def ordered_candidates(spark, sf_dir):
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name")
-    return parts.orderBy(F.desc("p_size"), F.char_length("p_name"), "p_name", "p_partkey").limit(25)
+    return stats.ordered_candidates(parts, "p_size", "p_name", 25, "p_partkey")

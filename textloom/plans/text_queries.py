@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import classify, filters, stats
 from textloom.operators.chat import row_id
-from textloom.operators.dedup import keep_first
+from textloom.operators.dedup import funnel, keep_first
 from textloom.operators.ordinals import with_ordinals
 from textloom.plans import sqltext as S
 from textloom.plans.pipelines import ensure_checkpoint_dir
@@ -82,14 +82,9 @@ SELECT source, total, normalised, uniq, total - uniq AS removed FROM each
 UNION ALL SELECT 'TOTAL', sum(total)::BIGINT, sum(normalised)::BIGINT, sum(uniq)::BIGINT, sum(total - uniq)::BIGINT FROM each
 """)
 def clean_funnel(spark, sf_dir):
-    from textloom.operators.dedup import with_copies
-
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", X.normalize_clean(F.col("text")).alias("t"))
-    good = docs.where(~filters.is_low_quality(F.col("t"), "output"))
-    marked = with_copies(good, F.md5("t"), ["doc_id"]).groupBy("source").agg(F.count(F.lit(1)).alias("normalised"), F.count_if("first").alias("uniq"))
-    each = docs.groupBy("source").agg(F.count(F.lit(1)).alias("total")).join(marked, "source", "left").fillna(0, ["normalised", "uniq"])
-    sums = each.rollup("source").agg(*[F.sum(c).alias(c) for c in ("total", "normalised", "uniq")], F.sum(F.col("total") - F.col("uniq")).alias("removed"), F.grouping("source").alias("g"))
-    return sums.withColumn("source", F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("source"))).drop("g")
+    found = funnel(docs, "source", ~filters.is_low_quality(F.col("t"), "output"), F.md5("t"), "doc_id")
+    return found.select(F.when(F.col("is_total"), "TOTAL").otherwise(F.col("source")).alias("source"), "total", "normalised", "uniq", "removed")
 
 
 @query(f"SELECT doc_id, list_sort({S.word_set('text')}) AS words FROM documents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,12 +38,35 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = CHAT, re
     return rows.select("file", "line", "record.*")
 
 
+def read_sources(spark: SparkSession, paths: list[str], schema: T.StructType = CHAT, recursive: bool = False) -> DataFrame:
+    """Records of several files or folders, those that are missing left out, with source_rank (their place in the list) and source_file (the file's name)."""
+    there = []
+    for rank, path in enumerate(paths):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            there.append(read_records(spark, path, schema, recursive).withColumn("source_rank", F.lit(rank)))
+    if not there:
+        there = [parsed(spark.createDataFrame([], "file string, line string"), schema).select("file", "line", "record.*", F.lit(0).alias("source_rank"))]
+    return reduce(DataFrame.unionByName, there).withColumn("source_file", F.regexp_extract("file", r"([^/]*)$", 1))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line_number (from 1) and line of every line, blank ones too. Files are read whole."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", r"\r?\n").alias("lines"))
     return whole.select("file", F.posexplode("lines").alias("place", "line")).select("file", (F.col("place") + 1).alias("line_number"), "line")
 
 
+def renamed(spark: SparkSession, path: str) -> str:
+    """The files below path as *.jsonl: Spark's text writer names them .txt."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    while files.hasNext():
+        at = files.next().getPath()
+        if at.getName().endswith(".txt"):
+            fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), at.getName()[:-4] + ".jsonl"))
+    return path
+
+
 def file_stem(file: Column) -> Column:
     return F.regexp_extract(file, r"([^/]+?)(\.[^./]*)?$", 1)
 
