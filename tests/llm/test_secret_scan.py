@@ -75,12 +75,18 @@ def test_equals_sql_where_tokens_are_random(docs_of, tmp_path):
     sets = [op.DIGITS + "abcdef", op.DIGITS + "ABCDEF", op.UPPER + "234567", op.UPPER + op.LOWER + op.DIGITS + "+/", op.UPPER + op.LOWER + op.DIGITS + "-_"]
     texts = [(i, f"x é {''.join(random.choice(sets[i % 5]) for _ in range(20 + i % 70))}{'==' * (i % 2)} y password: {'q' * (i % 20)}") for i in range(300)]
     texts += [(1000 + k, t) for k, t in enumerate(TEXTS) if len(t) < 1000]
+    drawn = lambda letters, n=44: "".join(random.choice(letters) for _ in range(n))
+    base64, url = sets[3], sets[4]
+    more = [lambda: f"AWS_SECRET_ACCESS_KEY={drawn(base64)}", lambda: f"/a/b/{drawn(url)}/c-d", lambda: f"my_key-{drawn(base64)}", lambda: f"{drawn(base64, 30)}-{drawn(url, 30)}_{drawn(base64, 25)}=="]
+    more += [lambda letters=letters: drawn(letters) for letters in (op.LOWER + "234567", op.DIGITS + op.LOWER, op.DIGITS + op.UPPER)]
+    texts += [(2000 + k, f"see {more[k % len(more)]()} here") for k in range(420)]
     docs = docs_of(texts)
     docs.coalesce(1).write.parquet(str(tmp_path / "d"))
     con = duckdb.connect()
     con.execute(f"create view documents as select * from read_parquet('{tmp_path}/d/*.parquet')")
     ours = op.find_secrets(docs).toPandas()
-    assert ours["n_random"].sum() > 20
+    assert ours["n_random"].sum() > 400
+    assert set(ours["doc_id"][(ours["n_random"] > 0) & (ours["doc_id"] >= 2000)] % len(more)) == {(2000 + k) % len(more) for k in range(len(more))}
     assert rows(ours) == rows(con.execute(sql.secret_scan()).fetchdf())
 
 

@@ -45,14 +45,14 @@ SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS comp
 """
 
 
-def _found(name: str, pattern: str, group: int, least: int) -> str:
+def _found(name: str, pattern: str, group: int, least: int, table: str = "texts", key: str = "doc_id") -> str:
     """Matches of one kind with their places: what lies between matches and the matches alternate."""
     quoted = "'" + pattern.replace("'", "''") + "'"
     return f"""
-{name}_parts AS (SELECT doc_id, x, string_split_regex(x, {quoted}) AS g, regexp_extract_all(x, {quoted}, 0) AS m, regexp_extract_all(x, {quoted}, {group}) AS v FROM texts WHERE regexp_matches(x, {quoted})),
-{name}_at AS (SELECT doc_id, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM {name}_parts),
+{name}_parts AS (SELECT {key}, x, string_split_regex(x, {quoted}) AS g, regexp_extract_all(x, {quoted}, 0) AS m, regexp_extract_all(x, {quoted}, {group}) AS v FROM {table} WHERE regexp_matches(x, {quoted})),
+{name}_at AS (SELECT {key}, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM {name}_parts),
 {name}_spans AS (
-  SELECT doc_id, m[i] AS hit, (list_sum(list_transform(g[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda p: length(p))), 0))::BIGINT AS s, length(m[i]) AS n
+  SELECT {key}, m[i] AS hit, (list_sum(list_transform(g[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda p: length(p))), 0))::BIGINT AS s, length(m[i]) AS n
   FROM {name}_at WHERE length(v[i]) >= {least}
 )"""
 
@@ -76,12 +76,18 @@ def secret_scan() -> str:
     grid = f"unnest(range(1, {op.GRID // 2 + 1}))"
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
-{",".join(_found(*kind) for kind in [*kinds, ("token", op.TOKEN, 0, 0)])},
+{",".join(_found(*kind) for kind in [*kinds, ("piece", op.PIECE, 0, 0)])},
+mixed AS MATERIALIZED (SELECT row_number() OVER () AS piece, doc_id, s AS at, hit AS x FROM piece_spans WHERE regexp_matches(hit, '[+/]') AND regexp_matches(hit, '[_-]')),
+{",".join(_found(f"part{k}", pattern, 0, 0, "mixed", "piece") for k, pattern in enumerate(op.PARTS))},
+tokens AS (
+  SELECT doc_id, s, n, hit FROM piece_spans WHERE NOT (regexp_matches(hit, '[+/]') AND regexp_matches(hit, '[_-]'))
+  UNION ALL SELECT DISTINCT m.doc_id, m.at + p.s, p.n, p.hit FROM ({" UNION ALL ".join(f"SELECT * FROM part{k}_spans" for k in range(len(op.PARTS)))}) p JOIN mixed m ON m.piece = p.piece
+),
 base AS ({" UNION ALL ".join(f"SELECT doc_id, {i} AS kind, s, s + n AS e FROM {name}_spans" for i, (name, *_) in enumerate(kinds))}),
-free AS (SELECT t.doc_id, t.s, t.s + t.n AS e, t.n AS length, regexp_replace(t.hit, '=+$', '') AS bare FROM token_spans t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.s + t.n AND t.s < b.e)),
+free AS (SELECT t.doc_id, t.s, t.s + t.n AS e, t.n AS length, regexp_replace(t.hit, '=+$', '') AS bare FROM tokens t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.s + t.n AND t.s < b.e)),
 coded AS (SELECT *, {alphabet} AS letters FROM free WHERE length(bare) >= 20),
 symbols AS (SELECT doc_id, s, e, length, length(letters) AS k, i, strpos(letters, bare[i:i]) - 1 AS v FROM (SELECT *, unnest(range(1, length(bare) + 1)) AS i FROM coded WHERE letters IS NOT NULL)),
-lagged AS (SELECT *, lag(v) OVER (PARTITION BY doc_id, s ORDER BY i) AS u FROM symbols),
+lagged AS (SELECT *, lag(v) OVER (PARTITION BY doc_id, s, e ORDER BY i) AS u FROM symbols),
 sums AS (
   SELECT doc_id, s, e, length, k, count(*) AS n, {bins}, count(*) FILTER ((u * 2 >= k) <> (v * 2 >= k)) AS turns, coalesce(sum((u - (k - 1) / 2.0::DOUBLE) * (v - (k - 1) / 2.0::DOUBLE)), 0) AS serial
   FROM lagged GROUP BY doc_id, s, e, length, k
@@ -97,7 +103,8 @@ classes AS (SELECT class, least(2.0 * count(*) FILTER (cell >= {op.GRID // 2}),
 steps AS (SELECT class, random, {grid} AS step FROM classes),
 rates AS (SELECT t.class, t.step, t.random, count(c.cell) AS found FROM steps t LEFT JOIN cells c ON c.class = t.class AND c.cell >= t.step GROUP BY t.class, t.step, t.random),
 limits AS (SELECT class, coalesce(min(step) FILTER (found > 0 AND greatest(0.0, found - random * (1 - step / {float(op.GRID)}::DOUBLE)) <= {op.FALSE_DISCOVERY_RATE} * found) / {float(op.GRID)}::DOUBLE, 0.5) AS least_p FROM rates GROUP BY class),
-everything AS (SELECT * FROM base UNION ALL SELECT s.doc_id, 3, s.s, s.e FROM scored s JOIN limits l ON l.class = s.class WHERE s.p >= greatest({op.LEAST_THRESHOLD}, l.least_p)),
+random AS (SELECT DISTINCT s.doc_id, s.s, s.e FROM scored s JOIN limits l ON l.class = s.class WHERE s.p >= greatest({op.LEAST_THRESHOLD}, l.least_p)),
+everything AS (SELECT * FROM base UNION ALL SELECT r.doc_id, 3, r.s, r.e FROM random r WHERE NOT EXISTS (SELECT 1 FROM random o WHERE o.doc_id = r.doc_id AND (o.s, o.e) <> (r.s, r.e) AND o.s <= r.s AND r.e <= o.e)),
 named AS (SELECT *, (['assign', 'access', 'hex', 'random'])[kind + 1] || ':' || s || ':' || e AS span FROM everything)
 SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   sha256(coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY s, kind), '') AS spans, count(*) FILTER (kind = 3) AS n_random
