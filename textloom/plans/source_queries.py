@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from textloom.operators import artifacts, convert
 from textloom.plans import sqltext as S
 from textloom.plans.registry import fresh_folder, query, read
-from textloom.sources import jsonl
+from textloom.sources import atomic, jsonl
 
 EXAMPLES = "SELECT doc_id, coalesce(source, 'none') AS source, coalesce(lang, '') AS instruction, coalesce(text, '') AS output FROM documents"
 
@@ -278,3 +278,13 @@ def zip_contents(spark, sf_dir):
     members = artifacts.zip_members(files).where("member != 'in.zip'")
     checked = members.where(F.crc32("data") == F.conv(F.substring("crc32", 3, 8), 16, 10).cast("long"))
     return checked.select(F.regexp_extract("path", r"^(\d+)", 1).cast("long").alias("doc_id"), "depth", "member", "size")
+
+
+@query("SELECT doc_id, source, md5(coalesce(text, '')) AS text_md5 FROM documents")
+def atomic_append(spark, sf_dir):
+    """Documents in two appends, the second tried twice under one name."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), (F.col("doc_id") % 2).alias("half"))
+    path = fresh_folder(spark, "atomic")
+    for half, name in ((0, "even"), (1, "odd"), (1, "odd")):
+        atomic.append_whole(docs.where(F.col("half") == half).drop("half"), path, name)
+    return atomic.read_whole(spark, path, "doc_id long, source string, text string").select("doc_id", "source", F.md5("text").alias("text_md5"))
