@@ -28,10 +28,14 @@ def test_edge_rows(edge):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
-def test_many_slices_give_the_same(edge):
+def test_a_filter_too_small_gives_the_same(docs_of, edge):
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text_sha256)
     rows = lambda df: sorted([(key(r), r.keep_id, r.group_size) for r in df.collect()], key=str)
-    assert rows(op.exact_dedup(edge)) == rows(op.exact_dedup(edge, max_slice_bits=1 << op.BUCKET_BITS))
+    assert rows(op.exact_dedup(edge)) == rows(op.exact_dedup(edge, max_bits=1 << op.BLOCK_BITS))
+    many = docs_of([(i, f"text number {i % 59_000}") for i in range(60_000)])  # far more rows than one block has room for
+    small = op.exact_dedup(many, max_bits=1 << op.BLOCK_BITS)
+    assert rows(small.where("group_size > 1")) == rows(op.exact_dedup(many).where("group_size > 1")) and small.where("kept").count() == 59_000
+    assert op.drop_copies(many, max_bits=1 << op.BLOCK_BITS).count() == 59_000
 
 
 def test_filter_lets_most_rows_through(docs_of):
@@ -51,25 +55,25 @@ def test_drop_copies_keeps_whole_rows(edge, nothing):
 
 
 def test_columns_of_any_name_keep_their_values(edge):
-    for bits in (op.MAX_SLICE_BITS, 1 << op.BUCKET_BITS):
-        got = op.drop_copies(edge, max_slice_bits=bits)
+    for bits in (op.MAX_BITS, 1 << op.BLOCK_BITS):
+        got = op.drop_copies(edge, max_bits=bits)
         assert {tuple(r) for r in got.collect()} <= {tuple(r) for r in edge.collect()}
         assert {r.group_size for r in got.collect()} == {888}
 
 
-def test_slices_are_broadcast_and_texts_do_not_shuffle(docs_of, monkeypatch):
-    monkeypatch.setattr(op, "BUCKET_BITS", 10)
-    docs = docs_of([(i, f"text number {i}") for i in range(1000)] + [(5000, "text number 7")])
+def test_the_filter_is_one_broadcast_and_texts_do_not_shuffle(docs_of):
+    docs = docs_of([(i, f"text number {i}") for i in range(6000)] + [(9000, "text number 7")])
     docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         own = docs.withColumn("sha", op.text_digest())
-        bloom = op.RepeatFilter(own, "sha", max_slice_bits=1 << 12)
-        assert bloom.slices == 4
-        alone = bloom.flag(own, "sha").where("NOT may_repeat")
-        plan = alone._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("BroadcastHashJoin") == 8 and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
-        assert {7, 5000}.isdisjoint(r.doc_id for r in alone.collect()) and alone.count() > 900
-        assert op.drop_copies(docs, max_slice_bits=1 << 12).count() == 1000
+        for most, blocks in ((1 << op.BLOCK_BITS, 1), (op.MAX_BITS, 4)):
+            bloom = op.RepeatFilter(own, "sha", max_bits=most)
+            assert bloom.blocks == blocks
+            alone = bloom.flag(own, "sha").where("NOT may_repeat")
+            plan = alone._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastHashJoin") == 1 and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+            assert {7, 9000}.isdisjoint(r.doc_id for r in alone.collect()) and alone.count() > (5500 if blocks > 1 else 0)
+        assert op.drop_copies(docs).count() == 6000
     finally:
         docs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -1,9 +1,11 @@
 """Exact dedup by two-pass Bloom filtering, in DataFrame expressions only.
 
 Pass 1 digests every row (SHA-256 of the normalised text) and counts how many rows hit each of two
-filter slots per digest. Slots hit at least twice form the bitmaps of a Bloom filter of digests that
-may repeat. Pass 2 tests every digest against the bitmaps: rows that miss pass straight through, and
-only the rest shuffle to be grouped exactly. False positives cost a little shuffle, never a result.
+filter slots per digest, both in the digest's block of the filter. Slots hit at least twice form the
+bitmaps of a Bloom filter of digests that may repeat. Pass 2 tests every digest against its block's bitmap:
+rows that miss pass straight through, and only the rest shuffle to be grouped exactly. False positives cost
+a little shuffle, never a result, so the filter has a fixed size at most: more rows than it was made for
+give more false positives, not a larger broadcast.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ from textloom.llm.common import staged, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_PER_ROW = 16
-BUCKET_BITS = 15
-#: Bits of the bitmaps of one slice, 64 MB at most; more rows get more slices, each broadcast on its own.
-MAX_SLICE_BITS = 1 << 29
+BLOCK_BITS = 15
+#: Bits of the whole filter at most, a broadcast of 64 MB: BITS_PER_ROW for each of 33.5 million rows.
+MAX_BITS = 1 << 29
 
 
 def folded(text: Column) -> Column:
@@ -32,53 +34,34 @@ def text_digest(name: str = "text") -> Column:
     return F.sha2(folded(text_or_empty(name)).cast("binary"), 256)
 
 
-def _slots(digest: Column, bits: int) -> tuple[Column, Column]:
-    h = F.xxhash64(digest)
-    return h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))
-
-
-def _slice(digest: Column, slices: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit("slice"), digest), F.lit(slices))
-
-
 class RepeatFilter:
     """Bitmaps of the digests that may occur more than once; ``flag`` adds the verdict to any rows."""
 
-    def __init__(self, digests: DataFrame, column: str, max_slice_bits: int = MAX_SLICE_BITS):
+    def __init__(self, digests: DataFrame, column: str, max_bits: int = MAX_BITS):
         rows = max(1, digests.count())
-        want = 1 << max(BUCKET_BITS, (rows * BITS_PER_ROW - 1).bit_length())
-        self.bits = min(want, max_slice_bits)
-        self.slices = want // self.bits
-        a, b = _slots(F.col(column), self.bits)
-        hit = digests.select(_slice(F.col(column), self.slices).alias("slice"), F.explode(F.array_distinct(F.array(a, b))).alias("slot"))
-        repeated = hit.groupBy("slice", "slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        bitmaps = repeated.groupBy("slice", F.shiftright("slot", BUCKET_BITS).alias("bucket")).agg(
-            F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))).alias("bitmap")
-        )
-        self.bitmaps = staged(bitmaps, "repeat-filter")
-
-    def _bit(self, slot: Column, bitmap: Column) -> Column:
-        at = slot.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
-        byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+        self.blocks = min(1 << max(BLOCK_BITS, (rows * BITS_PER_ROW - 1).bit_length()), max(max_bits, 1 << BLOCK_BITS)) >> BLOCK_BITS
+        block, a, b = self._places(F.col(column))
+        hit = digests.select(block.alias("block"), F.explode(F.array_distinct(F.array(a, b))).alias("slot"))
+        repeated = hit.groupBy("block", "slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        self.bitmaps = staged(repeated.groupBy("block").agg(F.bitmap_construct_agg("slot").alias("bitmap")), "repeat-filter")
+
+    def _places(self, digest: Column) -> tuple[Column, Column, Column]:
+        """A digest's block, and its two slots there."""
+        h, low = F.xxhash64(digest), F.lit((1 << BLOCK_BITS) - 1)
+        return F.pmod(F.xxhash64(F.lit("block"), digest), F.lit(self.blocks)), h.bitwiseAND(low), F.shiftrightunsigned(h, 32).bitwiseAND(low)
+
+    def _bit(self, slot: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.col("__bitmap"), F.shiftright(slot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.getbit(byte, slot.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
 
     def flag(self, rows: DataFrame, column: str, name: str = "may_repeat") -> DataFrame:
         """rows with a boolean: False only where no other row has the digest.
 
-        Every slice is a broadcast of its own, of at most ``bits`` bits and a row for each 4 KB, whatever the
-        number of rows; a row is looked up in its own slice alone and keeps a running verdict, not the
-        bitmaps. Rows are never shuffled. An executor holds all slices, two bytes for each row of the input.
+        The filter is one broadcast, a row for each block of 4 KB, never more than max_bits. Rows are not shuffled.
         """
-        a, b = _slots(F.col(column), self.bits)
-        out = rows.withColumns({"__slice": _slice(F.col(column), self.slices), "__a": a, "__b": b, name: F.lit(False)})
-        for k in range(self.slices):
-            own = self.bitmaps.where(F.col("slice") == k)
-            for side in ("__a", "__b"):
-                maps = F.broadcast(own.select(F.col("bucket").alias(f"{side}_bucket"), F.col("bitmap").alias(f"{side}_map")))
-                out = out.withColumn(f"{side}_bucket", F.when(F.col("__slice") == k, F.shiftright(side, BUCKET_BITS))).join(maps, f"{side}_bucket", "left")
-            hit = reduce(lambda x, y: x & y, [self._bit(F.col(s), F.col(f"{s}_map")) for s in ("__a", "__b")])
-            out = out.withColumn(name, F.col(name) | hit).drop("__a_bucket", "__b_bucket", "__a_map", "__b_map")
-        return out.select(*rows.columns, name)
+        block, a, b = self._places(F.col(column))
+        maps = F.broadcast(self.bitmaps.select(F.col("block").alias("__block"), F.col("bitmap").alias("__bitmap")))
+        return rows.withColumn("__of", block).join(maps, F.col("__of") == F.col("__block"), "left").select(*rows.columns, (self._bit(a) & self._bit(b)).alias(name))
 
 
 def repeat_groups(flagged: DataFrame, id_col: str, digest: str) -> DataFrame:
@@ -88,7 +71,7 @@ def repeat_groups(flagged: DataFrame, id_col: str, digest: str) -> DataFrame:
     return groups.where("group_size > 1").select(digest, F.col("keep.id").alias("keep_id"), F.col("keep.row").alias("keep_row"), F.col("keep.n").alias("keep_rows"), "group_size")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_slice_bits: int = MAX_SLICE_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after A-Z are lower-cased. Null text counts as empty; a null id sorts
@@ -96,7 +79,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows. Other columns of ``docs`` are not read, so their names don't matter.
     """
     digests = staged(docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("text_sha256"), F.monotonically_increasing_id().alias("row")), "digests")
-    seen = RepeatFilter(digests, "text_sha256", max_slice_bits).flag(digests, "text_sha256")
+    seen = RepeatFilter(digests, "text_sha256", max_bits).flag(digests, "text_sha256")
     groups = staged(repeat_groups(seen.where("may_repeat"), "doc_id", "text_sha256"), "repeat-groups")
     alone = seen.where("NOT may_repeat").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     together = seen.where("may_repeat").join(groups, "text_sha256", "left").select(
@@ -109,7 +92,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return alone.unionByName(together)
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_slice_bits: int = MAX_SLICE_BITS) -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """docs without the rows that exact_dedup does not keep; every column stays as it is, whatever its name.
 
     Rows whose digest cannot repeat are not shuffled. Of rows equal in text and id one stays. Null text
@@ -117,7 +100,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     own = docs.withColumn("__sha", text_digest(text_col))
     digests = staged(own.select(F.col(id_col).alias("__id"), "__sha", F.monotonically_increasing_id().alias("row")), "digests")
-    bloom = RepeatFilter(digests, "__sha", max_slice_bits)
+    bloom = RepeatFilter(digests, "__sha", max_bits)
     groups = repeat_groups(bloom.flag(digests, "__sha").where("may_repeat"), "__id", "__sha")
     groups = staged(groups.select("__sha", *[F.col(c).alias(f"__{c}") for c in ("keep_id", "keep_rows", "group_size")]), "repeat-groups")
     rows = bloom.flag(own, "__sha", "__may")
