@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,5 +50,58 @@ def render(messages: Column) -> Column:
     return F.array_join(F.transform(messages, one), "")
 
 
+@dataclass(frozen=True)
+class ChatTemplate:
+    """A tokenizer's chat template as data: what stands around each message.
+
+    turn: with {role} and {content}; names: what roles are called in it; trim: contents without outer white
+    space; default_system: content of the system message put first where the chat has none there;
+    generation: what asks for the next answer.
+    """
+
+    turn: str
+    begin: str = ""
+    names: tuple[tuple[str, str], ...] = ()
+    trim: bool = False
+    default_system: str | None = None
+    generation: str = ""
+
+
+# fixed values: templates of public tokenizers
+TEMPLATES = {
+    "chatml": ChatTemplate("<|im_start|>{role}\n{content}<|im_end|>\n", generation="<|im_start|>assistant\n"),
+    "chatml_helpful": ChatTemplate("<|im_start|>{role}\n{content}<|im_end|>\n", default_system="You are a helpful assistant.", generation="<|im_start|>assistant\n"),
+    "headers": ChatTemplate("<|start_header_id|>{role}<|end_header_id|>\n\n{content}<|eot_id|>", begin="<|begin_of_text|>", trim=True, generation="<|start_header_id|>assistant<|end_header_id|>\n\n"),
+    "turns": ChatTemplate("<start_of_turn>{role}\n{content}<end_of_turn>\n", begin="<bos>", names=(("assistant", "model"),), trim=True, generation="<start_of_turn>model\n"),
+    "bars": ChatTemplate("<|{role}|>\n{content}</s>\n", generation="<|assistant|>\n"),
+}
+
+
+def apply_template(messages: Column, template: ChatTemplate | str | None = None, ask: bool = False) -> Column:
+    """Messages as text in a template (one of TEMPLATES by name, or one's own); without any, the portable one.
+
+    A message without a role is the user's, without a content empty. ask: ends with what asks for an
+    answer. Null messages give an empty text.
+    """
+    if template is None:
+        return F.coalesce(render(messages), F.lit(""))
+    own = TEMPLATES[template] if isinstance(template, str) else template
+    before_role, rest = own.turn.split("{role}")
+    before, after = rest.split("{content}")
+
+    def one(role: Column, content: Column) -> Column:
+        name = role
+        for given, told in own.names:
+            name = F.when(role == given, told).otherwise(name)
+        return F.concat(F.lit(before_role), name, F.lit(before), strip(content) if own.trim else content, F.lit(after))
+
+    said = F.array_join(F.transform(messages, lambda m: one(F.coalesce(m["role"], F.lit("user")), or_empty(m["content"]))), "")
+    led = F.lit("")
+    if own.default_system is not None:
+        leads = F.coalesce(F.try_element_at(messages, F.lit(1))["role"] == "system", F.lit(False))
+        led = F.when(~leads, one(F.lit("system"), F.lit(own.default_system))).otherwise("")
+    return F.when(messages.isNull(), F.lit("")).otherwise(F.concat(F.lit(own.begin), led, said, F.lit(own.generation if ask else "")))
+
+
 def row_id(stem: Column, order: Column) -> Column:
     return F.concat(stem, F.lit("_"), F.lpad(order.cast("string"), 4, "0"))

@@ -38,6 +38,24 @@ def chat_render(spark, sf_dir):
     return chat.gather_messages(read(spark, sf_dir, "conversations")).select("conv_id", chat.render(F.col("messages")).alias("rendered"))
 
 
+def _templated(own: chat.ChatTemplate) -> str:
+    """SQL of a whole chat in a template."""
+    name = "role"
+    for given, told in own.names:
+        name = f"CASE role WHEN '{given}' THEN '{told}' ELSE {name} END"
+    text = S.strip("text") if own.trim else "text"
+    turn = lambda role, content: " || ".join((S.quoted(own.turn.split("{role}")[0]), role, S.quoted(own.turn.split("{role}")[1].split("{content}")[0]), content, S.quoted(own.turn.split("{content}")[1])))
+    led = f"CASE WHEN arg_min(role, turn) = 'system' THEN '' ELSE {turn(S.quoted('system'), S.quoted(own.default_system))} END" if own.default_system is not None else "''"
+    return f"{S.quoted(own.begin)} || {led} || string_agg({turn(name, text)}, '' ORDER BY turn) || {S.quoted(own.generation)}"
+
+
+@query("SELECT conv_id, " + ", ".join(f"md5({_templated(t)}) AS {n}" for n, t in chat.TEMPLATES.items()) + " FROM (SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations) GROUP BY conv_id")
+def chat_templates(spark, sf_dir):
+    """Digests of each conversation in the templates of public tokenizers, ending with what asks for an answer."""
+    chats = chat.gather_messages(read(spark, sf_dir, "conversations"))
+    return chats.select("conv_id", *[F.md5(chat.apply_template(F.col("messages"), name, ask=True)).alias(name) for name in chat.TEMPLATES])
+
+
 @query(f"""
 SELECT conv_id, count(*) >= 2 AND bool_and({S.strip('text')} <> '') AND bool_or(role = 'user') AND bool_or(role = 'assistant') AS valid,
   CASE WHEN count(*) < 2 THEN 'corrupt' WHEN bool_or({S.strip('text')} = '') THEN 'empty' ELSE 'valid' END AS state
