@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import artifacts, chat, convert, dedup, sampling, stats
+from textloom.operators import artifacts, chat, convert, dedup, greedy, sampling, stats
 from textloom.operators.components import smallest_reached
 from textloom.plans import pipelines
 from textloom.sources import jsonl
@@ -97,7 +97,7 @@ def test_near_greedy(spark, look_back):
     base = " ".join(f"word{k}" for k in range(40))
     texts = [base, "alpha beta gamma", "delta epsilon zeta", "eta theta iota", base + " more", ""]
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
-    kept = [r.id for r in (dedup.near_greedy(rows, "id", F.col("t"), look_back=look_back) if look_back else dedup.near_first(rows, "id", F.col("t"))).orderBy("id").collect() if r.kept]
+    kept = [r.id for r in (greedy.near_greedy(rows, "id", F.col("t"), look_back=look_back) if look_back else dedup.near_first(rows, "id", F.col("t"))).orderBy("id").collect() if r.kept]
     assert kept == ([0, 1, 2, 3, 4, 5] if look_back == 2 else [0, 1, 2, 3, 5])
 
 

@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections import deque
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -122,31 +119,8 @@ def near_pairs(rows: DataFrame, id_col: str, text: Column, threshold: float = ru
     return _near_sets(sets, threshold).unionByName(copies)
 
 
-def near_greedy(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY, look_back: int = rules.LOOK_BACK) -> DataFrame:
-    """id and kept: in id order, a row goes if it is near one of the last ``look_back`` kept rows.
-
-    Each decision needs those before it, so the word sets, made in parallel, pass through one task as an
-    ordered stream; its state is the kept window. Use near_first, or near_clusters where no order is asked for.
-    """
-    sets = rows.select(F.col(id_col).alias("id"), word_set(text).alias("words")).repartition(1).sortWithinPartitions("id")
-
-    def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: deque[set] = deque(maxlen=look_back)
-        for frame in frames:
-            verdicts = []
-            for words in frame["words"]:
-                own = set(words)
-                kept = not any(own and other and len(own & other) / len(own | other) >= threshold for other in held)
-                if kept:
-                    held.append(own)
-                verdicts.append(kept)
-            yield pd.DataFrame({"id": frame["id"], "kept": verdicts})
-
-    return sets.mapInPandas(decide, f"id {rows.schema[id_col].dataType.simpleString()}, kept boolean")
-
-
 def near_first(rows: DataFrame, id_col: str, text: Column, threshold: float = rules.NEAR_COPY) -> DataFrame:
-    """id and kept: in id order, a row goes if it is near any kept row before it; near_greedy without a window, in parallel.
+    """id and kept: in id order, a row goes if it is near any kept row before it: greedy.near_greedy without a window.
 
     Of equal word sets only the first row can stay. The others go in rounds over near pairs of different sets:
     one with no open one before it stays, and what is near it goes; a chain of sets near only their neighbours

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.operators import dedup, filters
+from textloom.operators import dedup, filters, greedy
 from textloom.operators.chat import last_pair
 from textloom.plans import sqltext as S
 from textloom.plans.pipelines import ensure_checkpoint_dir
@@ -102,7 +102,8 @@ SELECT id, kept FROM g WHERE i > 0
 
 @query(_in_order("[-50:]"))
 def near_dup_greedy(spark, sf_dir):
-    return dedup.near_greedy(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    ensure_checkpoint_dir(spark)
+    return greedy.near_greedy(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
 
 
 @query(_in_order(""))

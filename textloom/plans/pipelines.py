@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import pair_sha, triple_md5
-from textloom.operators import chat, classify, dedup, filters, sampling, stats
+from textloom.operators import chat, classify, dedup, filters, greedy, sampling, stats
 from textloom.plans.registry import shared_folder
 
 
@@ -38,7 +38,7 @@ def harvested_corpus(pairs: DataFrame, order: str, look_back: int | None = None)
     if look_back is None:
         kept_ids = dedup.near_clusters(unique, order, text).where("id = cluster").select(F.col("id").alias(order))
     else:
-        kept_ids = dedup.near_greedy(unique, order, text, look_back=look_back).where("kept").select(F.col("id").alias(order))
+        kept_ids = greedy.near_greedy(unique, order, text, look_back=look_back).where("kept").select(F.col("id").alias(order))
     kept = unique.join(kept_ids, order, "left_semi").withColumn("difficulty", classify.difficulty_v3(F.col("user"), F.col("assistant")))
     parts = sampling.stratified_split(kept, order, "difficulty").checkpoint()
     funnel = long.agg(F.count(F.lit(1)).alias("harvested")).join(unique.agg(F.count(F.lit(1)).alias("unique_rows"))).join(parts.agg(F.count(F.lit(1)).alias("kept")))  # one row each
