@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from textloom.functions import ciphers as op
 from textloom.functions import decoders as D
 from textloom.functions.rules import FLAG
-from textloom.operators import artifacts
 from textloom.plans.catalogue import QUERIES
 
 PLAIN = re.compile(FLAG)
@@ -81,7 +80,7 @@ def test_limits_can_be_lifted(spark):
     row = spark.createDataFrame([{k: " ".join(v) for k, v in coded.items()}])
     n = lambda c: F.size(D.flags_of(c))
     for most, wanted in (({}, [10, 8, 15, 20]), ({"most": None}, [30] * 4)):
-        got = row.select(n(artifacts.base32_texts(F.col("b32"), **most)), n(artifacts.base85_texts(F.col("b85"), **most)), n(D.hex_texts(F.col("hex"), **most)), n(D.base64_texts(F.col("b64"), **most))).first()
+        got = row.select(n(D.base32_texts(F.col("b32"), **most)), n(D.base85_texts(F.col("b85"), **most)), n(D.hex_texts(F.col("hex"), **most)), n(D.base64_texts(F.col("b64"), **most))).first()
         assert list(got) == wanted
     mirrored = row.select(F.lit(" ".join(f"UOZT{{{k}_abcdefg}}" for k in range(30))).alias("x"))
     assert mirrored.select(F.size(D.atbash_flags(F.col("x"))), F.size(D.atbash_flags(F.col("x"), None))).first() == (15, 30)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.functions.base_text import from_ascii85, from_base32, from_base85
 from textloom.functions.rules import FLAG, MORSE
 from textloom.functions.text import or_empty, strip
 
@@ -90,6 +91,18 @@ def base64_texts(text: Column, most: int | None = 20) -> Column:
     return F.transform(some(every(text, r"[A-Za-z0-9+/]{8,}={0,2}"), most), lambda s: strip(utf8(F.try_to_binary(F.when(F.char_length(s) % 4 == 0, s), F.lit("base64")))))
 
 
+def base32_texts(text: Column, most: int | None = 10) -> Column:
+    """What the first base32-like strings decode to; null where one does not decode."""
+    return F.transform(some(every(text, r"[A-Z2-7]{10,}={0,6}"), most), lambda s: strip(utf8(from_base32(s))))
+
+
+def base85_texts(text: Column, most: int | None = 8) -> Column:
+    """What the first base85-like strings decode to, as base85 or else as Ascii85; null where one does not decode."""
+    bare = lambda s: F.replace(F.replace(s, F.lit("<~"), F.lit("")), F.lit("~>"), F.lit(""))
+    found = some(every(text, r"<~[!-u]+~>|[0-9a-zA-Z!#$%&()*+-;<=>?@^_`{|}~]{12,}"), most)
+    return F.transform(F.transform(found, bare), lambda s: strip(utf8(F.coalesce(from_base85(s), from_ascii85(s)))))
+
+
 def short_clues(decoded: Column) -> Column:
     """Decoded strings of 4 to 32 printable characters without a blank."""
     return F.filter(decoded, lambda d: d.isNotNull() & F.char_length(d).between(4, 32) & ~d.contains(" ") & ~d.rlike(r"[\p{C}\p{Z}]"))

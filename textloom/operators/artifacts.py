@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import base64
 import io
-import re
 import wave
 import zipfile
 from collections.abc import Iterator
@@ -97,41 +95,6 @@ def file_text(name: Column, content: Column) -> Column:
     return F.when(is_pdf, pdf_text(F.when(is_pdf, content))).otherwise(F.make_valid_utf8(content.cast("string")))
 
 
-def _text(data: bytes) -> str:
-    return data.decode("utf-8", "ignore").strip()
-
-
-def _decoded(pattern: str, most: int | None, *decoders):
-    """A pandas UDF: what the first ``most`` strings of a pattern decode to, by the first decoder that takes them."""
-
-    def decode(value: str | None) -> list[str]:
-        out = []
-        for found in re.findall(pattern, value or "")[:most]:
-            bare = found.replace("<~", "").replace("~>", "").encode()
-            for decoder in decoders:
-                try:
-                    out.append(_text(decoder(bare)))
-                    break
-                except ValueError:
-                    continue
-        return out
-
-    def decode_all(text: pd.Series) -> pd.Series:
-        return text.map(decode)
-
-    return F.pandas_udf(decode_all, T.ArrayType(T.StringType()))
-
-
-def base32_texts(text: Column, most: int | None = 10) -> Column:
-    """What the first base32-like strings decode to; all if most is None."""
-    return _decoded(r"[A-Z2-7]{10,}={0,6}", most, lambda x: base64.b32decode(x, casefold=True))(text)
-
-
-def base85_texts(text: Column, most: int | None = 8) -> Column:
-    """What the first base85-like strings decode to, as base85 or else as Ascii85; all if most is None."""
-    return _decoded(r"<~[!-u]+~>|[0-9a-zA-Z!#$%&()*+-;<=>?@^_`{|}~]{12,}", most, base64.b85decode, base64.a85decode)(text)
-
-
 @F.pandas_udf(T.StringType())
 def xor_text(text: pd.Series, key: pd.Series) -> pd.Series:
     """Text under a repeating key; an empty key changes nothing."""

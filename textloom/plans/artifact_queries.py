@@ -200,7 +200,7 @@ def base_decoders(spark, sf_dir):
         return pd.Series([(base64.b32encode if h == "32" else base64.b85encode)(f.encode()).decode() for f, h in zip(flag, how, strict=True)])
 
     joined = lambda texts: F.array_join(D.flags_of(texts), ",")
-    return _flagged(spark, sf_dir).select("doc_id", joined(artifacts.base32_texts(_before_text(coded("flag", F.lit("32"))))).alias("base32"), joined(artifacts.base85_texts(_before_text(coded("flag", F.lit("85"))))).alias("base85"))
+    return _flagged(spark, sf_dir).select("doc_id", joined(D.base32_texts(_before_text(coded("flag", F.lit("32"))))).alias("base32"), joined(D.base85_texts(_before_text(coded("flag", F.lit("85"))))).alias("base85"))
 
 
 @query()  # 255 keys a line are too slow in SQL: tested against brute force
