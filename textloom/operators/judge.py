@@ -126,7 +126,7 @@ class AnswerStore:
         """
         folder, schema, names = self.folder, self.schema, [c for c in rows.columns if c != "key"]
         missing = rows.join(self.stored().select("key").distinct(), "key", "left_anti")
-        missing = missing.repartition(*([tasks] if tasks else []), "key").sortWithinPartitions("key")
+        missing = (missing.repartition(tasks, "key") if tasks else missing).sortWithinPartitions("key")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             store, root = fs.FileSystem.from_uri(folder)
@@ -161,27 +161,40 @@ class Judge:
     def __init__(self, spark: SparkSession, folder: str, ask: Ask, models: list[str], **options):
         self.store, self.ask, self.models, self.options = AnswerStore(spark, folder, VERDICT, VERDICT_SQL), ask, models, options
 
-    def scored(self, rows: DataFrame, key: str = "hash", prefix: str = "") -> DataFrame:
-        """rows with the verdict's columns, those that have none yet judged first. A null key has no verdict."""
-        self.store.fill(_examples(rows, key), self.ask, verdict, lambda _: NO_ANSWER, self.models, **self.options)
+    def fill(self, rows: DataFrame, key: str = "hash") -> int:
+        """Judges the examples that have no verdict yet; returns how many. A null key is passed over."""
+        return self.store.fill(_examples(rows, key), self.ask, verdict, lambda _: NO_ANSWER, self.models, **self.options)
+
+    def verdicts(self, rows: DataFrame, key: str = "hash", prefix: str = "") -> DataFrame:
+        """rows with the columns of the verdicts that are there, nulls where there is none."""
         own = self.store.answers().drop("answered")
         return rows.join(own.select(F.col("key").alias("__key"), *[F.col(c).alias(prefix + c) for c in own.columns if c != "key"]), F.col(key) == F.col("__key"), "left").drop("__key")
 
+    def scored(self, rows: DataFrame, key: str = "hash", prefix: str = "") -> DataFrame:
+        """rows with their verdicts, those that have none yet judged first."""
+        self.fill(rows, key)
+        return self.verdicts(rows, key, prefix)
+
 
 class Rewriter:
-    """Rewrites of examples by the hash of their fields and the feedback; unchanged where there is no usable answer."""
+    """Rewrites of examples by the hash of their fields and the feedback. Without a usable answer the store has a row without fields, which stands for the example as it is."""
 
     def __init__(self, spark: SparkSession, folder: str, ask: Ask, models: list[str], **options):
         self.store, self.ask, self.models, self.options = AnswerStore(spark, folder, REWRITE, REWRITE_SQL), ask, models, options
 
-    def rewritten(self, rows: DataFrame, key: str = "hash", prefix: str = "new_") -> DataFrame:
-        """rows (with issues and suggestion) with the new fields under ``prefix``."""
-        keyed = rows.withColumn("__ask", F.md5(F.concat_ws("\u0001", F.col(key), F.array_join("issues", "\u0002"), or_empty(F.col("suggestion")))))
-        unchanged = lambda example: {c: example[c] for c in FIELDS}
-        self.store.fill(_examples(keyed, "__ask", "issues", "suggestion"), self.ask, rewritten, unchanged, self.models, **self.options)
-        own = self.store.answers().select(F.col("key").alias("__key"), "answered", *[F.col(c).alias(f"__{c}") for c in FIELDS])
-        new = {prefix + c: F.when(F.col("answered"), F.col(f"__{c}")).otherwise(F.col(c)) for c in FIELDS}
-        return keyed.join(own, F.col("__ask") == F.col("__key")).withColumns(new).select(*rows.columns, *new)
+    @staticmethod
+    def asked(key: str = "hash") -> Column:
+        """The key of a rewrite: the example's hash, its issues and the suggestion."""
+        return F.md5(F.concat_ws("\u0001", F.col(key), F.array_join("issues", "\u0002"), or_empty(F.col("suggestion"))))
+
+    def fill(self, rows: DataFrame, key: str = "hash") -> int:
+        """Rewrites the examples (rows have issues and suggestion too) that have no rewrite yet; returns how many."""
+        keyed = rows.withColumn("__ask", self.asked(key))
+        return self.store.fill(_examples(keyed, "__ask", "issues", "suggestion"), self.ask, rewritten, lambda _: dict.fromkeys(FIELDS), self.models, **self.options)
+
+    def answered(self) -> DataFrame:
+        """key and the fields of usable rewrites."""
+        return self.store.answers().where("answered").drop("answered")
 
 
 def _seen(kinds: DataFrame) -> DataFrame:
@@ -212,22 +225,31 @@ def reviewed(rows: DataFrame, order: str, judge: Judge, rewriter: Rewriter | Non
     Columns of rows that have the name of a new one make way for it.
     """
     hashed = rows.withColumn("__hash", triple_md5(*[F.col(c) for c in FIELDS]))
-    first = hashed.groupBy(F.col("__hash").alias("hash")).agg(F.min(order).alias("first"), *[F.first(c).alias(c) for c in FIELDS])
-    kinds = judge.scored(first).withColumn("direct", filters.accepted(F.col("score"), F.col("quality"), least)).checkpoint()
-    nothing = {**{f"new_{c}": F.lit(None).cast("string") for c in FIELDS}, "new_hash": F.lit(None).cast("string"), "re_score": F.lit(None).cast("double"), "re_difficulty": F.lit(None).cast("string")}
+    examples = hashed.select(F.col("__hash").alias("hash"), *FIELDS)
+    judge.fill(examples)
+    kinds = judge.verdicts(hashed.groupBy(F.col("__hash").alias("hash")).agg(F.min(order).alias("first")))
+    kinds = kinds.withColumn("direct", filters.accepted(F.col("score"), F.col("quality"), least)).checkpoint()
     if rewriter is None:
-        known = kinds.withColumns(nothing)
+        nothing = {"ask": "string", "new_hash": "string", "re_score": "double", "re_difficulty": "string"}
+        known = kinds.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
     else:
-        weak = kinds.where(~F.col("direct") & filters.to_improve(F.col("score"), F.col("issues"), improve_from))
-        new = rewriter.rewritten(weak).withColumn("new_hash", triple_md5(*[F.col(f"new_{c}") for c in FIELDS]))
-        again = new.select(F.col("new_hash").alias("key"), *[F.col(f"new_{c}").alias(c) for c in FIELDS])
-        verdicts = judge.scored(again.dropDuplicates(["key"]), "key").select(F.col("key").alias("new_hash"), F.col("score").alias("re_score"), F.col("difficulty").alias("re_difficulty"))
-        known = kinds.join(new.select("hash", "new_hash", *[f"new_{c}" for c in FIELDS]), "hash", "left").join(verdicts, "new_hash", "left")
+        weak = kinds.where(~F.col("direct") & filters.to_improve(F.col("score"), F.col("issues"), improve_from)).select("hash", "issues", "suggestion")
+        rewriter.fill(examples.join(weak, "hash"))
+        made = rewriter.answered().select("key", triple_md5(*[F.col(c) for c in FIELDS]).alias("made"), *FIELDS)
+        judge.fill(made, "made")
+        new = weak.select("hash", rewriter.asked().alias("ask")).join(made.select(F.col("key").alias("ask"), "made"), "ask", "left").select("hash", "ask", F.coalesce("made", "hash").alias("new_hash"))
+        again = judge.verdicts(new, "new_hash").select("hash", "ask", "new_hash", F.col("score").alias("re_score"), F.col("difficulty").alias("re_difficulty"))
+        known = kinds.join(again, "hash", "left")
     improved = F.col("re_score").isNotNull() & filters.accepted_again(F.col("re_score"), F.col("score"), least)
     known = known.withColumn("improved", F.coalesce(improved, F.lit(False))).checkpoint()
     seen = _seen(known.select("hash", "first", "direct", F.when(F.col("improved"), F.col("new_hash")).alias("new_hash")))
-    facts = known.join(seen, "hash", "left").drop("first", *FIELDS)
+    facts = known.join(seen, "hash", "left").drop("first", "new_hash")
     joined = hashed.join(facts.select(*[F.col(c).alias(f"__{c}") for c in facts.columns]), "__hash")
+    if rewriter is None:
+        joined = joined.withColumns({f"__new_{c}": F.lit(None).cast("string") for c in FIELDS}).withColumn("__key", F.lit(None).cast("string"))
+    else:
+        taken = rewriter.answered().join(facts.where("improved").select(F.col("ask").alias("key")).distinct(), "key", "left_semi")
+        joined = joined.join(taken.select(F.col("key").alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in FIELDS]), F.col("__ask") == F.col("__key"), "left")
     status = F.when(F.col(order) > F.col("__seen"), "duplicate").when(F.col("__direct"), "accepted").when(F.col("__improved"), "improved").otherwise("rejected")
     joined = joined.withColumn("__status", status)
     copy, kept, better = F.col("__status") == "duplicate", F.col("__status") == "accepted", F.col("__status") == "improved"
@@ -241,6 +263,6 @@ def reviewed(rows: DataFrame, order: str, judge: Judge, rewriter: Rewriter | Non
         "final_difficulty": F.when(~copy, F.coalesce("__re_difficulty", "__difficulty", F.lit("intermediate"))),
         "issues": F.when(copy, F.array(F.lit(DUPLICATE_ISSUE))).otherwise(F.col("__issues")),
         "improvements": F.coalesce(steps, F.array().cast("array<string>")),
-        **{f"kept_{c}": F.when(kept, F.col(c)).when(better, F.col(f"__new_{c}")) for c in FIELDS},
+        **{f"kept_{c}": F.when(kept, F.col(c)).when(better, F.when(F.col("__key").isNotNull(), F.col(f"__new_{c}")).otherwise(F.col(c))) for c in FIELDS},
     }
     return joined.select(*[c for c in rows.columns if c not in added], *[x.alias(c) for c, x in added.items()])
