@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from textloom.operators import artifacts, convert
 from textloom.plans import sqltext as S
+from textloom.plans.pipelines import ensure_checkpoint_dir
 from textloom.plans.registry import fresh_folder, query, read
 from textloom.sources import atomic, jsonl
+from textloom.sources.lines import numbered_lines
 
 EXAMPLES = "SELECT doc_id, coalesce(source, 'none') AS source, coalesce(lang, '') AS instruction, coalesce(text, '') AS output FROM documents"
 
@@ -47,7 +49,8 @@ def jsonl_lenient(spark, sf_dir):
 @query("SELECT count(*) AS total, count(*) FILTER (doc_id % 7 = 3) AS bad, count(DISTINCT doc_id) FILTER (doc_id % 7 <> 3) AS good FROM documents")
 def jsonl_strict_counts(spark, sf_dir):
     rows = _examples(spark, sf_dir).select(F.when(F.col("doc_id") % 7 == 3, F.concat(F.lit("not "), "line")).otherwise(F.col("line")))
-    lines = jsonl.parsed(jsonl.numbered_lines(spark, _written(rows, spark, "strict")).where("line != ''"), jsonl.EXAMPLE)
+    ensure_checkpoint_dir(spark)
+    lines = jsonl.parsed(numbered_lines(spark, _written(rows, spark, "strict")).where("line != ''"), jsonl.EXAMPLE)
     return lines.agg(F.count(F.lit(1)).alias("total"), F.count_if("bad").alias("bad"), F.countDistinct(F.when(~F.col("bad"), F.col("record.input"))).alias("good"))
 
 
@@ -82,7 +85,7 @@ def document_files(spark, sf_dir):
     """A file each; the name of its folder is the id."""
     path = fresh_folder(spark, "files")
     read(spark, sf_dir, "benchmark").select("item_id", F.coalesce("text", F.lit("")).alias("value")).repartition("item_id").write.partitionBy("item_id").option("lineSep", "\u0001").text(path)
-    found = spark.read.text(f"{path}/*/*.txt", wholetext=True).select(F.regexp_extract(jsonl.parent_folder(F.col("_metadata.file_path")), r"(\d+)", 1).cast("long").alias("item_id"), F.rtrim("value", F.lit("\u0001")).alias("content"))
+    found = jsonl.read_documents(spark, f"{path}/*/*.txt").select(F.regexp_extract("folder", r"(\d+)", 1).cast("long").alias("item_id"), F.rtrim("content", F.lit("\u0001")).alias("content"))
     return found.select("item_id", F.md5("content").alias("content_md5"))
 
 

@@ -84,8 +84,9 @@ def read_category_folders(spark: SparkSession, root: str, schema: T.StructType =
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """stem, content: one row per text file."""
-    return spark.read.text(path, wholetext=True).select(file_stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("content"))
+    """stem, content, folder (the name of the file's): one row per text file."""
+    file = F.col("_metadata.file_path")
+    return spark.read.text(path, wholetext=True).select(file_stem(file).alias("stem"), F.col("value").alias("content"), parent_folder(file).alias("folder"))
 
 
 def read_json_objects(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
