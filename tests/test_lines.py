@@ -73,9 +73,15 @@ def test_errors_by_line(spark, tmp_path):
         ("x", 12): ["Field 'instruction' is no text"], ("x", 13): [twice], ("y", 1): [],
     }
     assert [tuple(r) for r in op.folder_summary(checked, jsonl.parent_folder("file")).collect()] == [(tmp_path.name, 2, 13, 10, 2)]
-    assert "from_json" not in checked._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_no_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text("")
     assert op.errors_of(op.with_repeats(op.checked_lines(op.numbered_lines(spark, f"file://{tmp_path}")))).count() == 0
+
+
+def test_numbers_and_nulls_count_in_the_hash(spark, tmp_path):
+    rows = [{"instruction": 17, "input": None, "output": "x"}, {"instruction": "17", "output": "x"}, {"instruction": "1", "input": "7", "output": "x"}, {"instruction": "18", "output": "x"}]
+    (tmp_path / "x.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    checked = op.with_repeats(op.checked_lines(op.numbered_lines(spark, f"file://{tmp_path}")))
+    assert [r.repeats for r in checked.orderBy("line_number").collect()] == [False, True, True, False]

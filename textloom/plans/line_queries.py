@@ -25,7 +25,7 @@ def _line_files(spark, sf_dir, *folders):
     return path
 
 
-_KEPT = "CASE WHEN doc_id % 7 = 4 THEN '' ELSE coalesce(lang, '') END || CASE WHEN doc_id % 7 = 2 THEN '' ELSE coalesce(text, '') END"
+_KEPT = "CASE WHEN doc_id % 7 = 4 THEN '17' ELSE coalesce(lang, '') END || CASE WHEN doc_id % 7 = 2 THEN '' ELSE coalesce(text, '') END"
 _PLACES = f"SELECT doc_id, lang, text, (sum(1 + (doc_id % 5 = 1)::INT) OVER (ORDER BY doc_id) - (doc_id % 5 = 1)::INT)::BIGINT AS line_number, CASE WHEN doc_id % 7 <> 3 THEN md5({_KEPT}) END AS hash FROM documents"
 
 

@@ -42,22 +42,28 @@ def numbered_lines(spark: SparkSession, path: str, across: bool = False, recursi
     return joined.select("file", checked.alias("line_number"), F.col("value").alias("line"))
 
 
-def _text_of(record: Column, field: str) -> Column:
-    """A field's text: null where it is absent or no text."""
-    return F.try_variant_get(record, f"$.{field}", "string")
-
-
 def checked_lines(lines: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """file, line_number, record (variant, null where the line is no JSON object), hash (of the fields; null without record) of lines that are not blank.
+    """file, line_number, valid, hash, errors, fenced of lines that are not blank, written once: a small row a line goes on.
 
-    Each line is parsed once; an absent field, a null and a value that is no text can be told apart in the variant.
+    valid: the line is a JSON object; hash: MD5 of the fields' values as text, null ones empty, and null if
+    not valid; errors: one alone if not valid, else for each field in turn missing, empty (null or blank) or no
+    text; fenced: a field holds a code fence. Each line is parsed once, into a variant, which tells an absent
+    field, a null and a value that is no text apart.
     """
     bare = lines.withColumn("line", strip(or_empty(F.col("line")))).where("line <> ''")
     parsed = bare.withColumn("record", F.try_parse_json("line"))
-    is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
-    parsed = parsed.select("file", "line_number", F.when(is_object, F.col("record")).alias("record"))
-    content = F.concat(*[F.coalesce(_text_of(F.col("record"), f), F.lit("")) for f in fields])
-    return parsed.withColumn("hash", F.when(F.col("record").isNotNull(), F.md5(content)))
+    parsed = parsed.withColumn("valid", F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False)))
+    parsed = parsed.withColumns({f"value_{k}": F.when(F.col("valid"), F.variant_get("record", f"$.{f}", "variant")) for k, f in enumerate(fields)}).drop("line", "record")
+    parsed = parsed.withColumns({f"text_{k}": F.try_variant_get(f"value_{k}", "$", "string") for k in range(len(fields))})
+    checks = [F.when(~F.col("valid"), F.lit("Invalid JSON"))]
+    for k, field in enumerate(fields):
+        value, text = F.col(f"value_{k}"), F.col(f"text_{k}")
+        is_text = F.schema_of_variant(value) == "STRING"
+        empty = F.is_variant_null(value) | (is_text & (strip(or_empty(text)) == ""))
+        checks.append(F.when(F.col("valid"), F.when(value.isNull(), f"Missing field '{field}'").when(empty, f"Empty field '{field}'").when(~is_text, f"Field '{field}' is no text")))
+    texts = [or_empty(F.col(f"text_{k}")) for k in range(len(fields))]
+    fenced = F.exists(F.array(*texts), lambda t: F.contains(t, F.lit(FENCE)))
+    return parsed.select("file", "line_number", "valid", F.when(F.col("valid"), F.md5(F.concat(*texts))).alias("hash"), F.array_compact(F.array(*checks)).alias("errors"), fenced.alias("fenced")).checkpoint()
 
 
 def with_repeats(checked: DataFrame, by: tuple[str, ...] = ("file",)) -> DataFrame:
@@ -68,29 +74,13 @@ def with_repeats(checked: DataFrame, by: tuple[str, ...] = ("file",)) -> DataFra
     return found.withColumn("repeats", F.coalesce(F.col("line_number") > F.col("__first"), F.lit(False))).drop("__first", "__n", *[f"__{c}" for c in names])
 
 
-def errors_of(checked: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """file, line_number, errors (in the order of the checks) of lines with_repeats; lines without errors have none.
-
-    A line that is no JSON object has that error alone. A field is missing, empty (null or blank) or no
-    text; then come repeated content and code fences.
-    """
-    record = F.col("record")
-    checks = [F.when(record.isNull(), F.lit("Invalid JSON"))]
-    for field in fields:
-        value, text = F.variant_get(record, f"$.{field}", "variant"), _text_of(record, field)
-        kind = F.schema_of_variant(value)
-        checks.append(
-            F.when(value.isNull(), f"Missing field '{field}'")
-            .when(F.is_variant_null(value) | ((kind == "STRING") & (strip(or_empty(text)) == "")), f"Empty field '{field}'")
-            .when(kind != "STRING", f"Field '{field}' is no text")
-        )
-    checks.append(F.when(F.col("repeats"), F.concat(F.lit("Duplicate content (hash: "), F.substring("hash", 1, 8), F.lit(")"))))
-    fenced = F.exists(F.array(*[F.coalesce(_text_of(record, f), F.lit("")) for f in fields]), lambda t: F.contains(t, F.lit(FENCE)))
-    checks.append(F.when(fenced, "Contains markdown code fences"))
-    own = F.when(record.isNull(), F.array(checks[0])).otherwise(F.array_compact(F.array(*checks[1:])))
-    return checked.select("file", "line_number", own.alias("errors"))
+def errors_of(checked: DataFrame) -> DataFrame:
+    """file, line_number, errors of lines with_repeats, in the order of the checks; repeated content and code fences come last. Lines without errors have none."""
+    repeated = F.when(F.col("repeats"), F.concat(F.lit("Duplicate content (hash: "), F.substring("hash", 1, 8), F.lit(")")))
+    more = F.array_compact(F.array(repeated, F.when(F.col("fenced"), "Contains markdown code fences")))
+    return checked.select("file", "line_number", F.concat("errors", more).alias("errors"))
 
 
 def folder_summary(checked: DataFrame, folder: Column) -> DataFrame:
     """folder, files, lines, valid, duplicates of lines with_repeats."""
-    return checked.groupBy(folder.alias("folder")).agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("lines"), F.count("record").alias("valid"), F.count_if("repeats").alias("duplicates"))
+    return checked.groupBy(folder.alias("folder")).agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("lines"), F.count_if("valid").alias("valid"), F.count_if("repeats").alias("duplicates"))
