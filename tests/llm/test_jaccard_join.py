@@ -5,6 +5,7 @@ import pytest
 from edge_rows import ROWS
 
 from textloom.llm import jaccard_join as op
+from textloom.llm import star_components
 from textloom.llm.star_components import components
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -115,6 +116,18 @@ def test_components(spark):
     assert {r.node: r.label for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
 
 
+@pytest.mark.parametrize("few", [1 << 17, 3])
+def test_few_edges_take_few_steps(spark, monkeypatch, few):
+    made, staged = [], star_components.staged
+    monkeypatch.setattr(star_components, "FEW_EDGES", few)
+    monkeypatch.setattr(star_components, "staged", lambda df, tag, **kw: made.append(tag) or staged(df, tag, **kw))
+    pairs = [(k, k + 1) for k in range(40)] + [(100 + k, 90) for k in range(20)]
+    edges = spark.createDataFrame([(f"{u:03}".encode(), f"{v:03}".encode()) for u, v in random.Random(1).sample(pairs, len(pairs))], "u binary, v binary").repartition(5)
+    want = {f"{k:03}": "000" for k in range(41)} | {f"{k:03}": "090" for k in [90, *range(100, 120)]}
+    assert {r.node.decode(): r.label.decode() for r in components(edges).collect()} == want
+    assert len(made) <= 3 or few == 3
+
+
 def test_one_row_is_kept_whatever_the_ids(docs_of):
     a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
     rows = [(3, a), (5, a + " more"), (5, b), (None, b + " more"), (None, c), (None, c + " more"), (7, ""), (7, "")]

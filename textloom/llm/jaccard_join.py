@@ -376,7 +376,7 @@ def _voronoi_labels(cells: DataFrame, links: DataFrame, sketches: DataFrame, set
     radius = 1 - numerator / denominator
     cap = min(1.0, CAP_RADII * radius)
     least = max(0, denominator - CAP_RADII * (denominator - numerator))
-    level, many, labels, known = 0, PIVOTS, components(links), links.count()
+    level, many, labels = 0, PIVOTS, components(links)
     while True:
         cells = staged(_unsettled(cells, labels), "cells")
         if cells.isEmpty():
@@ -387,9 +387,9 @@ def _voronoi_labels(cells: DataFrame, links: DataFrame, sketches: DataFrame, set
         met = large.select("cell", "key", F.col("n").alias("na")).join(pivots.withColumnRenamed("np", "nb"), "cell").where("key != p").where(_sizes_allow(least, denominator))
         met = met.select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b")).distinct()
         measured = staged(_measured(_near_in_parts(met, sketches, least, denominator), sets, numerator, denominator), "pivot-distances")
-        links = staged(links.unionByName(found).unionByName(measured.where("linked").select("u", "v")).distinct(), "links")
-        if (now := links.count()) != known:
-            labels, known = components(links), now
+        links = staged(found.unionByName(measured.where("linked").select("u", "v")), "links")
+        if not links.isEmpty():
+            labels = components(links.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
         cells = staged(_next_cells(large, pivots, measured, radius, cap), "next-cells")
         level, many = level + 1, 2 * many
 

@@ -1,11 +1,21 @@
-"""Connected components by alternating large-star and small-star steps over an edge table."""
+"""Connected components by alternating large-star and small-star steps over an edge table.
+
+Each partition first replaces its edges by stars of the same components; what few edges are left then make
+their components in a task, more of them by the steps.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import staged, temporary_tables
+from textloom.llm.common import map_batches, staged, temporary_tables
+
+#: So many edges at most make their components in a task; a partition's stars are put out when they have twice as many nodes.
+FEW_EDGES = 1 << 17
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -22,7 +32,43 @@ def components(edges: DataFrame) -> DataFrame:
     are deleted at the end.
     """
     with temporary_tables(edges.sparkSession):
-        return staged(_stars(edges), "labels", outlives=True)
+        fewer = staged(_contracted(edges.where("u != v").select("u", "v")), "stars-of-partitions")
+        if fewer.count() > FEW_EDGES:
+            return staged(_stars(fewer), "labels", outlives=True)
+        stars = staged(_contracted(fewer.coalesce(1)), "stars").select(F.col("u").alias("node"), F.col("v").alias("label"))
+        return staged(stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct()), "labels", outlives=True)
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), v the smallest node of a star, that connect what the edges of each partition do."""
+    most = 2 * FEW_EDGES
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+        kind = None
+
+        def root(node):
+            while (up := parent.setdefault(node, node)) != node:
+                parent[node] = node = parent[up]
+            return node
+
+        def stars() -> pa.RecordBatch:
+            found = [(node, root(node)) for node in list(parent)]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found if x[0] != x[1]], kind) for k in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            kind = batch.column("u").type
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+                if len(parent) >= most and not (u in parent and v in parent):
+                    yield stars()
+                    parent.clear()
+                x, y = root(u), root(v)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        if parent:
+            yield stars()
+
+    return map_batches(edges, contract, edges.schema)
 
 
 def _stars(edges: DataFrame) -> DataFrame:
