@@ -222,3 +222,24 @@ def test_pipelines(spark, data):
     out = pipelines.clean_merge_grade(examples, "doc_id")
     assert 0 < out.count() <= docs.count()
     assert X.SPACE.startswith("[")
+
+
+def test_sets_of_common_words_meet_by_parts_only_if_near(spark):
+    import random
+
+    from textloom.operators import dedup
+
+    draw = random.Random(5)
+    vocabulary = [f"word{k}" for k in range(200)]
+    sets = [sorted(draw.sample(vocabulary, draw.choice([10, 13, 24, 25, 40, 60]))) for _ in range(120)]
+    for own in sets[:60]:  # one to three words more, fewer or others
+        other = set(own)
+        for _ in range(draw.randint(1, 3)):
+            other ^= {draw.choice(vocabulary)}
+        sets.append(sorted(other))
+    sets = sorted({tuple(x) for x in sets})
+    rows = spark.createDataFrame([(k, list(x)) for k, x in enumerate(sets)], "id long, words array<string>")
+    want = {(a, b) for b, y in enumerate(sets) for a, x in enumerate(sets[:b]) if len(set(x) & set(y)) / len(set(x) | set(y)) >= 0.92}
+    met = {(r.id_a, r.id_b) for r in dedup._meeting_by_parts(rows, 0.92).collect()}
+    assert want and want <= met and len(met) < 4 * len(want)
+    assert {(r.id_a, r.id_b) for r in dedup._near_sets(rows, 0.92).collect()} == want
