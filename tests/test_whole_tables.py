@@ -119,3 +119,27 @@ def test_base64_clues_search_whole_texts(spark, folder):
                     want.add((i, clue))
     got = {(r.doc_id, r.clue) for r in QUERIES["base64_clues"](spark, data).collect()}
     assert got == want and (7, "clue_here") in got
+
+
+@pytest.mark.parametrize("name", ["zip_contents"])
+def test_batches_are_bounded_in_bytes(spark, data, name):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    QUERIES[name](spark, data)
+    assert 0 < int(spark.conf.get(setting)) <= 4 << 20
+
+
+def test_members_larger_than_a_batch(spark, monkeypatch):
+    import io
+    import zipfile
+
+    from textloom.operators import artifacts
+
+    monkeypatch.setattr(artifacts, "BATCH_BYTES", 1000)
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(9):
+            z.writestr(f"m{k}", "x" * 400 * k)
+    files = spark.createDataFrame([("a", bytearray(held.getvalue())), ("b", bytearray(b"none")), ("c", bytearray(held.getvalue()))], "path string, content binary")
+    got = sorted((r.path, r.member, len(r.data)) for r in artifacts.zip_members(files).collect())
+    assert got == [(p, f"m{k}", 400 * k) for p in "ac" for k in range(9)]

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.operators.batches import BATCH_BYTES, bound_batches
+
 WAV = T.StructType([*[T.StructField(c, T.IntegerType()) for c in ("channels", "sample_rate_hz", "bit_depth")], T.StructField("duration_seconds", T.DoubleType()), T.StructField("total_frames", T.LongType())])
 UNSAFE_PATH = r"(^/)|(^|/)\.\.(/|$)|\\"
 
@@ -27,8 +29,10 @@ MEMBER_SQL = "path string, member string, depth int, size long, compressed long,
 def zip_members(files: DataFrame, path: str = "path", content: str = "content", depth: int = 2, most_bytes: int = 64 << 20) -> DataFrame:
     """Members of archives, nested ones too up to ``depth``, with their bytes if readable and of at most most_bytes.
 
-    A file that is no archive gives no row; directories are left out.
+    A file that is no archive gives no row; directories are left out. Batches in and out are bounded in bytes
+    (a larger member is one alone), so a task holds an archive, its members that are open and a batch of rows.
     """
+    bound_batches(files.sparkSession)
 
     def walk(name: str, data: bytes, level: int) -> Iterator[tuple]:
         try:
@@ -51,9 +55,17 @@ def zip_members(files: DataFrame, path: str = "path", content: str = "content",
 
     def expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in MEMBER_SQL.split(", ")]
+        held, size = [], 0
         for frame in frames:
             for name, data in zip(frame["p"], frame["c"], strict=True):
-                yield pd.DataFrame(list(walk(name, data, 1)), columns=names)
+                for member in walk(name, data, 1):
+                    held.append(member)
+                    size += len(member[-1] or b"") + 256
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame(held, columns=names)
+                        held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=names)
 
     return files.select(F.col(path).alias("p"), F.col(content).alias("c")).mapInPandas(expand, MEMBER_SQL)
 

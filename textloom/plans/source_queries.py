@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.operators import artifacts, convert
+from textloom.operators.batches import bound_batches
 from textloom.plans import sqltext as S
 from textloom.plans.pipelines import ensure_checkpoint_dir
 from textloom.plans.registry import fresh_folder, query, read
@@ -277,6 +278,7 @@ def zip_contents(spark, sf_dir):
             out.append(held.getvalue())
         return pd.Series(out)
 
+    bound_batches(spark)
     files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), packed("doc_id", F.coalesce("text", F.lit(""))).alias("content"))
     members = artifacts.zip_members(files).where("member != 'in.zip'")
     checked = members.where(F.crc32("data") == F.conv(F.substring("crc32", 3, 8), 16, 10).cast("long"))
