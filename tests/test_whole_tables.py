@@ -121,7 +121,7 @@ def test_base64_clues_search_whole_texts(spark, folder):
     assert got == want and (7, "clue_here") in got
 
 
-@pytest.mark.parametrize("name", ["zip_contents"])
+@pytest.mark.parametrize("name", ["zip_contents", "xor_scan", "xor_clue_scan"])
 def test_batches_are_bounded_in_bytes(spark, data, name):
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.unset(setting)
