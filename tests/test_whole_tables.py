@@ -143,3 +143,17 @@ def test_members_larger_than_a_batch(spark, monkeypatch):
     files = spark.createDataFrame([("a", bytearray(held.getvalue())), ("b", bytearray(b"none")), ("c", bytearray(held.getvalue()))], "path string, content binary")
     got = sorted((r.path, r.member, len(r.data)) for r in artifacts.zip_members(files).collect())
     assert got == [(p, f"m{k}", 400 * k) for p in "ac" for k in range(9)]
+
+
+def test_review_spreads_rows_that_ask_nothing(spark, data):
+    from pyspark.sql import functions as F
+
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        found = QUERIES["judge_review"](spark, data).where("status IN ('accepted', 'rejected')")
+        assert found.select(F.spark_partition_id().alias("p"), "status").where("status = 'accepted'").select("p").distinct().count() > 1
+    finally:
+        for k in held:
+            spark.conf.unset(k)

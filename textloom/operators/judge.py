@@ -249,7 +249,7 @@ def reviewed(rows: DataFrame, order: str, judge: Judge, rewriter: Rewriter | Non
         joined = joined.withColumns({f"__new_{c}": F.lit(None).cast("string") for c in FIELDS}).withColumn("__key", F.lit(None).cast("string"))
     else:
         taken = rewriter.answered().join(facts.where("improved").select(F.col("ask").alias("key")).distinct(), "key", "left_semi")
-        joined = joined.join(taken.select(F.col("key").alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in FIELDS]), F.col("__ask") == F.col("__key"), "left")
+        joined = joined.join(taken.select(F.col("key").alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in FIELDS]), F.coalesce("__ask", "__hash") == F.col("__key"), "left")  # rows that ask nothing, which are most, are spread by their hash
     status = F.when(F.col(order) > F.col("__seen"), "duplicate").when(F.col("__direct"), "accepted").when(F.col("__improved"), "improved").otherwise("rejected")
     joined = joined.withColumn("__status", status)
     copy, kept, better = F.col("__status") == "duplicate", F.col("__status") == "accepted", F.col("__status") == "improved"
