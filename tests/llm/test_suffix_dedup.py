@@ -75,6 +75,24 @@ def test_characters_left(docs_of):
     assert got[3].n_chars == 7 and got[1].n_removed
 
 
+def test_planted_passages(docs_of):
+    random.seed(7)
+    words = lambda n, k: " ".join("".join(random.choice("abcdefghij") for _ in range(k)) for _ in range(n))
+    rows, long, short = [], [], []
+    for _ in range(4):
+        for group, letters in ((long, 9), (short, 6)):  # 51 words of 509 and of 356 bytes
+            passage = words(51, letters)
+            for _ in range(3):
+                group.append((len(rows), len(passage)))
+                rows.append((len(rows), f"{words(random.randint(5, 80), 6)} {passage} {words(random.randint(5, 80), 6)}"))
+    rows += [(100 + i, words(random.randint(20, 200), 6)) for i in range(20)]
+    assert ours(docs_of(rows)) == brute(rows, 400)
+    got = {r.doc_id: r for r in op.remove_repeats(docs_of(rows)).collect()}
+    assert all(n <= got[i].n_removed < n + 10 and got[i].n_chars == got[i].n_bytes - got[i].n_removed for i, n in long)
+    alone = {i for i, _ in rows} - {i for i, _ in long}
+    assert {i for i, _ in short} < alone and all(got[i].n_removed == 0 and got[i].n_chars == len(t) for i, t in rows if i in alone)
+
+
 @pytest.mark.parametrize("block", [1, 7, 64, 1 << 25])
 def test_anchors_do_not_depend_on_the_batch(monkeypatch, block):
     monkeypatch.setattr(op, "RANK_BLOCK", block)
