@@ -134,3 +134,22 @@ def test_one_row_is_kept_whatever_the_ids(docs_of):
     kept = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in op.keep_one_each(docs_of(rows)).collect())
     assert kept[:4] == [(False, 3, a), (False, 5, b), (False, 7, ""), (False, 7, "")]
     assert len(kept) == 5 and kept[4][0] and kept[4][2].startswith(c)
+
+
+def test_a_large_group_of_near_copies_takes_few_levels(docs_of, monkeypatch):
+    """Copies with few changes link, those with many do not: both are found without making each of them a pivot."""
+    made, staged = [], op.staged
+    monkeypatch.setattr(op, "staged", lambda df, tag, **kw: made.append(tag) or staged(df, tag, **kw))
+    for name, value in (("TASK_CELL", 24), ("SMALL", 4), ("PIVOTS", 1), ("OFTEN", 5)):
+        monkeypatch.setattr(op, name, value)
+    random.seed(5)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for i in range(90):
+        own = base[: random.randint(185, 200)]
+        for k in random.sample(range(len(own)), random.randint(0, 14)):
+            own[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(own)))
+    want = brute(rows)
+    components_of = [c for _, _, c in want]
+    assert ours(docs_of(rows)) == want and 20 < max(map(components_of.count, components_of)) < 70
+    assert made.count("next-cells") <= 3

@@ -5,7 +5,9 @@ at distance 1 from each other, so the first level's pivots are single shingles:
 of another shares one of the first |A| - ceil(t |A|) + 1 shingles of any fixed order, so it is replicated
 into the regions of these pivots, and linked documents meet in a region. The order puts shingles found
 often last, which keeps regions of common passages from forming; it never changes the result. The documents
-of large regions meet once more by the order of what is frequent among them.
+of large regions meet once more by the order of what is frequent among them, and large regions are then parted
+by size: a pair meets in the band of its smaller set, where a document stays only if its place leaves enough
+shingles for a link with the smallest set of the band. Of a large group of near copies those with many changes go so.
 
 Every region of more than SMALL documents is then joined recursively by pivots that are documents. Distances
 to a few pivots are measured, up to three radii: min(distance, cap) is a metric too, and beyond the cap sizes
@@ -16,6 +18,7 @@ cap, makes a residual cell. What links to a pivot is one class with it, so of a
 link to its pivot go on, with those whose distance to it is within a radius of theirs. Cells of one class
 are done, equal cells are joined once, and a cell that its pivots do not part stays whole, less these pivots.
 Of a cell with classes left, pivots come from the smaller ones; once it fits into a task it is joined there.
+So is a larger one whose smaller classes are few: they go to several tasks, each with a part of the largest class.
 
 In regions of SMALL documents at most all pairs are candidates, pruned by windows on sizes, places of the
 shared pivot and counts by parts, then compared on whole sets.
@@ -23,6 +26,7 @@ shared pivot and counts by parts, then compared on whole sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +45,8 @@ SMALL = 48
 PIVOTS = 8
 #: After the first level, a cell of at most so many documents and shingles in all is joined within a task.
 TASK_CELL, TASK_SHINGLES = 2048, 1 << 21
+#: Sizes of one band differ by this factor at most.
+BAND = 1.02
 #: Distances to pivots are measured up to so many radii.
 CAP_RADII = 3
 EPSILON = 1e-9
@@ -271,6 +277,22 @@ def _regions(described: DataFrame) -> DataFrame:
     return postings.join(_limited(crowds), "shingle").select("shingle", "key", "n", "place", "crowd")
 
 
+def _by_size(regions: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """shingle, key, n, place, crowd: regions parted by bands of size, without what can't link there.
+
+    A document goes to its own band and those of smaller sets that it may link with. Bands that are nobody's
+    own are left out: every pair has its smaller set in its own band.
+    """
+    n, band = F.col("n").cast("long"), lambda size: F.floor(F.log(size) / F.lit(math.log(BAND)))
+    least = F.ceil(n * numerator / denominator)
+    dealt = regions.select("shingle", "key", "n", "place", band(n).alias("own"), F.explode(F.sequence(band(least), band(n))).alias("band"))
+    smallest = F.greatest(least, F.floor(F.pow(F.lit(BAND), "band") * (1 - EPSILON)))
+    dealt = dealt.where((n - F.col("place")) * (numerator + denominator) >= (n + smallest) * numerator)
+    crowds = dealt.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("crowd"), F.count_if(F.col("band") == F.col("own")).alias("owners"))
+    crowds = staged(crowds.where("crowd > 1 AND owners > 0").drop("owners"), "crowds-by-size")
+    return dealt.join(_limited(crowds), ["shingle", "band"]).select(F.xxhash64("shingle", "band").alias("shingle"), "key", "n", "place", "crowd")
+
+
 def _pairs(members: DataFrame, window: Column) -> DataFrame:
     """Candidate pairs a < b that meet in a region and pass its windows."""
     x = members.select("shingle", F.col("key").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
@@ -283,15 +305,24 @@ def _sizes_allow(numerator: int, denominator: int) -> Column:
 
 
 def _unsettled(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """cell, key, n, crowd, weight, label, minor of the cells (cell, key, n) that hold several classes; of equal cells one.
+    """cell, key, n, crowd, weight, rest, rest_weight, label, minor of the cells (cell, key, n) that hold several classes; of equal cells one.
 
     minor: not of the largest class of the cell. A pair that has yet to be found has a minor document in it.
+    weight, rest_weight: shingles of all documents of the cell, and of the minor ones, whose number is rest.
     """
     named = cells.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     classes = named.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit("again"), "key")).alias("y"))
-    sums = classes.groupBy("cell").agg(F.sum("rows").alias("crowd"), F.sum("weight").alias("weight"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("rows", "label"))["label"].alias("major"))
+    sums = classes.groupBy("cell").agg(F.sum("rows").alias("crowd"), F.sum("weight").alias("weight"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("rows", "label", "weight")).alias("major"))
     one_each = sums.where("classes > 1").groupBy("crowd", "x", "y").agg(F.min(F.struct("cell", "major", "weight")).alias("one")).select("one.cell", "one.major", "one.weight", "crowd")
-    return named.join(one_each, "cell").select("cell", "key", "n", "crowd", "weight", "label", (F.col("label") != F.col("major")).alias("minor"))
+    rest = [(F.col("crowd") - F.col("major.rows")).alias("rest"), (F.col("weight") - F.col("major.weight")).alias("rest_weight")]
+    return named.join(one_each, "cell").select("cell", "key", "n", "crowd", "weight", *rest, "label", (F.col("label") != F.col("major.label")).alias("minor"))
+
+
+def _dealt_to_tasks(cells: DataFrame) -> DataFrame:
+    """cell, key, label: cells of few minor documents as several that fit into a task each, all with the minor ones."""
+    parts = F.ceil(F.greatest((F.col("crowd") - F.col("rest")) * 2 / TASK_CELL, (F.col("weight") - F.col("rest_weight")) * 2 / TASK_SHINGLES))
+    part = F.explode(F.when(F.col("minor"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("key"), parts)))).alias("part")
+    return cells.select("cell", "key", "label", part).select(F.xxhash64("cell", "part").alias("cell"), "key", "label")
 
 
 def _pivots_of(cells: DataFrame, many: int, level: int) -> DataFrame:
@@ -382,7 +413,9 @@ def _voronoi_labels(cells: DataFrame, links: DataFrame, sketches: DataFrame, set
         if cells.isEmpty():
             return labels
         fits = (F.col("crowd") <= TASK_CELL) & (F.col("weight") <= TASK_SHINGLES) & F.lit(level > 0)
-        found, large = _joined_in_tasks(cells.where(fits), sets, numerator, denominator), cells.where(~fits)
+        few = ~fits & (F.col("rest") <= TASK_CELL // 2) & (F.col("rest_weight") <= TASK_SHINGLES // 2) & F.lit(level > 0)
+        in_tasks = cells.where(fits).select("cell", "key", "label").unionByName(_dealt_to_tasks(cells.where(few)))
+        found, large = _joined_in_tasks(in_tasks, sets, numerator, denominator), cells.where(~fits & ~few)
         pivots = staged(_pivots_of(large, many, level), "pivots")
         met = large.select("cell", "key", F.col("n").alias("na")).join(pivots.withColumnRenamed("np", "nb"), "cell").where("key != p").where(_sizes_allow(least, denominator))
         met = met.select(F.least("key", "p").alias("a"), F.greatest("key", "p").alias("b")).distinct()
@@ -432,7 +465,8 @@ def _joined(rows: DataFrame, n_words: int, numerator: int, denominator: int) ->
     again = sets.join(in_crowds, "key", "left_semi")
     again_often = np.union1d(often, frequent_shingles(again.select("shingles"), _stored_sets, "shingles"))
     regions = staged(_regions(_reordered(again, again_often, numerator, denominator)), "regions-again")
-    small, large = regions.where(F.col("crowd") <= SMALL), regions.where(F.col("crowd") > SMALL)
+    by_size = staged(_by_size(regions.where(F.col("crowd") > SMALL), numerator, denominator), "regions-by-size")
+    small, large = regions.unionByName(by_size).where(F.col("crowd") <= SMALL), by_size.where(F.col("crowd") > SMALL)
     pairs = _pairs(small, window).join(near, ["a", "b"], "left_anti")
     links = staged(_linked(near.unionByName(_near_in_parts(pairs, sketches, numerator, denominator)), sets, numerator, denominator), "links")
     labels = _voronoi_labels(large.select(F.col("shingle").alias("cell"), "key", "n"), links, sketches, sets, numerator, denominator)
